@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from strata.catalog import medallion, medallion_sql
+from strata.catalog import medallion, medallion_sql, observability, observability_sql
 
 
 def queries() -> dict:
-    return {**medallion.QUERIES}
+    return {**medallion.QUERIES, **observability.QUERIES}
 
 
 def oracles() -> dict[str, str]:
-    return {**medallion_sql.ORACLES}
+    return {**medallion_sql.ORACLES, **observability_sql.ORACLES}

@@ -7,6 +7,7 @@ import hashlib
 from pyspark.sql import DataFrame, SparkSession
 
 from strata.plans.gold import (
+    GOLD_SCHEMAS,
     Gold,
     dim_empresa,
     dim_fecha,
@@ -14,7 +15,12 @@ from strata.plans.gold import (
     fct_produccion_conformed,
     member_dimension,
 )
-from strata.plans.silver import stg_pozos, stg_produccion
+from strata.plans.silver import (
+    STG_POZOS_SCHEMA,
+    STG_PRODUCCION_SCHEMA,
+    stg_pozos,
+    stg_produccion,
+)
 from strata.session import path_exists, scratch_root
 from strata.sources.synthetic import pozos_raw, produccion_raw
 from strata.sources.tables import read_layer, write_layer
@@ -56,13 +62,18 @@ def build_warehouse(spark: SparkSession, sf_dir: str, root: str) -> None:
 
 def silver(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     return (
-        read_layer(spark, root, "silver", "stg_pozos"),
-        read_layer(spark, root, "silver", "stg_produccion"),
+        read_layer(spark, root, "silver", "stg_pozos", STG_POZOS_SCHEMA),
+        read_layer(spark, root, "silver", "stg_produccion", STG_PRODUCCION_SCHEMA),
     )
 
 
 def gold(spark: SparkSession, root: str) -> Gold:
-    return Gold(**{name: read_layer(spark, root, "gold", name) for name in Gold.__annotations__})
+    return Gold(
+        **{
+            name: read_layer(spark, root, "gold", name, schema)
+            for name, schema in GOLD_SCHEMAS.items()
+        }
+    )
 
 
 def warehouse(spark: SparkSession, sf_dir: str) -> str:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def latest_per_key(
@@ -14,17 +15,27 @@ def latest_per_key(
 ) -> DataFrame:
     """The newest row of every key; equal times are settled by ``ties``, smallest first.
 
-    Spark turns ``row_number() = 1`` into a group limit that runs before the shuffle,
-    so a task sends one row per key and a key with very many versions stays cheap.
+    An aggregate over whole rows: every task reduces to one row per key before the
+    shuffle, so a key with very many versions costs one row per task.
     """
-    newest = W.partitionBy(*keys).orderBy(
-        F.col(order).desc_nulls_first(), *[F.col(t).asc_nulls_first() for t in ties]
-    )
-    return (
-        df.withColumn("_row_num", F.row_number().over(newest))
-        .filter("_row_num = 1")
-        .drop("_row_num")
-    )
+    payload = [name for name in df.columns if name not in keys]
+    rank = F.struct(_descending(df, order), *ties)
+    newest = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), rank).alias("newest"))
+    return newest.select(*keys, "newest.*").select(*df.columns)
+
+
+def _descending(df: DataFrame, column: str) -> Column:
+    """A number that orders the column from large to small, null first."""
+    kind = df.schema[column].dataType
+    if isinstance(kind, T.TimestampNTZType):
+        return -F.unix_micros(F.col(column).cast("timestamp"))
+    if isinstance(kind, T.TimestampType):
+        return -F.unix_micros(column)
+    if isinstance(kind, T.DateType):
+        return -F.unix_date(column)
+    if isinstance(kind, T.NumericType):
+        return -F.col(column)
+    raise TypeError(f"cannot order {column} of type {kind.simpleString()}")
 
 
 def rank_total(totals: DataFrame, name: str, measure: str, n: int) -> DataFrame:

@@ -19,6 +19,27 @@ from strata.operators.filters import incremental_filter, member_filter
 from strata.operators.joins import star_lookup
 from strata.operators.windows import latest_per_key
 
+GOLD_SCHEMAS = {
+    "dim_pozo": (
+        "pozo_key string, id_pozo bigint, sigla string, formacion_productiva string, "
+        "id_empresa string, area string, cuenca string, tipo_recurso string, "
+        "valid_from timestamp, valid_to timestamp, is_current boolean"
+    ),
+    "dim_empresa": (
+        "empresa_key string, id_empresa string, empresa string, valid_from timestamp, "
+        "valid_to timestamp, is_current boolean"
+    ),
+    "dim_area": "area_key string, area string",
+    "dim_cuenca": "cuenca_key string, cuenca string",
+    "dim_tipo_recurso": "tipo_recurso_key string, tipo_recurso string",
+    "dim_fecha": "fecha_key string, periodo date, anio int, mes int, trimestre int",
+    "fct_produccion": (
+        "produccion_key string, pozo_key string, empresa_key string, area_key string, "
+        "cuenca_key string, tipo_recurso_key string, fecha_key string, id_pozo bigint, "
+        "id_empresa string, periodo date, prod_gas decimal(20,6), prod_petroleo decimal(20,6), "
+        "prod_agua decimal(20,6), dias_produccion int, _loaded_at timestamp"
+    ),
+}
 FACT_KEYS = ("id_pozo", "periodo")
 FACT_COLUMNS = (
     "produccion_key", "pozo_key", "empresa_key", "area_key", "cuenca_key",

@@ -34,6 +34,15 @@ WELL_RESOURCE_COLUMNS = (
 )
 DAYS_COLUMNS = ("dias_produccion", "diasprod", "diasefectivos")
 
+STG_PRODUCCION_SCHEMA = (
+    "id_pozo bigint, id_empresa string, empresa string, area string, cuenca string, "
+    "tipo_recurso string, periodo date, prod_gas decimal(20,6), prod_petroleo decimal(20,6), "
+    "prod_agua decimal(20,6), dias_produccion int, _loaded_at timestamp"
+)
+STG_POZOS_SCHEMA = (
+    "id_pozo bigint, sigla string, formacion_productiva string, id_empresa string, "
+    "empresa string, area string, cuenca string, tipo_recurso string, _loaded_at timestamp"
+)
 PRODUCTION_KEYS = ("id_pozo", "periodo")
 PRODUCTION_COLUMNS = (
     "id_pozo", "id_empresa", "empresa", "area", "cuenca", "tipo_recurso", "periodo",

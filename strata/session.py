@@ -84,3 +84,14 @@ def staged_table(spark: SparkSession, df: DataFrame, label: str) -> Iterator[Dat
         yield spark.read.schema(df.schema).parquet(path)
     finally:
         delete_path(spark, path)
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partition an input whose scan has fewer splits than there are cores.
+
+    A file of one row group is read by one task; heavy work on it would leave the other
+    cores idle. Inputs with enough splits are returned as they are, without a shuffle.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
+    return df.repartition(cores, *keys) if splits < cores else df

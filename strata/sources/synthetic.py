@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import row_hash
 from strata.plans.gold import Gold, build_gold
 from strata.plans.silver import stg_pozos, stg_produccion
+from strata.session import child_directories, spread
 
 MONEY = "decimal(18,2)"
 
@@ -41,7 +42,7 @@ def produccion_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     days. Returned lines with a large discount report a negative gas volume. A report
     is loaded some days after the month it covers.
     """
-    lineitem = table(spark, sf_dir, "lineitem")
+    lineitem = spread(table(spark, sf_dir, "lineitem"), "l_partkey", "l_orderkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     reports = lineitem.join(part, lineitem.l_partkey == part.p_partkey).join(
         companies(spark, sf_dir), lineitem.l_suppkey == F.col("s_suppkey")
@@ -106,6 +107,15 @@ def request_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests_of(table(spark, sf_dir, "events"))
 
 
+def request_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same requests as a stream over the files of the events table."""
+    path = f"{sf_dir}/events.parquet"
+    reader = spark.readStream.schema(spark.read.parquet(path).schema)
+    if not child_directories(spark, sf_dir, "events.parquet"):
+        return requests_of(reader.option("pathGlobFilter", "events.parquet").parquet(sf_dir))
+    return requests_of(reader.parquet(path))
+
+
 def requests_of(events: DataFrame) -> DataFrame:
     even_user = F.col("user_id") % 2 == 0
     kind = F.col("event_type")

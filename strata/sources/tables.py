@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql.types import StructType
 
 from strata.session import delete_path, path_exists, scratch_root
 
@@ -44,7 +44,7 @@ def publish_view(df: DataFrame, layer: str, name: str) -> None:
 
 
 def read_layer(
-    spark: SparkSession, root: str, layer: str, name: str, schema: T.StructType | None = None
+    spark: SparkSession, root: str, layer: str, name: str, schema: str | None = None
 ) -> DataFrame:
     """Read a table; with a schema also one that has no rows and so no files."""
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -73,7 +73,7 @@ def merge_upsert(
     layer: str,
     name: str,
     keys: Sequence[str],
-    schema: T.StructType,
+    schema: str,
     unique: bool = False,
 ) -> None:
     """Upsert ``source`` into a table partitioned by month.
@@ -87,7 +87,7 @@ def merge_upsert(
         raise ValueError(f"{PERIOD} must be one of the merge keys")
     spark = source.sparkSession
     batch_path = _pending_path(spark, root, layer, name)
-    source.select(*schema.fieldNames()).write.mode("overwrite").parquet(batch_path)
+    source.select(*_columns(schema)).write.mode("overwrite").parquet(batch_path)
     batch = spark.read.schema(schema).parquet(batch_path)
     if not unique:
         try:
@@ -105,7 +105,7 @@ def finish_merge(
     layer: str,
     name: str,
     keys: Sequence[str],
-    schema: T.StructType,
+    schema: str,
 ) -> bool:
     """Repeat a merge whose batch is complete but which did not reach its end."""
     batch_path = _pending_path(spark, root, layer, name)
@@ -125,7 +125,7 @@ def _apply_batch(
     layer: str,
     name: str,
     keys: Sequence[str],
-    schema: T.StructType,
+    schema: str,
 ) -> None:
     months = [row[0] for row in batch.select(PERIOD).distinct().collect()]
     if not months:
@@ -140,6 +140,10 @@ def _apply_batch(
     )
 
 
+def _columns(schema: str) -> list[str]:
+    return StructType.fromDDL(schema).fieldNames()
+
+
 def _pending_path(spark: SparkSession, root: str, layer: str, name: str) -> str:
     warehouse = hashlib.md5(root.encode()).hexdigest()
     return f"{scratch_root(spark)}/strata-pending/{warehouse}/{layer}/{name}"
