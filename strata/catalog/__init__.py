@@ -2,12 +2,23 @@
 
 from __future__ import annotations
 
-from strata.catalog import medallion, medallion_sql, observability, observability_sql
+from strata.catalog import medallion, medallion_sql, observability, observability_sql, operations, operations_sql
+
+from strata.session import quicken_planning
 
 
 def queries() -> dict:
-    return {**medallion.QUERIES, **observability.QUERIES}
+    found = {**medallion.QUERIES, **observability.QUERIES, **operations.QUERIES}
+    return {name: _prepared(run) for name, run in found.items()}
+
+
+def _prepared(run):
+    def call(spark, sf_dir):
+        quicken_planning(spark)
+        return run(spark, sf_dir)
+
+    return call
 
 
 def oracles() -> dict[str, str]:
-    return {**medallion_sql.ORACLES, **observability_sql.ORACLES}
+    return {**medallion_sql.ORACLES, **observability_sql.ORACLES, **operations_sql.ORACLES}

@@ -8,6 +8,7 @@ splitting skewed partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,9 +41,37 @@ def fk_orphans(fact: DataFrame, dim: DataFrame, key: str, alias: str = "failed_r
 
     Rows are counted per key before the join, so a frequent key costs one row.
     """
-    counts = fact.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    orphans = counts.join(dim.select(key), key, "left_anti")
-    return orphans.agg(F.coalesce(F.sum("n"), F.lit(0)).cast("long").alias(alias))
+    return orphan_counts(fact, {key: (dim, key)}).withColumnRenamed(key, alias)
+
+
+def orphan_counts(
+    fact: DataFrame, parents: Mapping[str, tuple[DataFrame, str]], null_fails: bool = True
+) -> DataFrame:
+    """``fk_orphans`` for several keys in one pass: one row, a column per key.
+
+    ``parents`` maps a key column to the table and column it refers to. The keys of a
+    row become (key name, value) pairs, which are counted before the shuffle; one
+    anti-join with the members of all parents leaves the orphans.
+    """
+    pairs = ", ".join(f"'{key}', string(`{key}`)" for key in parents)
+    counted = (
+        fact.selectExpr(f"stack({len(parents)}, {pairs}) as (fk, value)")
+        .groupBy("fk", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    if not null_fails:
+        counted = counted.filter(F.col("value").isNotNull())
+    members = reduce(
+        DataFrame.union,
+        [
+            parent.selectExpr(f"'{key}' as fk", f"string(`{column}`) as value")
+            for key, (parent, column) in parents.items()
+        ],
+    )
+    orphans = counted.join(members, ["fk", "value"], "left_anti")
+    return orphans.agg(
+        *[F.expr(f"coalesce(sum(n) filter (where fk = '{key}'), 0L) as `{key}`") for key in parents]
+    )
 
 
 def fact_dim(fact: DataFrame, dim: DataFrame, key: str) -> DataFrame:

@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from datetime import date, datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.operators.aggregates import distinct_count_gt
-from strata.operators.joins import fk_orphans, relationships
+from strata.operators.joins import orphan_counts, relationships
 
 ERROR, WARN = "error", "warn"
 
@@ -66,23 +67,35 @@ def distinct_more_than(table: str, column: str, n: int) -> list[DataTest]:
     return [DataTest("distinct_count_gt", table, (column,), {"n": n})]
 
 
-def failing_predicate(test: DataTest) -> Column | None:
-    """The test as a condition on a single row, where it is one."""
-    column = F.col(test.columns[0])
+def failing_predicate(test: DataTest) -> str | None:
+    """The test as a SQL condition on a single row, where it is one.
+
+    Suites are long; SQL text keeps building their plans short.
+    """
+    column = f"`{test.columns[0]}`"
     if test.kind == "not_null":
-        return column.isNull()
+        return f"{column} is null"
     if test.kind == "accepted_values":
-        return ~column.isin(test.options["values"])
+        return f"{column} not in ({', '.join(_literal(v) for v in test.options['values'])})"
     if test.kind == "between":
-        outside = F.lit(False)
-        if test.options["low"] is not None:
-            outside = outside | (column < F.lit(test.options["low"]))
-        if test.options["high"] is not None:
-            outside = outside | (column > F.lit(test.options["high"]))
-        return outside
+        low, high = test.options["low"], test.options["high"]
+        outside = [] if low is None else [f"{column} < {_literal(low)}"]
+        outside += [] if high is None else [f"{column} > {_literal(high)}"]
+        return " or ".join(outside) or "false"
     return None
 
 
+def _literal(value: object) -> str:
+    if isinstance(value, bool):
+        return str(value).lower()
+    if isinstance(value, (int, float)):
+        return repr(value)
+    if isinstance(value, (date, datetime)):
+        return f"{'timestamp' if isinstance(value, datetime) else 'date'} '{value}'"
+    text = str(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{text}'"
+
+
 def failing_rows(tables: Mapping[str, DataFrame], test: DataTest) -> DataFrame:
     """The rows, keys or result row that make a test fail."""
     df = tables[test.table]
@@ -109,13 +122,34 @@ def repeated_keys(df: DataFrame, columns: Sequence[str], skip_null: bool) -> Dat
     return df.groupBy(*columns).agg(F.count(F.lit(1)).alias("n_records")).filter("n_records > 1")
 
 
-def failed_count(tables: Mapping[str, DataFrame], test: DataTest) -> DataFrame:
-    """One row with the number of failing rows of a test that is no row condition."""
-    if test.kind == "relationships":
-        column = test.columns[0]
-        child = tables[test.table].filter(F.col(column).isNotNull())
-        parent = tables[test.options["parent"]].select(
-            F.col(test.options["parent_column"]).alias(column)
-        )
-        return fk_orphans(child, parent, column)
-    return failing_rows(tables, test).agg(F.count(F.lit(1)).alias("failed_rows"))
+def repeated_counts(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
+    """Repeated keys of several uniqueness tests in one pass: one row, a column per test.
+
+    Every row yields one key per test; keys are counted before the shuffle.
+    """
+    keys = []
+    for i, test in enumerate(tests):
+        key = f"array({', '.join(f'string(`{c}`)' for c in test.columns)})"
+        if test.kind == "unique":
+            key = f"if(`{test.columns[0]}` is null, null, {key})"
+        keys.append(f"{i}, {key}")
+    repeated = (
+        df.selectExpr(f"stack({len(tests)}, {', '.join(keys)}) as (test, key)")
+        .filter("key is not null")
+        .groupBy("test", "key")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .filter("n > 1")
+    )
+    return repeated.agg(*[F.expr(f"count_if(test = {i}) as failed_{i}") for i in range(len(tests))])
+
+
+def related_counts(
+    tables: Mapping[str, DataFrame], child: DataFrame, tests: Sequence[DataTest]
+) -> DataFrame:
+    """Child rows without a parent for several relationship tests: one row."""
+    parents = {
+        test.columns[0]: (tables[test.options["parent"]], test.options["parent_column"])
+        for test in tests
+    }
+    counted = orphan_counts(child, parents, null_fails=False)
+    return counted.toDF(*[f"failed_{i}" for i in range(len(tests))])

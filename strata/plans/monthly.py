@@ -183,7 +183,10 @@ def verify_reload(spark: SparkSession, root: str, period: str) -> DataFrame:
                 F.struct(
                     F.lit("fact_rows").alias("check_name"), F.col("rows").cast("string").alias("value")
                 ),
-                F.struct(F.lit("last_loaded_at"), F.col("last_loaded_at").cast("string")),
+                F.struct(
+                    F.lit("last_loaded_at").alias("check_name"),
+                    F.col("last_loaded_at").cast("string").alias("value"),
+                ),
             )
         )
     )

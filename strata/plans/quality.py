@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from strata.functions.columns import pass_error
 from strata.operators import quality as q
 from strata.operators.aggregates import count_filter, duplicate_excess, union_all
-from strata.operators.joins import fk_orphans
+from strata.operators.joins import orphan_counts
 from strata.operators.ordering import errors_first
 from strata.operators.quality import DataTest
 from strata.plans.gold import Gold
@@ -94,35 +94,42 @@ class StaleSourceError(RuntimeError):
 def run_tests(tables: Mapping[str, DataFrame], suite: Sequence[DataTest]) -> DataFrame:
     """Result row per test: test, table_name, severity, failed_rows, status.
 
-    All row conditions of a table are counted in one scan of it; tests that need
-    grouping or another table are aggregates of their own.
+    Tests of a table share passes over it: one for all row conditions and distinct
+    counts, one for all uniqueness tests, one for all relationships.
     """
     frames = []
     for table in dict.fromkeys(test.table for test in suite):
         tests = [test for test in suite if test.table == table]
+        df = tables[table]
         by_schema = [test for test in tests if test.kind == "column_exists"]
-        by_row = [test for test in tests if q.failing_predicate(test) is not None]
-        counts: list[Column] = [
-            count_filter(q.failing_predicate(test), f"failed_{i}") for i, test in enumerate(by_row)
-        ]
-        rows = [_result(test, F.col(f"failed_{i}")) for i, test in enumerate(by_row)]
-        rows += [
-            _result(test, F.lit(int(test.columns[0] not in tables[table].columns)).cast("long"))
-            for test in by_schema
-        ]
-        if rows:
-            one_row = tables[table].agg(*counts) if counts else _one_row(tables[table])
-            frames.append(one_row.select(F.inline(F.array(*rows))))
-        for test in tests:
-            if test not in by_schema and test not in by_row:
-                counted = q.failed_count(tables, test)
-                frames.append(counted.select(F.inline(F.array(_result(test, F.col("failed_rows"))))))
+        by_key = [test for test in tests if test.kind in ("unique", "unique_combination")]
+        by_parent = [test for test in tests if test.kind == "relationships"]
+        by_scan = [test for test in tests if test not in (*by_schema, *by_key, *by_parent)]
+        if by_schema:
+            present = set(df.columns)
+            missing = [
+                f"{int(t.columns[0] not in present)}L as failed_{i}" for i, t in enumerate(by_schema)
+            ]
+            frames.append(_results(by_schema, df.sparkSession.range(1).selectExpr(*missing)))
+        if by_scan:
+            counts = [F.expr(f"{_scan_count(t)} as failed_{i}") for i, t in enumerate(by_scan)]
+            frames.append(_results(by_scan, df.agg(*counts)))
+        if by_key:
+            frames.append(_results(by_key, q.repeated_counts(df, by_key)))
+        if by_parent:
+            frames.append(_results(by_parent, q.related_counts(tables, df, by_parent)))
     outcome = F.when(F.col("failed_rows") == 0, "pass").otherwise(
         F.when(F.col("severity") == q.WARN, "warn").otherwise("fail")
     )
     return union_all(*frames).withColumn("status", outcome)
 
 
+def _scan_count(test: DataTest) -> str:
+    if test.kind == "distinct_count_gt":
+        return f"bigint(count(distinct `{test.columns[0]}`) <= {test.options['n']})"
+    return f"count_if({q.failing_predicate(test)})"
+
+
 def failures(
     tables: Mapping[str, DataFrame], suite: Sequence[DataTest], failed: Sequence[str]
 ) -> dict[str, DataFrame]:
@@ -160,6 +167,14 @@ def quality_marks(gold: Gold) -> DataFrame:
         | (F.col("dias_produccion") > 31)
     )
     month = F.col("mes")
+    orphans = orphan_counts(
+        fact,
+        {
+            "pozo_key": (gold.dim_pozo, "pozo_key"),
+            "empresa_key": (gold.dim_empresa, "empresa_key"),
+            "fecha_key": (gold.dim_fecha, "fecha_key"),
+        },
+    )
     checks = {
         ("dim_pozo_completeness", "dim_pozo"): _count(
             gold.dim_pozo,
@@ -178,13 +193,6 @@ def quality_marks(gold: Gold) -> DataFrame:
         ("fct_produccion_fact_grain", "fct_produccion"): duplicate_excess(
             fact, ["id_pozo", "periodo"]
         ),
-        ("fct_produccion_rel_pozo", "fct_produccion"): fk_orphans(fact, gold.dim_pozo, "pozo_key"),
-        ("fct_produccion_rel_empresa", "fct_produccion"): fk_orphans(
-            fact, gold.dim_empresa, "empresa_key"
-        ),
-        ("fct_produccion_rel_fecha", "fct_produccion"): fk_orphans(
-            fact, gold.dim_fecha, "fecha_key"
-        ),
     }
     rows = [
         counted.select(
@@ -192,6 +200,15 @@ def quality_marks(gold: Gold) -> DataFrame:
         )
         for (name, dimension), counted in checks.items()
     ]
+    related = [
+        F.struct(
+            F.lit(f"fct_produccion_rel_{name}").alias("check_name"),
+            F.lit("fct_produccion").alias("dimension"),
+            F.col(f"{name}_key").alias("failed_rows"),
+        )
+        for name in ("pozo", "empresa", "fecha")
+    ]
+    rows.append(orphans.select(F.inline(F.array(*related))))
     return union_all(*rows).select(
         "check_name",
         "dimension",
@@ -271,12 +288,14 @@ def quality_alert(
     return record.withColumn("payload", F.to_json(F.struct(*sorted(record.columns))))
 
 
-def _result(test: DataTest, failed: Column) -> Column:
-    return F.struct(
-        F.lit(test.name).alias("test"),
-        F.lit(test.table).alias("table_name"),
-        F.lit(test.severity).alias("severity"),
-        failed.alias("failed_rows"),
+def _results(tests: Sequence[DataTest], counted: DataFrame) -> DataFrame:
+    """A row per test from one row that holds the counts as ``failed_0``, ``failed_1``, ..."""
+    rows = [
+        f"'{test.name}', '{test.table}', '{test.severity}', failed_{i}"
+        for i, test in enumerate(tests)
+    ]
+    return counted.selectExpr(
+        f"stack({len(tests)}, {', '.join(rows)}) as (test, table_name, severity, failed_rows)"
     )
 
 
@@ -289,7 +308,3 @@ def _any_null(*columns: str) -> Column:
     for column in columns[1:]:
         condition = condition | F.col(column).isNull()
     return condition
-
-
-def _one_row(df: DataFrame) -> DataFrame:
-    return df.sparkSession.range(1)

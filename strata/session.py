@@ -10,6 +10,8 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+# Records the Python call site of every Column call, which makes building a plan slow.
+COLUMN_ORIGIN_KEY = "spark.python.sql.dataFrameDebugging.enabled"
 
 
 def local_session(
@@ -24,12 +26,19 @@ def local_session(
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        .config(COLUMN_ORIGIN_KEY, "false")
     )
     for key, value in (conf or {}).items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
 
+def quicken_planning(spark: SparkSession) -> None:
+    """Leave out call-site records in a session that has not decided about them."""
+    if spark.conf.get(COLUMN_ORIGIN_KEY, None) is None:
+        spark.conf.set(COLUMN_ORIGIN_KEY, "false")
+
+
 def scratch_root(spark: SparkSession) -> str:
     """Shared folder for staged tables: the session's ``spark.checkpoint.dir``.
 
