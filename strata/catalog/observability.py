@@ -61,8 +61,7 @@ def _silence(spark, d):
 
 
 def _events(spark, d):
-    metrics = _metrics(spark, d)
-    return a.alert_events(a.latency_alerts(metrics), a.error_rate_alerts(metrics), _silence(spark, d))
+    return a.alert_events(a.metric_alerts(_metrics(spark, d)), _silence(spark, d))
 
 
 def _flat(alerts: DataFrame) -> DataFrame:

@@ -3,20 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
 def plain(df: DataFrame) -> DataFrame:
     """Decimals as double, dates and timestamps as text."""
-    columns = []
-    for field in df.schema:
-        column = F.col(f"`{field.name}`")
-        if isinstance(field.dataType, T.DecimalType):
-            column = column.cast("double")
-        elif isinstance(field.dataType, T.DateType):
-            column = column.cast("string")
-        elif isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
-            column = F.date_format(column, "yyyy-MM-dd HH:mm:ss")
-        columns.append(column.alias(field.name))
-    return df.select(*columns)
+    return df.selectExpr(*[_plain(field) for field in df.schema])
+
+
+def _plain(field: T.StructField) -> str:
+    name = f"`{field.name}`"
+    if isinstance(field.dataType, T.DecimalType):
+        return f"double({name}) as {name}"
+    if isinstance(field.dataType, T.DateType):
+        return f"string({name}) as {name}"
+    if isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+        return f"date_format({name}, 'yyyy-MM-dd HH:mm:ss') as {name}"
+    return name

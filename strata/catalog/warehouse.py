@@ -3,25 +3,18 @@
 from __future__ import annotations
 
 import hashlib
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans.gold import (
-    GOLD_SCHEMAS,
-    Gold,
-    dim_empresa,
-    dim_fecha,
-    dim_pozo,
-    fct_produccion_conformed,
-    member_dimension,
-)
+from strata.plans.gold import GOLD_SCHEMAS, Gold, dimensions, fct_produccion_conformed
 from strata.plans.silver import (
     STG_POZOS_SCHEMA,
     STG_PRODUCCION_SCHEMA,
     stg_pozos,
     stg_produccion,
 )
-from strata.session import path_exists, scratch_root
+from strata.session import in_parallel, path_exists, scratch_root
 from strata.sources.synthetic import pozos_raw, produccion_raw
 from strata.sources.tables import read_layer, write_layer
 
@@ -41,23 +34,23 @@ def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
 
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str) -> None:
     """Write silver, then gold from the written silver tables."""
-    write_layer(stg_pozos(pozos_raw(spark, sf_dir)), root, "silver", "stg_pozos")
-    write_layer(
-        stg_produccion(produccion_raw(spark, sf_dir)), root, "silver", "stg_produccion", "periodo"
+    raw_wells, raw_reports = pozos_raw(spark, sf_dir), produccion_raw(spark, sf_dir)
+    in_parallel(
+        lambda: write_layer(stg_pozos(raw_wells), root, "silver", "stg_pozos"),
+        lambda: write_layer(
+            stg_produccion(raw_reports), root, "silver", "stg_produccion", "periodo"
+        ),
     )
     pozos, produccion = silver(spark, root)
-    dimensions = {
-        "dim_pozo": dim_pozo(pozos, unique=True),
-        "dim_empresa": dim_empresa(pozos, produccion),
-        "dim_area": member_dimension(pozos, produccion, "area"),
-        "dim_cuenca": member_dimension(pozos, produccion, "cuenca"),
-        "dim_tipo_recurso": member_dimension(pozos, produccion, "tipo_recurso"),
-        "dim_fecha": dim_fecha(produccion),
-    }
-    for name, frame in dimensions.items():
-        write_layer(frame, root, "gold", name)
-    fact = fct_produccion_conformed(produccion, pozos)
-    write_layer(fact, root, "gold", "fct_produccion", "periodo")
+    in_parallel(
+        lambda: write_layer(
+            fct_produccion_conformed(produccion, pozos), root, "gold", "fct_produccion", "periodo"
+        ),
+        *[
+            partial(write_layer, frame, root, "gold", name)
+            for name, frame in dimensions(pozos, produccion).items()
+        ],
+    )
 
 
 def silver(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
@@ -78,7 +71,8 @@ def gold(spark: SparkSession, root: str) -> Gold:
 
 def warehouse(spark: SparkSession, sf_dir: str) -> str:
     root = warehouse_root(spark, sf_dir)
-    if not path_exists(spark, f"{root}/gold/fct_produccion/_SUCCESS"):
+    tables = [f"{root}/gold/{name}/_SUCCESS" for name in GOLD_SCHEMAS]
+    if not all(path_exists(spark, table) for table in tables):
         build_warehouse(spark, sf_dir, root)
     return root
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from strata.functions.text import title_words, two_decimals
 from strata.operators.aggregates import union_all
 from strata.operators.metrics import duration_sum, is_error, pane_start
+from strata.session import staged
 
 # Severity numbers and their symbols, evaluation and quiet periods.
 SEVERITIES = {"low": 1, "medium": 2, "high": 3, "critical": 4}
@@ -103,16 +104,20 @@ def _error_rate_rule(config: AlertConfig) -> tuple[Column, list[Column]]:
 
 
 def tick_grid(log: DataFrame, seconds: int = TICK_SECONDS) -> DataFrame:
-    """Evaluation times from the first to the last request, made per day of the log."""
-    seen = log.agg(F.min("ts").alias("first"), F.max("ts").alias("last"))
-    days = F.sequence(
-        F.date_trunc("day", "first"), F.date_trunc("day", "last"), F.expr("interval 1 day")
-    )
-    per_day = seen.select("first", "last", F.explode(days).alias("day"))
-    offsets = F.sequence(F.lit(0), F.lit(86400 - 1), F.lit(seconds))
-    ticks = per_day.select("first", "last", "day", F.explode(offsets).alias("offset"))
-    ts = F.timestamp_seconds(F.unix_seconds("day") + F.col("offset"))
-    return ticks.select("first", "last", ts.alias("ts")).filter("ts between first and last").select("ts")
+    """Evaluation times, multiples of ``seconds``, from the first to the last request.
+
+    Only the two times come to the driver; the ticks are a distributed range.
+    """
+    seen = log.agg(
+        F.unix_micros(F.min("ts")).alias("first"), F.unix_micros(F.max("ts")).alias("last")
+    ).first()
+    spark = log.sparkSession
+    if seen["first"] is None:
+        numbers = spark.range(0)
+    else:
+        step = seconds * 1_000_000
+        numbers = spark.range(-(-seen["first"] // step), seen["last"] // step + 1)
+    return numbers.select(F.timestamp_seconds(F.col("id") * seconds).alias("ts"))
 
 
 def service_down_alerts(
@@ -196,7 +201,8 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
     on entry can only block its first quiet period, hence every possible first choice is
     followed through the chunk at once; walking a key's chunks needs only those few
     outcomes, and the choices are then made per chunk. Of alerts with equal key and
-    time the one with the smallest message is kept.
+    time the one with the smallest message is kept. The alerts are written to the scratch
+    folder first, so that what they derive from is computed once.
     """
     quiet = seconds * 1_000_000
     chunk = quiet * PERIODS_PER_CHUNK
@@ -205,6 +211,7 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
         .groupBy("key", "_t")
         .agg(F.min_by(F.struct(*[c for c in alerts.columns if c != "key"]), "message").alias("_a"))
     )
+    single = staged(alerts.sparkSession, single, "alerts")
     times = single.select(
         "key", "_t", ((F.col("_t") - F.pmod("_t", F.lit(chunk))) / F.lit(chunk)).cast("long").alias("chunk")
     )

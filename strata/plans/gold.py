@@ -158,14 +158,21 @@ def fct_produccion_conformed(
     )
 
 
+def dimensions(pozos: DataFrame, produccion: DataFrame) -> dict[str, DataFrame]:
+    """The six dimensions by table name; the well list must hold each well once."""
+    return {
+        "dim_pozo": dim_pozo(pozos, unique=True),
+        "dim_empresa": dim_empresa(pozos, produccion),
+        "dim_area": member_dimension(pozos, produccion, "area"),
+        "dim_cuenca": member_dimension(pozos, produccion, "cuenca"),
+        "dim_tipo_recurso": member_dimension(pozos, produccion, "tipo_recurso"),
+        "dim_fecha": dim_fecha(produccion),
+    }
+
+
 def build_gold(pozos: DataFrame, produccion: DataFrame) -> Gold:
     """Full rebuild of the star schema from silver, as lazy plans."""
     return Gold(
-        dim_pozo=dim_pozo(pozos, unique=True),
-        dim_empresa=dim_empresa(pozos, produccion),
-        dim_area=member_dimension(pozos, produccion, "area"),
-        dim_cuenca=member_dimension(pozos, produccion, "cuenca"),
-        dim_tipo_recurso=member_dimension(pozos, produccion, "tipo_recurso"),
-        dim_fecha=dim_fecha(produccion),
+        **dimensions(pozos, produccion),
         fct_produccion=fct_produccion_conformed(produccion, pozos),
     )

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +14,7 @@ from strata.operators.aggregates import duplicate_excess, month_counts, partitio
 from strata.plans import gold as g
 from strata.plans import quality
 from strata.plans import silver as s
+from strata.session import in_parallel
 from strata.sources.bronze import bronze_path, replace_partition, scan_bronze, with_load_metadata
 from strata.sources.csv_text import read_csv_text
 from strata.sources.tables import (
@@ -64,8 +66,10 @@ def run_period(
     The period also names the production month that is reprocessed from all loads.
     Running a period again converges to the same tables.
     """
-    load_bronze(spark, root, PRODUCTION_RAW, production, period, loaded_at)
-    load_bronze(spark, root, WELLS_RAW, wells, period, loaded_at)
+    in_parallel(
+        lambda: load_bronze(spark, root, PRODUCTION_RAW, production, period, loaded_at),
+        lambda: load_bronze(spark, root, WELLS_RAW, wells, period, loaded_at),
+    )
     return transform(spark, root, period, now)
 
 
@@ -81,10 +85,12 @@ def transform(
     wells = scan_bronze(spark, root, WELLS_RAW)
     quality.check_freshness({PRODUCTION_RAW: production, WELLS_RAW: wells}, now)
 
-    write_layer(s.stg_pozos(wells), root, "silver", "stg_pozos")
-    _refresh(
-        spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA, full_refresh,
-        lambda target: s.stg_produccion(production, target, reprocess),
+    in_parallel(
+        lambda: write_layer(s.stg_pozos(wells), root, "silver", "stg_pozos"),
+        lambda: _refresh(
+            spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA, full_refresh,
+            lambda target: s.stg_produccion(production, target, reprocess),
+        ),
     )
     pozos = read_layer(spark, root, "silver", "stg_pozos", s.STG_POZOS_SCHEMA)
     produccion = read_layer(spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA)
@@ -92,16 +98,10 @@ def transform(
         {"stg_pozos": pozos, "stg_produccion": produccion}, quality.SILVER_SUITE, root
     )
 
-    dimensions = {
-        "dim_pozo": g.dim_pozo(pozos, unique=True),
-        "dim_empresa": g.dim_empresa(pozos, produccion),
-        "dim_area": g.member_dimension(pozos, produccion, "area"),
-        "dim_cuenca": g.member_dimension(pozos, produccion, "cuenca"),
-        "dim_tipo_recurso": g.member_dimension(pozos, produccion, "tipo_recurso"),
-        "dim_fecha": g.dim_fecha(produccion),
-    }
-    for name, dimension in dimensions.items():
-        write_layer(dimension, root, "gold", name)
+    dimensions = g.dimensions(pozos, produccion)
+    in_parallel(
+        *[partial(write_layer, frame, root, "gold", name) for name, frame in dimensions.items()]
+    )
     on_dimensions = [t for t in quality.GOLD_SUITE if t.table != "fct_produccion"]
     on_fact = [t for t in quality.GOLD_SUITE if t.table == "fct_produccion"]
     quality.quality_gate(gold_frames(spark, root, list(dimensions)), on_dimensions, root)

@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from typing import TypeVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+T = TypeVar("T")
+# Fixed value: models that are built at the same time.
+JOB_THREADS = 4
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Records the Python call site of every Column call, which makes building a plan slow.
 COLUMN_ORIGIN_KEY = "spark.python.sql.dataFrameDebugging.enabled"
@@ -84,23 +88,19 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextmanager
-def staged_table(spark: SparkSession, df: DataFrame, label: str) -> Iterator[DataFrame]:
-    """``staged`` for the length of a ``with`` block; the copy is removed at its end."""
-    path = scratch_path(spark, label)
-    df.write.parquet(path)
-    try:
-        yield spark.read.schema(df.schema).parquet(path)
-    finally:
-        delete_path(spark, path)
-
-
 def spread(df: DataFrame, *keys: str) -> DataFrame:
     """Hash-partition an input whose scan has fewer splits than there are cores.
 
     A file of one row group is read by one task; heavy work on it would leave the other
-    cores idle. Inputs with enough splits are returned as they are, without a shuffle.
+    cores idle. A split feeds at most eight tasks. Inputs with enough splits are
+    returned as they are, without a shuffle.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
     splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(cores, *keys) if splits < cores else df
+    return df.repartition(min(cores, 8 * splits), *keys) if splits < cores else df
+
+
+def in_parallel(*jobs: Callable[[], T]) -> list[T]:
+    """Run independent Spark jobs from a few driver threads; the first error is raised."""
+    with ThreadPoolExecutor(max_workers=JOB_THREADS) as pool:
+        return [future.result() for future in [pool.submit(job) for job in jobs]]
