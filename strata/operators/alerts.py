@@ -81,6 +81,7 @@ def metric_alerts(metrics: DataFrame, config: AlertConfig = AlertConfig()) -> Da
     return metrics.select("ts", alerts.alias("alert")).select("ts", "alert.*")
 
 
+# The wording of the messages.
 def _latency_rule(config: AlertConfig) -> tuple[Column, list[Column]]:
     limit, value = float(config.latency_threshold), F.col("avg_latency")
     return value > limit, _alert_columns(

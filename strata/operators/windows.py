@@ -57,5 +57,9 @@ def running_bucket_sum(
 
 
 def prev_sample(series: Sequence[str], ts: str = "ts", value: str = "value") -> Column:
-    """Previous sample of the same series."""
+    """Previous sample of the same series.
+
+    A series is sorted by one task; for long ones add a time pane to ``series``, as
+    ``counter_increase`` does.
+    """
     return F.lag(value).over(W.partitionBy(*series).orderBy(ts))

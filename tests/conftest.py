@@ -41,8 +41,14 @@ WELL_ROWS = [
 @pytest.fixture(scope="session")
 def spark():
     session = local_session(
-        "strata-tests", "4",
-        {"spark.ui.showConsoleProgress": "false", "spark.sql.shuffle.partitions": "4"},
+        "strata-tests", "8",
+        {
+            "spark.ui.showConsoleProgress": "false",
+            "spark.sql.shuffle.partitions": "2",
+            # Compiling plans takes longer than running them on a handful of rows.
+            "spark.sql.codegen.wholeStage": "false",
+            "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+        },
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
