@@ -2,9 +2,15 @@
 
 from __future__ import annotations
 
-from strata.catalog import medallion, medallion_sql, observability, observability_sql, operations, operations_sql
-
-from strata.session import quicken_planning
+from strata.catalog import (
+    medallion,
+    medallion_sql,
+    observability,
+    observability_sql,
+    operations,
+    operations_sql,
+)
+from strata.session import prepare
 
 
 def queries() -> dict:
@@ -14,7 +20,7 @@ def queries() -> dict:
 
 def _prepared(run):
     def call(spark, sf_dir):
-        quicken_planning(spark)
+        prepare(spark)
         return run(spark, sf_dir)
 
     return call

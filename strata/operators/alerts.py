@@ -221,9 +221,11 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
         t = np.sort(group["_t"].to_numpy())
         entries = int(np.searchsorted(t, group["chunk"].iloc[0] * chunk + quiet)) + 1
         outcome = _last_choice(t, quiet)[:entries]
+        # Neighbouring first choices mostly lead to the same end; the latest stands for all.
+        distinct = np.append(outcome[1:] != outcome[:-1], True)
         return pd.DataFrame(
             {"key": group["key"].iloc[0], "chunk": group["chunk"].iloc[0],
-             "first_choice": t[:entries], "last_choice": outcome}
+             "first_choice": t[:entries][distinct], "last_choice": outcome[distinct]}
         )
 
     def walk(group: pd.DataFrame) -> pd.DataFrame:
@@ -234,14 +236,14 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
             starts = options["first_choice"].to_numpy()
             i = int(np.searchsorted(starts, blocked_until))
             if i < len(starts):
-                chosen.append((group["key"].iloc[0], number, starts[i]))
+                chosen.append((group["key"].iloc[0], number, blocked_until))
                 blocked_until = options["last_choice"].to_numpy()[i] + quiet
-        return pd.DataFrame(chosen, columns=["key", "chunk", "start"])
+        return pd.DataFrame(chosen, columns=["key", "chunk", "blocked_until"])
 
     def choose(group: pd.DataFrame) -> pd.DataFrame:
         t = np.sort(group["_t"].to_numpy())
         after = np.searchsorted(t, t + quiet)
-        i, picked = int(np.searchsorted(t, group["start"].iloc[0])), []
+        i, picked = int(np.searchsorted(t, group["blocked_until"].iloc[0])), []
         while i < len(t):
             picked.append(t[i])
             i = int(after[i])
@@ -250,7 +252,7 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
     outcomes = times.groupBy("key", "chunk").applyInPandas(
         follow, "key string, chunk long, first_choice long, last_choice long"
     )
-    starts = outcomes.groupBy("key").applyInPandas(walk, "key string, chunk long, start long")
+    starts = outcomes.groupBy("key").applyInPandas(walk, "key string, chunk long, blocked_until long")
     picks = (
         times.join(starts, ["key", "chunk"])
         .groupBy("key", "chunk")

@@ -19,6 +19,8 @@ def latest_per_key(
     shuffle, so a key with very many versions costs one row per task.
     """
     payload = [name for name in df.columns if name not in keys]
+    if not payload:
+        return df.distinct()
     rank = F.struct(_descending(df, order), *ties)
     newest = df.groupBy(*keys).agg(F.min_by(F.struct(*payload), rank).alias("newest"))
     return newest.select(*keys, "newest.*").select(*df.columns)

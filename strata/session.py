@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 T = TypeVar("T")
 # Fixed value: models that are built at the same time.
 JOB_THREADS = 4
+TIME_ZONE_KEY = "spark.sql.session.timeZone"
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Records the Python call site of every Column call, which makes building a plan slow.
 COLUMN_ORIGIN_KEY = "spark.python.sql.dataFrameDebugging.enabled"
@@ -26,7 +27,7 @@ def local_session(
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(TIME_ZONE_KEY, "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
@@ -37,8 +38,10 @@ def local_session(
     return builder.getOrCreate()
 
 
-def quicken_planning(spark: SparkSession) -> None:
-    """Leave out call-site records in a session that has not decided about them."""
+def prepare(spark: SparkSession) -> None:
+    """Settings the queries rely on: timestamps in UTC, plans built without call sites."""
+    if spark.conf.get(TIME_ZONE_KEY) != "UTC":
+        spark.conf.set(TIME_ZONE_KEY, "UTC")
     if spark.conf.get(COLUMN_ORIGIN_KEY, None) is None:
         spark.conf.set(COLUMN_ORIGIN_KEY, "false")
 

@@ -6,10 +6,11 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from strata.operators.metrics import duration_sum, is_error
 
+# Fixed value: time between two evaluations.
 TICK_TRIGGER = "30 seconds"
 
 
@@ -50,6 +51,11 @@ def as_alert_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
+def every_tick(writer: DataStreamWriter) -> DataStreamWriter:
+    """Evaluate a stream at the interval alerts are checked."""
+    return writer.trigger(processingTime=TICK_TRIGGER)
+
+
 def late_rows(query: StreamingQuery) -> int:
     """Rows the watermark made a query drop so far, as far back as its progress reaches."""
     return sum(
