@@ -100,7 +100,9 @@ def failing_rows(tables: Mapping[str, DataFrame], test: DataTest) -> DataFrame:
     """The rows, keys or result row that make a test fail."""
     df = tables[test.table]
     if test.kind == "column_exists":
-        missing = df.sparkSession.createDataFrame([(test.table, test.columns[0])], "table_name string, column_name string")
+        missing = df.sparkSession.createDataFrame(
+            [(test.table, test.columns[0])], "table_name string, column_name string"
+        )
         return missing.filter(F.lit(test.columns[0] not in df.columns))
     predicate = failing_predicate(test)
     if predicate is not None:
