@@ -39,11 +39,9 @@ def local_session(
 
 
 def prepare(spark: SparkSession) -> None:
-    """Settings the queries rely on: timestamps in UTC, plans built without call sites."""
+    """The one setting the queries rely on: timestamps in UTC."""
     if spark.conf.get(TIME_ZONE_KEY) != "UTC":
         spark.conf.set(TIME_ZONE_KEY, "UTC")
-    if spark.conf.get(COLUMN_ORIGIN_KEY, None) is None:
-        spark.conf.set(COLUMN_ORIGIN_KEY, "false")
 
 
 def scratch_root(spark: SparkSession) -> str:
