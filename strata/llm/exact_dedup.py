@@ -68,12 +68,15 @@ def group_copies(
     rows = rows.select("_id", "_sha", "_recipe", "_content")
     groups = rows.groupBy(F.col("_recipe").alias("_r"), F.col("_content").alias("_c")).agg(
         F.max("_id").alias("_keep"), F.count(F.lit(1)).alias("_size")
-    )
+    ).filter("_size > 1")
+    # Staged, so that the rows of one very large group can be split in the join.
+    groups = staged(spark, groups, "copy-groups")
     same = (F.col("_recipe") == F.col("_r")) & F.col("_content").eqNullSafe(F.col("_c"))
+    keep = F.when(F.col("_size").isNull(), F.col("_id")).otherwise(F.col("_keep"))
     return rows.join(groups, same, "left").select(
-        F.col("_id").alias(id_column), F.col("_keep").alias("keep_id"),
-        F.col("_size").alias("group_size"), F.col("_id").eqNullSafe(F.col("_keep")).alias("kept"),
-        F.col("_sha").alias("text_sha256"),
+        F.col("_id").alias(id_column), keep.alias("keep_id"),
+        F.coalesce("_size", F.lit(1)).cast("long").alias("group_size"),
+        F.col("_id").eqNullSafe(keep).alias("kept"), F.col("_sha").alias("text_sha256"),
     )
 
 

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import sql
+from strata.llm.bpe import decode, encode, load_vocabulary
 from strata.llm.chat import (
     format_conversations,
     read_loss,
@@ -13,6 +15,7 @@ from strata.llm.chat import (
     text_parts,
 )
 from strata.llm.exact_dedup import group_copies
+from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import mixed_sizes
 from strata.llm.url_rules import host_rule, judge_urls, word_rule
 
@@ -26,6 +29,8 @@ HOST_RULES = (
 CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 # Words that mark gambling, medicine spam and trackers in host or path.
 BLOCKED_WORDS = ("casino", "bets", "pills", "ads", "track", "lottery", "jackpot")
+# The rank file of the tokenizer, among the public ones that are installed.
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +46,12 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
+        "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -62,6 +73,15 @@ def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = load_vocabulary(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return decode(encode(docs, vocabulary), vocabulary).select(
+        "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_copies(table(spark, sf_dir, "documents"))
 
@@ -69,7 +89,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
+    "op6_line_dedup": op6_line_dedup,
     "op8_chat_formatting": op8_chat_formatting,
+    "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}

@@ -97,7 +97,28 @@ select doc_id, keep_id, group_size, doc_id is not distinct from keep_id as kept,
 from grouped
 """
 
+OP6 = r"""
+with lines as (
+  select doc_id, unnest(string_split(coalesce(text, ''), chr(10))) as line,
+    generate_subscripts(string_split(coalesce(text, ''), chr(10)), 1) as n
+  from documents),
+keyed as (
+  select *, translate(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as key
+  from lines),
+repeated as (
+  select key, min(doc_id) as first from keyed where length(key) >= 10
+  group by key having count(distinct doc_id) > 1),
+marked as (
+  select k.*, coalesce(k.doc_id <> r.first, false) as dropped
+  from keyed k left join repeated r on k.key = r.key)
+select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) order by n) filter (where not dropped), '')) as kept_sha256
+from marked group by doc_id
+"""
+
 ORACLES = {
+    "op6_line_dedup": OP6,
     "op3_url_filters": OP3,
     "op4_mixing": OP4,
     "op8_chat_formatting": OP8,
