@@ -17,6 +17,7 @@ from strata.llm.chat import (
 from strata.llm.exact_dedup import group_copies
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import mixed_sizes
+from strata.llm.substring_dedup import dedup_substrings
 from strata.llm.url_rules import host_rule, judge_urls, word_rule
 
 # The rules and the extra conversation that the result is defined for.
@@ -52,6 +53,13 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return dedup_substrings(docs).select(
+        "doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 def op8_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     given = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     extra = spark.range(2).select(
@@ -90,6 +98,7 @@ QUERIES = {
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,

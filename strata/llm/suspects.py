@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 # Bits per expected key, positions per key, bits of a segment, and of a filter at most.
-BITS_PER_KEY, POSITIONS = 16, 4
+BITS_PER_KEY, POSITIONS = 8, 4
 SEGMENT_BITS = 22
 MOST_BITS = 1 << 30
 LEAST_BITS = 1 << SEGMENT_BITS
@@ -60,7 +60,7 @@ def _unpack(packed: bytes) -> np.ndarray:
 def twice_filter(df: DataFrame, keys: Keys, bits: int) -> Broadcast:
     """The second filter over the keys that ``keys`` yields from the batches of ``df``.
 
-    Each array that ``keys`` yields holds keys of which none counts twice by itself.
+    A key that ``keys`` yields twice, in one array or in two, counts as seen twice.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
