@@ -17,6 +17,7 @@ from strata.llm.chat import (
 from strata.llm.exact_dedup import group_copies
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import mixed_sizes
+from strata.llm.ngram_join import join_near
 from strata.llm.substring_dedup import dedup_substrings
 from strata.llm.url_rules import host_rule, judge_urls, word_rule
 
@@ -38,6 +39,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = join_near(table(spark, sf_dir, "documents"))
+    return rows
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*HOST_RULES, *[word_rule(w, "block") for w in BLOCKED_WORDS]]
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -95,6 +101,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_ngram_join": op1_ngram_join,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
     "op6_line_dedup": op6_line_dedup,
