@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.llm import sql
+from strata.llm.ann import nearest
 from strata.llm.bpe import decode, encode, load_vocabulary
 from strata.llm.chat import (
     format_conversations,
@@ -53,6 +54,10 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixed_sizes(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op5_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"), F.col("id") % 20 == 0)
+
+
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select(
         "doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")
@@ -104,6 +109,7 @@ QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
+    "op5_nearest": op5_nearest,
     "op6_line_dedup": op6_line_dedup,
     "op7_substring_dedup": op7_substring_dedup,
     "op8_chat_formatting": op8_chat_formatting,
