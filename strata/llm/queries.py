@@ -15,6 +15,7 @@ from strata.llm.chat import (
     read_turns,
     text_parts,
 )
+from strata.llm.cotraining import score_documents
 from strata.llm.exact_dedup import group_copies
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import mixed_sizes
@@ -45,6 +46,11 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", "content_score", "metadata_score", "score", "accepted")
+
+
 def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = [*HOST_RULES, *[word_rule(w, "block") for w in BLOCKED_WORDS]]
     return judge_urls(table(spark, sf_dir, "pages"), rules)
@@ -107,6 +113,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
+    "op2_quality": op2_quality,
     "op3_url_filters": op3_url_filters,
     "op4_mixing": op4_mixing,
     "op5_nearest": op5_nearest,
