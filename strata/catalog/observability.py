@@ -19,7 +19,7 @@ from strata.streaming.alerts import alert_sink, dedup_alerts_stream
 from strata.streaming.requests import as_alert_metrics, request_metrics_stream
 
 WINDOW, QUIET = 900, 3600
-SILENCE = a.AlertConfig(service_down_threshold=600)
+SILENCE = a.Limits(silent=600)
 TICK = 300
 STREAM_WINDOW, STREAM_DELAY, STREAM_QUIET = "1 hour", "10 minutes", 4 * 3600
 
@@ -86,11 +86,21 @@ def counter_steps(spark, d):
     return plain(samples)
 
 
+def closed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The requests as a stream, and one a day after the last, which closes all windows."""
+    log = log_of(spark, sf_dir)
+    last = log.orderBy(F.desc("ts"), *[c for c in log.columns if c != "ts"]).limit(1)
+    path = scratch_path(spark, "closing")
+    last.withColumn("ts", F.col("ts") + F.expr("interval 1 day")).write.parquet(path)
+    closing = spark.readStream.schema(log.schema).parquet(path)
+    return normalize_log(request_stream(spark, sf_dir)).union(closing)
+
+
 def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Windowed metrics as a stream writes them: windows the watermark has closed."""
+    """Windowed metrics of the whole log, as a stream writes them."""
     path = scratch_path(spark, "stream")
     metrics = request_metrics_stream(
-        normalize_log(request_stream(spark, sf_dir)), STREAM_WINDOW, watermark=STREAM_DELAY
+        closed_stream(spark, sf_dir), STREAM_WINDOW, watermark=STREAM_DELAY
     )
     query = (
         metrics.writeStream.format("parquet")
@@ -114,7 +124,7 @@ def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "stream")
     metrics = as_alert_metrics(
         request_metrics_stream(
-            normalize_log(request_stream(spark, sf_dir)), STREAM_WINDOW, watermark=STREAM_DELAY
+            closed_stream(spark, sf_dir), STREAM_WINDOW, watermark=STREAM_DELAY
         )
     )
     notified = dedup_alerts_stream(a.metric_alerts(metrics), STREAM_QUIET)

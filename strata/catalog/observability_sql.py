@@ -134,9 +134,7 @@ hours as (
   select date_trunc('hour', ts) as window_start, count(*) as requests, {_ERRORS} as errors,
     {_MEAN} as avg_latency, {_ERRORS} / count(*) as error_rate
   from log group by all),
-closed as (
-  select * from hours where window_start + interval 1 hour
-    <= (select max(ts) from log) - interval 10 minutes)"""
+closed as (select * from hours)"""
 
 _SAMPLES = """
 hourly as (

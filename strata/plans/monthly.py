@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.aggregates import duplicate_excess, month_counts, partition_counts
+from strata.operators.quality import DataTest
 from strata.plans import gold as g
 from strata.plans import quality
 from strata.plans import silver as s
@@ -18,12 +19,13 @@ from strata.session import in_parallel
 from strata.sources.bronze import bronze_path, replace_partition, scan_bronze, with_load_metadata
 from strata.sources.csv_text import read_csv_text
 from strata.sources.tables import (
+    Staged,
     finish_merge,
     layer_exists,
-    merge_upsert,
     publish_view,
     read_layer,
-    write_layer,
+    stage_layer,
+    stage_merge,
 )
 
 PRODUCTION_RAW, WELLS_RAW = "produccion_raw", "pozos_raw"
@@ -37,6 +39,8 @@ class Landed:
     paths: str | Sequence[str]
     source_url: str
     resource_id: str
+    # Whether a cell may span lines; without such cells, files are read in splits.
+    multi_line: bool = True
 
 
 def load_bronze(
@@ -47,7 +51,7 @@ def load_bronze(
     period: str,
     loaded_at: datetime | None = None,
 ) -> int:
-    rows = read_csv_text(spark, landed.paths)
+    rows = read_csv_text(spark, landed.paths, landed.multi_line)
     loaded = with_load_metadata(rows, period, landed.source_url, landed.resource_id, loaded_at)
     return replace_partition(loaded, bronze_path(root, name), period)
 
@@ -85,50 +89,60 @@ def transform(
     wells = scan_bronze(spark, root, WELLS_RAW)
     quality.check_freshness({PRODUCTION_RAW: production, WELLS_RAW: wells}, now)
 
-    in_parallel(
-        lambda: write_layer(s.stg_pozos(wells), root, "silver", "stg_pozos"),
-        lambda: _refresh(
+    staged_wells, staged_reports = in_parallel(
+        lambda: stage_layer(
+            s.stg_pozos(wells), root, "silver", "stg_pozos", schema=s.STG_POZOS_SCHEMA
+        ),
+        lambda: _refreshed(
             spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA, full_refresh,
             lambda target: s.stg_produccion(production, target, reprocess),
         ),
     )
+    _publish({"stg_pozos": staged_wells, "stg_produccion": staged_reports},
+             quality.SILVER_SUITE, root)
     pozos = read_layer(spark, root, "silver", "stg_pozos", s.STG_POZOS_SCHEMA)
     produccion = read_layer(spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA)
-    quality.quality_gate(
-        {"stg_pozos": pozos, "stg_produccion": produccion}, quality.SILVER_SUITE, root
-    )
 
-    dimensions = g.dimensions(pozos, produccion)
-    in_parallel(
-        *[partial(write_layer, frame, root, "gold", name) for name, frame in dimensions.items()]
-    )
-    on_dimensions = [t for t in quality.GOLD_SUITE if t.table != "fct_produccion"]
-    on_fact = [t for t in quality.GOLD_SUITE if t.table == "fct_produccion"]
-    quality.quality_gate(gold_frames(spark, root, list(dimensions)), on_dimensions, root)
-    _refresh(
+    models = g.dimensions(pozos, produccion)
+    dimensions = in_parallel(*[
+        partial(stage_layer, frame, root, "gold", name, schema=g.GOLD_SCHEMAS[name])
+        for name, frame in models.items()
+    ])
+    fact = _refreshed(
         spark, root, "gold", "fct_produccion", g.GOLD_SCHEMAS["fct_produccion"], full_refresh,
         lambda target: g.fct_produccion_conformed(produccion, pozos, target, reprocess),
     )
-    frames = gold_frames(spark, root, list(g.GOLD_SCHEMAS))
-    star = g.Gold(**frames)
+    _publish({**dict(zip(models, dimensions, strict=True)), "fct_produccion": fact},
+             quality.GOLD_SUITE, root)
+    star = g.Gold(**gold_frames(spark, root, list(g.GOLD_SCHEMAS)))
     publish_view(quality.quality_marks(star), "gold", "quality_marks")
-    quality.quality_gate(frames, on_fact, root)
     return star
 
 
+def _publish(tables: dict[str, Staged], suite: Sequence[DataTest], root: str) -> None:
+    """Test staged tables and put them in place; a failed gate leaves the old ones there."""
+    try:
+        quality.quality_gate({name: t.frame for name, t in tables.items()}, suite, root)
+    except quality.QualityGateError:
+        for table in tables.values():
+            table.discard()
+        raise
+    for table in tables.values():
+        table.publish()
+
+
 def gold_frames(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
     return {name: read_layer(spark, root, "gold", name, g.GOLD_SCHEMAS[name]) for name in names}
 
 
-def _refresh(spark, root, layer, name, schema, full_refresh, build) -> None:
-    """Build a monthly table in full the first time, merge a batch into it afterwards."""
+def _refreshed(spark, root, layer, name, schema, full_refresh, build) -> Staged:
+    """A monthly table built in full the first time, with a batch merged in afterwards."""
     keys = ("id_pozo", "periodo")
     if full_refresh or not layer_exists(spark, root, layer, name):
-        write_layer(build(None), root, layer, name, "periodo")
-        return
-    finish_merge(spark, root, layer, name, keys, schema)
+        return stage_layer(build(None), root, layer, name, "periodo", schema)
+    finish_merge(spark, root, layer, name, schema)
     target = read_layer(spark, root, layer, name, schema)
-    merge_upsert(build(target), root, layer, name, keys, schema, unique=True)
+    return stage_merge(build(target), root, layer, name, keys, schema, unique=True)
 
 
 def months(spark: SparkSession, start: str, end: str) -> list[str]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.columns import pass_error
@@ -17,6 +17,7 @@ from strata.operators.quality import DataTest
 from strata.plans.gold import Gold
 from strata.sources.tables import store_failures
 
+# The declared tests of silver and gold.
 SILVER_SUITE: tuple[DataTest, ...] = (
     *q.unique_combination("stg_produccion", "id_pozo", "periodo"),
     *q.not_null(
@@ -77,14 +78,15 @@ GOLD_SUITE: tuple[DataTest, ...] = (
 
 # Age limits of a source in days.
 WARN_AFTER_DAYS, ERROR_AFTER_DAYS = 35, 60
+FAILED = "data tests failed: "
 
 
 class QualityGateError(RuntimeError):
     """Tests of error severity failed; ``tests`` names them."""
 
     def __init__(self, tests: Sequence[str]):
-        super().__init__(f"data tests failed: {', '.join(tests)}")
-        self.tests = list(tests)
+        self.tests = sorted(tests)
+        super().__init__(FAILED + ", ".join(self.tests))
 
 
 class StaleSourceError(RuntimeError):
@@ -149,7 +151,8 @@ def quality_gate(
     ]
     not_passed = [test for test, _, status in results if status != "pass"]
     if root is not None:
-        store_failures(failures(tables, suite, not_passed), root)
+        spark = next(iter(tables.values())).sparkSession
+        store_failures(spark, failures(tables, suite, not_passed), [t.name for t in suite], root)
     blocking = [test for test, _, status in results if status == "fail"]
     if blocking:
         raise QualityGateError(blocking)
@@ -273,17 +276,18 @@ def publish_gate(marks: DataFrame, freshness: DataFrame) -> DataFrame:
     )
 
 
-def quality_alert(
-    spark: SparkSession,
-    error: str,
-    job_name: str = "end_to_end_data_job",
-    op_name: str = "unknown",
-    run_id: str = "unknown",
-) -> DataFrame:
-    """Structured record of a failed run with its JSON payload, keys in order."""
-    record = spark.createDataFrame(
-        [("data_quality_job_failed", job_name, op_name, run_id, error)],
-        "event string, job_name string, op_name string, run_id string, error string",
+def quality_alert(results: DataFrame, job_name: str, op_name: str, run_id: str) -> DataFrame:
+    """Structured record of a run that its tests stop, with its JSON payload, keys in order.
+
+    ``results`` are those of ``run_tests``; without a failed one there is no record.
+    """
+    names = F.array_sort(F.collect_list("test"))
+    failed = results.filter("status = 'fail'").agg(names.alias("tests")).filter(F.size("tests") > 0)
+    record = failed.select(
+        # Fixed value: the name of the event.
+        F.lit("data_quality_job_failed").alias("event"), F.lit(job_name).alias("job_name"),
+        F.lit(op_name).alias("op_name"), F.lit(run_id).alias("run_id"),
+        F.concat(F.lit(FAILED), F.array_join("tests", ", ")).alias("error"),
     )
     return record.withColumn("payload", F.to_json(F.struct(*sorted(record.columns))))
 

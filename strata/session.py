@@ -74,6 +74,12 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
+def rename_path(spark: SparkSession, path: str, to: str) -> None:
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
+        raise OSError(f"cannot rename {path} to {to}")
+
+
 def child_directories(spark: SparkSession, path: str, pattern: str) -> list[str]:
     """Sorted names of the directories below ``path`` that match a glob."""
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{pattern}")
@@ -89,18 +95,6 @@ def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Hash-partition an input whose scan has fewer splits than there are cores.
-
-    A file of one row group is read by one task; heavy work on it would leave the other
-    cores idle. A split feeds at most eight tasks. Inputs with enough splits are
-    returned as they are, without a shuffle.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    splits = df._jdf.queryExecution().toRdd().getNumPartitions()
-    return df.repartition(min(cores, 8 * splits), *keys) if splits < cores else df
-
-
 def in_parallel(*jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs from a few driver threads; the first error is raised."""
     with ThreadPoolExecutor(max_workers=JOB_THREADS) as pool:

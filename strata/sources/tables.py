@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.session import delete_path, path_exists, scratch_root
+from strata.session import delete_path, path_exists, rename_path, scratch_root
 
 PERIOD = "periodo"
+# Folders beside a table while it is replaced, and the mark of a merge that may be finished.
+NEW, OLD, APPROVED = ".new", ".old", "approved"
 
 
 class DuplicateKeyError(ValueError):
@@ -22,20 +24,63 @@ def table_path(root: str, layer: str, name: str) -> str:
     return f"{root}/{layer}/{name}"
 
 
-def write_layer(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None
-) -> None:
-    """Materialise a model as a table of its layer, replacing what was there.
+class Staged:
+    """A table as it will be: ``frame`` can be tested before ``publish`` or ``discard``."""
+
+    def __init__(self, frame: DataFrame, publish: Callable[[], None], discard: Callable[[], None]):
+        self.frame, self.publish, self.discard = frame, publish, discard
+
+
+def stage_layer(
+    df: DataFrame,
+    root: str,
+    layer: str,
+    name: str,
+    partition_by: str | None = None,
+    schema: str | None = None,
+) -> Staged:
+    """Materialise a model beside the table of its layer, which ``publish`` replaces.
 
     A partitioned table is rebalanced on its partition column first: small months
     share a task, a month that is too large is split over several files.
     """
+    spark, path = df.sparkSession, table_path(root, layer, name)
     if partition_by:
         df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.parquet(table_path(root, layer, name))
+    writer.parquet(f"{path}{NEW}")
+    return Staged(
+        spark.read.schema(schema or df.schema).parquet(f"{path}{NEW}"),
+        lambda: swap_in(spark, path),
+        lambda: delete_path(spark, f"{path}{NEW}"),
+    )
+
+
+def swap_in(spark: SparkSession, path: str) -> None:
+    """Put a complete new folder in the place of ``path``; ``settle`` ends a cut-off swap."""
+    if path_exists(spark, path):
+        delete_path(spark, f"{path}{OLD}")
+        rename_path(spark, path, f"{path}{OLD}")
+    rename_path(spark, f"{path}{NEW}", path)
+    delete_path(spark, f"{path}{OLD}")
+
+
+def settle(spark: SparkSession, path: str) -> None:
+    """Finish a swap that had moved the old folder away, or take that one back."""
+    if path_exists(spark, path) or not path_exists(spark, f"{path}{OLD}"):
+        return
+    complete = path_exists(spark, f"{path}{NEW}/_SUCCESS")
+    rename_path(spark, f"{path}{NEW}" if complete else f"{path}{OLD}", path)
+    delete_path(spark, f"{path}{OLD}")
+
+
+def write_layer(
+    df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None
+) -> None:
+    """Materialise a model as a table of its layer, replacing what was there."""
+    stage_layer(df, root, layer, name, partition_by).publish()
 
 
 def publish_view(df: DataFrame, layer: str, name: str) -> None:
@@ -52,7 +97,10 @@ def read_layer(
 
 
 def layer_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
-    return path_exists(spark, table_path(root, layer, name))
+    """Whether the table was written to its end; a folder alone does not count."""
+    path = table_path(root, layer, name)
+    settle(spark, path)
+    return path_exists(spark, f"{path}/_SUCCESS")
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -67,7 +115,7 @@ def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
         raise DuplicateKeyError(f"more than one source row per {list(keys)}")
 
 
-def merge_upsert(
+def stage_merge(
     source: DataFrame,
     root: str,
     layer: str,
@@ -75,69 +123,74 @@ def merge_upsert(
     keys: Sequence[str],
     schema: str,
     unique: bool = False,
-) -> None:
-    """Upsert ``source`` into a table partitioned by month.
+) -> Staged:
+    """Upsert ``source`` into a table partitioned by month, up to the point of publishing.
 
     Only the months that occur in the batch are read and rewritten, so the month must
-    be one of the keys. The batch is written to the scratch folder first: it may
-    derive from the table it is merged into, and a merge cut off half-way is finished
-    from there by ``finish_merge``.
+    be one of the keys. Their merged rows are written to the scratch folder whole:
+    the batch may derive from the table, and a merge that was cut off while months were
+    replaced is finished by ``finish_merge`` from there, whatever is left of them.
     """
     if PERIOD not in keys:
         raise ValueError(f"{PERIOD} must be one of the merge keys")
     spark = source.sparkSession
-    batch_path = _pending_path(spark, root, layer, name)
-    source.select(*_columns(schema)).write.mode("overwrite").parquet(batch_path)
-    batch = spark.read.schema(schema).parquet(batch_path)
+    path = _pending_path(spark, root, layer, name)
+    delete_path(spark, path)
+    source.select(*_columns(schema)).write.parquet(f"{path}/batch")
+    batch = spark.read.schema(schema).parquet(f"{path}/batch")
     if not unique:
         try:
             check_unique_keys(batch, keys)
         except DuplicateKeyError:
-            delete_path(spark, batch_path)
+            delete_path(spark, path)
             raise
-    _apply_batch(spark, batch, root, layer, name, keys, schema)
-    delete_path(spark, batch_path)
+    # One row per month of the batch.
+    touched = [row[0] for row in batch.select(PERIOD).distinct().collect()]
+    target = read_layer(spark, root, layer, name, schema)
+    inside = F.col(PERIOD).isin(touched) if touched else F.lit(False)
+    merged = upsert_rows(target.filter(inside), batch, keys).hint("rebalance", PERIOD)
+    merged.write.partitionBy(PERIOD).parquet(f"{path}/months")
+    months = spark.read.schema(schema).parquet(f"{path}/months")
+    rest = target.filter(~F.coalesce(inside, F.lit(False)))
+
+    def publish() -> None:
+        spark.range(1).write.mode("overwrite").parquet(f"{path}/{APPROVED}")
+        finish_merge(spark, root, layer, name, schema)
+
+    columns = target.columns
+    return Staged(
+        rest.unionByName(months.select(*columns)), publish, lambda: delete_path(spark, path)
+    )
 
 
-def finish_merge(
-    spark: SparkSession,
+def merge_upsert(
+    source: DataFrame,
     root: str,
     layer: str,
     name: str,
     keys: Sequence[str],
     schema: str,
-) -> bool:
-    """Repeat a merge whose batch is complete but which did not reach its end."""
-    batch_path = _pending_path(spark, root, layer, name)
-    if not path_exists(spark, f"{batch_path}/_SUCCESS"):
-        return False
-    batch = spark.read.schema(schema).parquet(batch_path)
-    check_unique_keys(batch, keys)
-    _apply_batch(spark, batch, root, layer, name, keys, schema)
-    delete_path(spark, batch_path)
-    return True
+    unique: bool = False,
+) -> None:
+    """Upsert ``source`` into a table partitioned by month; see ``stage_merge``."""
+    stage_merge(source, root, layer, name, keys, schema, unique).publish()
 
 
-def _apply_batch(
-    spark: SparkSession,
-    batch: DataFrame,
-    root: str,
-    layer: str,
-    name: str,
-    keys: Sequence[str],
-    schema: str,
-) -> None:
-    months = [row[0] for row in batch.select(PERIOD).distinct().collect()]
-    if not months:
-        return
-    target = read_layer(spark, root, layer, name, schema).filter(F.col(PERIOD).isin(months))
-    merged = upsert_rows(target, batch, keys).hint("rebalance", PERIOD)
+def finish_merge(spark: SparkSession, root: str, layer: str, name: str, schema: str) -> bool:
+    """Put the merged months in place of a merge that was approved but not ended."""
+    path = _pending_path(spark, root, layer, name)
+    if not path_exists(spark, f"{path}/{APPROVED}/_SUCCESS"):
+        return False
     (
-        merged.write.mode("overwrite")
+        spark.read.schema(schema).parquet(f"{path}/months")
+        .hint("rebalance", PERIOD)
+        .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(PERIOD)
         .parquet(table_path(root, layer, name))
     )
+    delete_path(spark, path)
+    return True
 
 
 def _columns(schema: str) -> list[str]:
@@ -149,8 +202,18 @@ def _pending_path(spark: SparkSession, root: str, layer: str, name: str) -> str:
     return f"{scratch_root(spark)}/strata-pending/{warehouse}/{layer}/{name}"
 
 
-def store_failures(failures: Mapping[str, DataFrame], root: str) -> list[str]:
-    """Write the failing rows of every given test to a table of its own."""
-    for test, rows in failures.items():
-        rows.write.mode("overwrite").parquet(f"{root}/test_failures/{test}")
-    return list(failures)
+def store_failures(
+    spark: SparkSession, failures: Mapping[str, DataFrame], tests: Sequence[str], root: str
+) -> list[str]:
+    """Make the stored failures of ``tests`` those of the newest run.
+
+    The failing rows of a test go to a table of its own; a test without any loses the
+    table an earlier run has left.
+    """
+    for test in tests:
+        path = f"{root}/test_failures/{test}"
+        if test in failures:
+            failures[test].write.mode("overwrite").parquet(path)
+        else:
+            delete_path(spark, path)
+    return [test for test in tests if test in failures]

@@ -12,7 +12,7 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 
 from strata.operators.alerts import (
     DEDUP_SECONDS,
-    AlertConfig,
+    Limits,
     render_alert,
     service_down_columns,
 )
@@ -110,7 +110,7 @@ class _Silence(StatefulProcessor):
 
 
 def service_down_stream(
-    requests: DataFrame, service: str, config: AlertConfig = AlertConfig()
+    requests: DataFrame, service: str, limits: Limits = Limits()
 ) -> DataFrame:
     """Alerts for services that stay silent, by processing time.
 
@@ -122,12 +122,12 @@ def service_down_stream(
     silent = requests.select(F.col(service).alias("service"), "seed").groupBy(
         "service"
     ).transformWithStateInPandas(
-        statefulProcessor=_Silence(config.service_down_threshold),
+        statefulProcessor=_Silence(limits.checked().silent),
         outputStructType="service string, ts timestamp",
         outputMode="Update",
         timeMode="ProcessingTime",
     )
-    columns = service_down_columns(config.service_down_threshold, ["service"])
+    columns = service_down_columns(limits.checked().silent, ["service"])
     return silent.select("ts", *columns)
 
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from strata.plans.silver import PRODUCTION_KEYS, STG_PRODUCCION_SCHEMA, stg_produccion
@@ -15,9 +16,11 @@ def incremental_ingest(
 ) -> DataStreamWriter:
     """Stream over the files of a bronze table; start it with ``availableNow``.
 
-    Every micro-batch holds files not seen before. Its rows become a silver batch as in
-    a monthly run: newer than the newest silver row, newest row per key, upsert. A batch
-    repeated after a failure finds its rows merged and changes nothing.
+    Every micro-batch holds files not seen before. Of its rows the newest per key is
+    merged where silver has none or an older one for the key, so the files of one load
+    may come in several micro-batches, and a batch repeated after a failure changes
+    nothing. Between rows of one load time that come apart, the one that came first
+    stays. Columns of the table are those known when the stream is started.
     """
     bronze = scan_bronze(spark, root, name)
     stream = spark.readStream.schema(bronze.schema).parquet(bronze_path(root, name))
@@ -26,12 +29,16 @@ def incremental_ingest(
     def merge(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         layer = ("silver", "stg_produccion")
+        fresh = stg_produccion(batch)
         if not layer_exists(session, root, *layer):
-            write_layer(stg_produccion(batch), root, *layer, partition_by="periodo")
+            write_layer(fresh, root, *layer, partition_by="periodo")
             return
-        finish_merge(session, root, *layer, keys, STG_PRODUCCION_SCHEMA)
-        target = read_layer(session, root, *layer, STG_PRODUCCION_SCHEMA)
-        fresh = stg_produccion(batch, target)
+        finish_merge(session, root, *layer, STG_PRODUCCION_SCHEMA)
+        held = read_layer(session, root, *layer, STG_PRODUCCION_SCHEMA).select(
+            *keys, F.col("_loaded_at").alias("_held_at")
+        )
+        newer = F.col("_held_at").isNull() | (F.col("_loaded_at") > F.col("_held_at"))
+        fresh = fresh.join(held, keys, "left").filter(newer).drop("_held_at")
         merge_upsert(fresh, root, *layer, keys, STG_PRODUCCION_SCHEMA, unique=True)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)

@@ -40,13 +40,12 @@ def test_error_rate_threshold_is_strict(spark, rate, message):
 
 
 @pytest.mark.parametrize(
-    "wrong", [{"latency_threshold": 0}, {"error_rate_threshold": 1.1}, {"error_rate_threshold": -0.1},
-              {"service_down_threshold": 0}],
+    "wrong", [{"slow": 0}, {"failing": 1.1}, {"failing": -0.1}, {"silent": 0}],
 )
 def test_thresholds_are_validated(wrong):
     with pytest.raises(ValueError):
-        a.AlertConfig(**wrong)
-    assert a.AlertConfig() == a.AlertConfig(5.0, 0.05, 30)
+        a.Limits(**wrong).checked()
+    assert a.Limits() == (5.0, 0.05, 30)
 
 
 def requests(spark, *seconds, path="/f"):
@@ -69,7 +68,7 @@ def test_silence_equals_counting_per_tick(spark):
     seconds = np.round(rng.uniform(0, 5000, 150), 3).tolist()
     ticks = np.round(rng.uniform(0, 5000, 300), 3).tolist()
     grid = spark.createDataFrame([(T0 + timedelta(seconds=t),) for t in ticks], "ts timestamp")
-    got = a.service_down_alerts(requests(spark, *seconds), grid, a.AlertConfig(service_down_threshold=37))
+    got = a.service_down_alerts(requests(spark, *seconds), grid, a.Limits(silent=37))
     at = np.array(seconds)
     expected = {T0 + timedelta(seconds=t) for t in ticks if not ((at <= t) & (at > t - 37)).any()}
     assert {r.ts for r in got.collect()} == expected

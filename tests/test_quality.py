@@ -97,9 +97,14 @@ def test_publish_gate_names_what_fails(spark):
 
 
 def test_alert_record(spark):
-    row = quality.quality_alert(spark, "boom", op_name="silver", run_id="r1").first()
-    assert row.event == "data_quality_job_failed" and row.job_name == "end_to_end_data_job"
+    results = spark.createDataFrame(
+        [("b", "fail"), ("w", "warn"), ("a", "fail"), ("p", "pass")], "test string, status string"
+    )
+    passed = results.filter("status <> 'fail'")
+    assert quality.quality_alert(passed, "job", "silver", "r1").count() == 0
+    row = quality.quality_alert(results, "job", "silver", "r1").first()
+    assert row.event == "data_quality_job_failed" and row.job_name == "job"
     assert row.payload == (
-        '{"error":"boom","event":"data_quality_job_failed","job_name":"end_to_end_data_job",'
+        '{"error":"data tests failed: a, b","event":"data_quality_job_failed","job_name":"job",'
         '"op_name":"silver","run_id":"r1"}'
     )

@@ -69,7 +69,7 @@ def test_a_silent_service_is_reported_without_new_input(spark, root):
     rows = [("quiet", True), ("talking", True), ("talking", False)]
     spark.createDataFrame(rows, "service string, seed boolean").write.parquet(f"{root}/in")
     stream = spark.readStream.schema("service string, seed boolean").parquet(f"{root}/in")
-    alerts = service_down_stream(stream, "service", a.AlertConfig(service_down_threshold=2))
+    alerts = service_down_stream(stream, "service", a.Limits(silent=2))
     query = (
         alerts.writeStream.format("memory").queryName("silence").outputMode("update")
         .option("checkpointLocation", f"{root}/checkpoint")
