@@ -7,6 +7,17 @@ from collections.abc import Iterable, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import SparkSession
+
+# Spark's default of 10 000 rows is too much for whole documents: a batch is held by the JVM
+# and by the Python worker, on the way in and on the way out.
+ROWS_KEY, SPARK_ROWS, ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch", "10000", "1000"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Let Arrow batches have fewer rows, unless the session has a setting of its own."""
+    if spark.conf.get(ROWS_KEY, SPARK_ROWS) == SPARK_ROWS:
+        spark.conf.set(ROWS_KEY, ROWS)
 
 
 def parts(batches: Iterable[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:

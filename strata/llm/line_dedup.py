@@ -21,7 +21,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.suspects import filter_bits, suspected, total, twice_filter
+from strata.llm.batches import bound_batches
+from strata.llm.suspects import bloom_filter, filter_bits, suspected, total
 from strata.session import staged
 
 LEAST_POINTS = 10
@@ -60,6 +61,7 @@ def dedup_lines(
     in a shuffle.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     names = [n for n in docs.columns if n not in (lines_column, dropped_column)]
     rows = docs.select(*names).toDF(*[f"c{i}" for i in range(len(names))])
     doc, text = f"c{names.index(id_column)}", f"c{names.index(text_column)}"
@@ -75,7 +77,7 @@ def dedup_lines(
                     yield _hashes(list(keys))
 
     # Repeated rows of a document would make its keys suspects, which costs time only.
-    twice = twice_filter(rows.select(text), all_keys, bits)
+    twice = bloom_filter(rows.select(text), all_keys, bits)
 
     def suspects(batch: pa.RecordBatch) -> list[list[bytes]]:
         keys = [sorted({k for k in line_keys(t, least) if k}) for t in _texts(batch, text)]

@@ -7,8 +7,8 @@ removed. Windows are judged on the input.
 Every window is filed under an anchor, the least hash among the ``prefix``-word runs in it;
 equal windows have equal anchors, and neighbouring windows mostly share one. Suffixes are
 grouped by the words at their anchor. Two Bloom filters over the anchors leave the suffixes
-that may repeat at all. Within a batch the first of equal windows is chosen at once, so a
-passage that very many documents share leaves a task once. The rest is shuffled by prefix; a
+that may repeat at all. Among some megabytes of text the first of equal windows is chosen at once, so a
+passage that very many documents share leaves a task a few times. The rest is shuffled by prefix; a
 prefix with too many suffixes for one group is lengthened, step by step, up to the whole
 window. Each group's suffixes are sorted, neighbours' common prefixes give the nodes of its
 suffix tree, and a node at the depth of a window holds the places of one repeated window.
@@ -24,6 +24,7 @@ empty table gives an empty result.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,8 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.suspects import filter_bits, suspected, total, twice_filter
+from strata.llm.batches import bound_batches, parts
+from strata.llm.suspects import bloom_filter, filter_bits, suspected, total
 from strata.llm.words import WordReader, Words, mix, windows
 from strata.session import staged
 
@@ -46,7 +48,9 @@ NO_ID = 2**63 - 1
 # Positions of a slice are packed beside 36 bits of a hash.
 _PLACE = np.uint64((1 << 28) - 1)
 # Windows of the suffix groups that are sorted together.
-SORTED_AT_ONCE = 400_000
+SORTED_AT_ONCE = 200_000
+# Bytes of text whose windows are compared before they are shuffled.
+COMPARED = 8 << 20
 ROW = "key long, owner long, digest long, first int, anchor int, n int, words binary"
 MARKS = "owner long, digest long, runs array<int>"
 
@@ -76,21 +80,48 @@ def _digest(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text) - (1 << 63)
 
 
+@dataclass
+class Found:
+    """Suspected windows of some texts, as arrays.
+
+    ``row`` of the batch, ``start`` and ``anchor`` (words from the start to the anchor) in the
+    text, ``window`` and ``key`` hashes, ``low`` and ``high`` bytes in ``data``.
+    """
+
+    row: np.ndarray
+    start: np.ndarray
+    anchor: np.ndarray
+    window: np.ndarray
+    key: np.ndarray
+    low: np.ndarray
+    high: np.ndarray
+    data: np.ndarray
+
+    def take(self, chosen: np.ndarray) -> Found:
+        columns = (self.row, self.start, self.anchor, self.window, self.key, self.low, self.high)
+        return Found(*[c[chosen] for c in columns], self.data)
+
+
 class _Suspects:
-    """Suspected windows of a batch: slices of words with flags per window."""
+    """Finds the windows whose anchor is in the filter."""
 
     def __init__(self, filter_bytes: np.ndarray, window: int, prefix: int):
         self._filter, self._window, self._prefix = filter_bytes, window, prefix
         self._reader = WordReader()
 
-    def read(self, texts: pa.Array) -> Iterator[tuple[Words, np.ndarray, np.ndarray, np.ndarray]]:
-        """Per slice: words, starts and anchors of the suspected windows, run hashes."""
+    def read(self, texts: pa.Array) -> Iterator[Found]:
         for words in self._reader.read(texts):
             starts, at, runs = anchors(words, self._window, self._prefix)
             new = np.ones(len(at), bool)
             new[1:] = at[1:] != at[:-1]
             flags = suspected(runs[at[new]], self._filter)[np.cumsum(new) - 1] if len(at) else new
-            yield words, starts[flags], at[flags], runs
+            starts, at = starts[flags], at[flags]
+            row = np.searchsorted(words.offsets, starts, "right") - 1
+            whole, _ = windows(words.hashes, words.offsets, self._window)
+            yield Found(
+                row + words.first, starts - words.offsets[row], at - starts, whole[starts], runs[at],
+                words.starts[starts], words.ends[starts + self._window - 1], words.data,
+            )
 
 
 def start_runs(starts: np.ndarray) -> list[int]:
@@ -115,20 +146,18 @@ def covered(runs: list[int], n_words: int, window: int) -> list[tuple[int, int]]
     return spans
 
 
-def _first_in_batch(found: list[tuple[np.ndarray, ...]], ids: np.ndarray) -> list[np.ndarray]:
-    """Flags per slice: whether no equal window of the batch starts earlier."""
-    hashes = np.concatenate([f[0] for f in found])
-    rows = np.concatenate([f[1] for f in found])
-    starts = np.concatenate([f[2] for f in found])
-    order = np.lexsort((starts, ids[rows], hashes))
-    h, i, s = hashes[order], ids[rows][order], starts[order]
+def first_of_equals(found: Found, ids: np.ndarray) -> np.ndarray:
+    """Whether no equal window among those found starts earlier."""
+    own = ids[found.row]
+    order = np.lexsort((found.start, own, found.window))
+    h, i, s = found.window[order], own[order], found.start[order]
     head = np.ones(len(h), bool)
     head[1:] = h[1:] != h[:-1]
     lead = np.maximum.accumulate(np.where(head, np.arange(len(h)), 0))
     # The same place in a repeated row is not earlier.
     first = np.empty(len(h), bool)
     first[order] = (i == i[lead]) & (s == s[lead])
-    return np.split(first, np.cumsum([len(f[0]) for f in found])[:-1])
+    return first
 
 
 def _ids(batch: pa.RecordBatch) -> np.ndarray:
@@ -149,57 +178,37 @@ def _mark_rows(owner: np.ndarray, digest: np.ndarray, starts: np.ndarray) -> pa.
     )
 
 
-def suffix_rows(
-    batch: pa.RecordBatch, suspects: _Suspects, window: int, prefix: int
-) -> tuple[pa.RecordBatch, pa.RecordBatch]:
+def suffix_rows(batch: pa.RecordBatch, suspects: _Suspects) -> tuple[pa.RecordBatch, pa.RecordBatch]:
     """Suffixes of a batch that may repeat elsewhere, and its own repeated windows."""
     ids, texts = _ids(batch), batch.column("text")
-    slices, found = [], []
-    for words, starts, at, runs in suspects.read(texts):
-        rows = np.searchsorted(words.offsets, starts, "right") - 1
-        hashes, _ = windows(words.hashes, words.offsets, window)
-        inner = starts - words.offsets[rows]
-        slices.append((words, starts, at, runs))
-        found.append((hashes[starts], rows + words.first, inner))
-    first = _first_in_batch(found, ids) if found else []
+    slices = list(suspects.read(texts))
+    found = Found(*[np.concatenate([getattr(f, name) for f in slices]) for name in (
+        "row", "start", "anchor", "window", "key", "low", "high")], slices[0].data)
+    first = first_of_equals(found, ids)
+    digests = np.zeros(batch.num_rows, np.int64)
     raw = texts.cast(pa.binary())
-    digests: dict[int, int] = {}
-
-    def digest_of(rows: np.ndarray) -> np.ndarray:
-        for row in np.unique(rows).tolist():
-            if row not in digests:
-                digests[row] = _digest(raw[row].as_py())
-        return np.fromiter((digests[r] for r in rows.tolist()), np.int64, len(rows))
-
-    columns: list[list] = [[] for _ in range(7)]
-    marks: list[list] = [[], [], []]
-    for (words, starts, at, runs), (_, rows, inner), leads in zip(slices, found, first, strict=True):
-        for kept, value in zip(marks, (ids[rows[~leads]], digest_of(rows[~leads]), inner[~leads]), strict=True):
-            kept.append(value)
-        starts, at, rows, inner = starts[leads], at[leads], rows[leads], inner[leads]
-        if not len(starts):
-            continue
-        # Neighbouring windows with one anchor go together.
-        new = np.ones(len(starts), bool)
-        new[1:] = (at[1:] != at[:-1]) | (starts[1:] != starts[:-1] + 1)
-        head = np.flatnonzero(new)
-        n = np.diff(np.append(head, len(starts)))
-        low, high = words.starts[starts[head]], words.ends[starts[head] + n + window - 2]
-        data = words.data
-        values = (
-            runs[at[head]].view(np.int64), ids[rows[head]], digest_of(rows[head]), inner[head],
-            at[head] - starts[head], n,
-            [data[a:b].tobytes() for a, b in zip(low.tolist(), high.tolist(), strict=True)],
-        )
-        for kept, value in zip(columns, values, strict=True):
-            kept.append(value)
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32())
-    arrays = [pa.array(np.concatenate(c) if c else [], t)
-              for c, t in zip(columns[:6], types, strict=True)]
-    arrays.append(pa.array([w for part in columns[6] for w in part], pa.binary()))
-    names = ["key", "owner", "digest", "first", "anchor", "n", "words"]
-    own = [np.concatenate(m) if m else np.empty(0, np.int64) for m in marks]
-    return pa.RecordBatch.from_arrays(arrays, names=names), _mark_rows(*own)
+    for row in np.unique(found.row).tolist():
+        digests[row] = _digest(raw[row].as_py())
+    again = found.take(~first)
+    marks = _mark_rows(ids[again.row], digests[again.row], again.start)
+    found = found.take(first)
+    # Neighbouring windows with one anchor go together.
+    new = np.ones(len(found.row), bool)
+    new[1:] = (
+        (found.row[1:] != found.row[:-1]) | (found.start[1:] != found.start[:-1] + 1)
+        | (found.anchor[1:] != found.anchor[:-1] - 1)
+    )
+    head = np.flatnonzero(new)
+    n = np.diff(np.append(head, len(new)))
+    data, low, high = found.data, found.low[head].tolist(), found.high[head + n - 1].tolist()
+    lead = found.take(head)
+    words = [data[a:b].tobytes() for a, b in zip(low, high, strict=True)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(lead.key.view(np.int64)), pa.array(ids[lead.row]), pa.array(digests[lead.row]),
+         pa.array(lead.start, pa.int32()), pa.array(lead.anchor, pa.int32()),
+         pa.array(n, pa.int32()), pa.array(words, pa.binary())],
+        names=["key", "owner", "digest", "first", "anchor", "n", "words"],
+    ), marks
 
 
 def suffix_order(hashes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
@@ -375,6 +384,7 @@ def dedup_substrings(
     ``removed``: the maximal repeats as [from, to) word numbers, from 0.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("owner"), F.col(text_column).alias("text"))
     bits = filter_bits(total(rows, F.octet_length("text")) // BYTES_PER_ANCHOR)
 
@@ -386,13 +396,15 @@ def dedup_substrings(
                 if len(at):
                     yield runs[np.unique(at)]
 
-    twice = twice_filter(rows.select("text"), keys, bits)
+    twice = bloom_filter(rows.select("text"), keys, bits)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suspects = _Suspects(twice.value, window, prefix)
-        for batch in batches:
+        for batch in parts(batches, "text", COMPARED):
+            if not batch.num_rows:
+                continue
             batch = batch.set_column(1, "text", batch.column("text").fill_null(""))
-            suffixes, marks = suffix_rows(batch, suspects, window, prefix)
+            suffixes, marks = suffix_rows(batch, suspects)
             nothing = [pa.nulls(marks.num_rows, f.type) for f in suffixes.schema]
             both = pa.Table.from_arrays(
                 [pa.chunked_array([s, m], type=s.type) for s, m in zip(
@@ -416,15 +428,15 @@ def dedup_substrings(
         F.flatten(F.collect_list("runs")).alias("runs")
     )
 
-    def part(suspect: bool):
+    def some(suspect: bool):
         schema = "owner long, text string" + (", digest long" if suspect else "")
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             suspects = _Suspects(twice.value, window, prefix)
-            for batch in batches:
+            for batch in parts(batches, "text"):
                 flags = np.zeros(batch.num_rows, bool)
-                for words, starts, _, _ in suspects.read(batch.column("text")):
-                    flags[np.searchsorted(words.offsets, starts, "right") - 1 + words.first] = True
+                for found in suspects.read(batch.column("text")):
+                    flags[found.row] = True
                 chosen = batch.filter(pa.array(flags == suspect))
                 if suspect:
                     digests = [_digest(t) for t in chosen.column("text").cast(pa.binary()).to_pylist()]
@@ -434,7 +446,7 @@ def dedup_substrings(
         return rows.mapInArrow(run, schema)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, "text"):
             kept, counts, removed, spans = [], [], [], []
             runs = batch.column("runs").to_pylist()
             for text, own_runs in zip(batch.column("text").cast(pa.binary()).to_pylist(), runs, strict=True):
@@ -454,10 +466,10 @@ def dedup_substrings(
             )
 
     own_id = F.coalesce("owner", F.lit(NO_ID))
-    repeats = part(True).join(
+    repeats = some(True).join(
         by_document, (own_id == F.col("_owner")) & (F.col("digest") == F.col("_digest")), "left"
     ).select("owner", "text", "runs")
-    others = part(False).withColumn("runs", F.lit(None).cast("array<int>"))
+    others = some(False).withColumn("runs", F.lit(None).cast("array<int>"))
     return repeats.union(others).mapInArrow(
         cut, "owner long, kept string, n_words long, n_removed long, "
         "removed array<struct<from:int,to:int>>",

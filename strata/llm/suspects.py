@@ -28,7 +28,7 @@ SEGMENT_BITS = 22
 MOST_BITS = 1 << 30
 LEAST_BITS = 1 << SEGMENT_BITS
 # Positions a task gathers before it sends them on.
-GATHERED = 1 << 22
+GATHERED = 1 << 21
 
 Keys = Callable[[Iterator[pa.RecordBatch]], Iterator[np.ndarray]]
 
@@ -57,10 +57,10 @@ def _unpack(packed: bytes) -> np.ndarray:
     return np.cumsum(np.ascontiguousarray(planes.T).view("<u4").ravel(), dtype=np.uint32)
 
 
-def twice_filter(df: DataFrame, keys: Keys, bits: int) -> Broadcast:
+def bloom_filter(df: DataFrame, keys: Keys, bits: int, times: int = 2) -> Broadcast:
     """The second filter over the keys that ``keys`` yields from the batches of ``df``.
 
-    A key that ``keys`` yields twice, in one array or in two, counts as seen twice.
+    With ``times`` 1 it is the first filter, of all keys. A key that ``keys`` yields twice, in one array or in two, counts as seen twice.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -82,7 +82,7 @@ def twice_filter(df: DataFrame, keys: Keys, bits: int) -> Broadcast:
             for segment, seen, again in zip(*columns, strict=True):
                 if segment.as_py() != now:
                     if now is not None:
-                        yield _bits(now, twice)
+                        yield _bits(now, twice if times == 2 else once)
                     now = segment.as_py()
                     once, twice = (np.zeros(1 << SEGMENT_BITS, bool) for _ in range(2))
                 at = _unpack(seen.as_py())
@@ -90,7 +90,7 @@ def twice_filter(df: DataFrame, keys: Keys, bits: int) -> Broadcast:
                 once[at] = True
                 twice[_unpack(again.as_py())] = True
         if now is not None:
-            yield _bits(now, twice)
+            yield _bits(now, twice if times == 2 else once)
 
     sent = df.mapInArrow(send, "segment int, seen binary, again binary")
     united = sent.repartition("segment").sortWithinPartitions("segment").mapInArrow(
@@ -106,8 +106,8 @@ def twice_filter(df: DataFrame, keys: Keys, bits: int) -> Broadcast:
     return df.sparkSession.sparkContext.broadcast(whole)
 
 
-def _bits(segment: int, twice: np.ndarray) -> pa.RecordBatch:
-    packed = pa.array([np.packbits(twice).tobytes()], pa.binary())
+def _bits(segment: int, held: np.ndarray) -> pa.RecordBatch:
+    packed = pa.array([np.packbits(held).tobytes()], pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), packed], ["segment", "bits"])
 
 
@@ -140,7 +140,7 @@ def _bounds(values: np.ndarray, edges: np.ndarray) -> tuple[np.ndarray, np.ndarr
 
 
 def suspected(keys: np.ndarray, filter_bytes: np.ndarray) -> np.ndarray:
-    """Whether each key is in the second filter."""
+    """Whether each key is in the filter."""
     at = positions(keys, len(filter_bytes) * 8)
     held = np.ones(len(keys), bool)
     for i in range(POSITIONS):
