@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.batches import parts
+from strata.llm.batches import bound_batches, parts
 from strata.llm.words import WordReader, white_table
 
 # Documents that training sees at most.
@@ -225,8 +225,11 @@ _FEATURES = "label int, content array<float>, layout array<float>"
 
 
 def _sample(docs: DataFrame, condition, most: int, rows: int, *columns: str) -> DataFrame:
-    """About ``most`` of ``rows`` documents that meet the condition, by the hash of their id."""
-    share = min(1.0, most / max(rows, 1))
+    """Somewhat fewer than ``most`` of ``rows`` documents, by the hash of their id.
+
+    The limit is a bound that the share stays clear of, so the choice does not depend on it.
+    """
+    share = 1.0 if rows <= most else 0.95 * most / rows
     place = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))
     return docs.filter(condition & place).select("id", *columns).limit(most)
 
@@ -274,14 +277,14 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
         [("id", "ascending"), ("label", "ascending")]
     )
     y = table.column("label").to_numpy()
+    goal = (y[y >= 0] > 0).astype(np.float64)
+    if not _both_kinds(goal):
+        return None
     views = [
         table.column(c).combine_chunks().flatten().to_numpy().reshape(len(y), -1)
         for c in ("content", "layout")
     ]
     seen, free = y >= 0, y < 0
-    goal = (y[seen] > 0).astype(np.float64)
-    if not _both_kinds(goal):
-        return None
     return co_train(tuple(v[seen] for v in views), goal, tuple(v[free] for v in views))
 
 
@@ -296,6 +299,7 @@ def score_documents(
     accepted: float = ACCEPTED,
 ) -> DataFrame:
     """The columns of ``docs``, then content_score, metadata_score, score and accepted."""
+    bound_batches(docs.sparkSession)
     inputs = {"id": id_column, "text": text_column, "lang": lang_column, "source": source_column}
     results = ("content_score", "metadata_score", "score", "accepted")
     names = [n for n in docs.columns if n not in results]
