@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,15 +14,17 @@ from strata.operators import metrics as m
 from strata.operators.filters import match_labels
 from strata.operators.ordering import order_labels
 from strata.operators.windows import prev_sample, running_bucket_sum
-from strata.session import scratch_path
+from strata.session import path_exists, scratch_path
 from strata.sources.request_log import normalize_log, uninstrumented
 from strata.sources.synthetic import counter_samples, request_log, request_stream
-from strata.streaming.alerts import alert_sink, dedup_alerts_stream
-from strata.streaming.requests import as_alert_metrics, request_metrics_stream
+from strata.streaming.alerts import alert_sink, dedup_alerts_stream, service_down_stream
+from strata.streaming.requests import as_alert_metrics, every_tick, request_metrics_stream
 
 WINDOW, QUIET = 900, 3600
 SILENCE = a.Limits(silent=600)
 TICK = 300
+# Seconds that the silence stream is given to report every path.
+SILENCE_WAIT = 120
 STREAM_WINDOW, STREAM_DELAY, STREAM_QUIET = "1 hour", "10 minutes", 4 * 3600
 
 
@@ -134,6 +138,40 @@ def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(stored.select("ts", "key", "severity", "message"))
 
 
+def silent_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Paths of the log that a running stream reports as silent once their requests end.
+
+    The log is read as a stream with one seed row per path; the stream is evaluated every
+    second and stopped when all paths have been reported.
+    """
+    path = scratch_path(spark, "silence")
+    seeds = log_of(spark, sf_dir).select("path").distinct().withColumn("seed", F.lit(True))
+    seeds.write.parquet(f"{path}/seeds")
+    requests = normalize_log(request_stream(spark, sf_dir)).select("path", F.lit(False).alias("seed"))
+    seeded = requests.union(spark.readStream.schema(seeds.schema).parquet(f"{path}/seeds"))
+    alerts = service_down_stream(seeded, "path", a.Limits(silent=2))
+
+    def store(batch: DataFrame, batch_id: int) -> None:
+        batch.select("key", "severity", "message").write.mode("overwrite").parquet(
+            f"{path}/alerts/batch={batch_id}"
+        )
+
+    writer = alerts.writeStream.foreachBatch(store).outputMode("update")
+    query = every_tick(writer.option("checkpointLocation", f"{path}/checkpoint"), "1 second").start()
+    wanted = spark.read.parquet(f"{path}/seeds").count()
+    schema = "key string, severity int, message string"
+    found = spark.createDataFrame([], schema)
+    try:
+        deadline = time.monotonic() + SILENCE_WAIT
+        while found.count() < wanted and time.monotonic() < deadline and query.isActive:
+            time.sleep(1)
+            if path_exists(spark, f"{path}/alerts"):
+                found = spark.read.schema(schema).parquet(f"{path}/alerts").distinct()
+    finally:
+        query.stop()
+    return found.select("key", "severity", "message")
+
+
 QUERIES = {
     "request_log": lambda spark, d: plain(log_of(spark, d)),
     "uninstrumented": lambda spark, d: plain(uninstrumented(request_log(spark, d))),
@@ -188,4 +226,5 @@ QUERIES = {
     ),
     "request_metrics_stream": streamed_metrics,
     "dedup_alerts_stream": streamed_alerts,
+    "service_down_stream": silent_paths,
 }

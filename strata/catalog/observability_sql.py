@@ -284,6 +284,10 @@ union all select series, {_START}, null from inside where n = 1""",
   '\\n• *requests_in_window:* 0"}}}}]}}' as payload from service_down_alerts""",
         _ALERTS,
     ),
+    "service_down_stream": log(
+        "select path || ':service_down:active' as key, 4 as severity, "
+        "'Service appears to be down: no requests in last 2s' as message from log group by path"
+    ),
     "request_metrics_stream": log(f"select * replace ({_START}) from closed", _CLOSED),
     "dedup_alerts_stream": log(
         "select strftime(ts - interval 1 microsecond, '%Y-%m-%d %H:%M:%S') as ts, key, severity, message "

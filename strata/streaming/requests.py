@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery, StreamingQueryListener
 
 from strata.operators.metrics import duration_sum, is_error
 
@@ -24,7 +25,7 @@ def request_metrics_stream(
     """Requests, errors, mean latency and error rate per event-time window.
 
     A window is final once the watermark has passed its end; later rows are dropped and
-    counted by ``late_rows``.
+    counted by ``LateRows``.
     """
     requests = F.count(F.lit(1))
     errors = F.count_if(is_error())
@@ -51,15 +52,35 @@ def as_alert_metrics(metrics: DataFrame) -> DataFrame:
     )
 
 
-def every_tick(writer: DataStreamWriter) -> DataStreamWriter:
+def every_tick(writer: DataStreamWriter, interval: str = TICK_TRIGGER) -> DataStreamWriter:
     """Evaluate a stream at the interval alerts are checked."""
-    return writer.trigger(processingTime=TICK_TRIGGER)
+    return writer.trigger(processingTime=interval)
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows the watermark made a query drop so far, as far back as its progress reaches."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Counts the rows that the watermark made queries drop, over their whole life.
+
+    Add it to a session's ``streams`` before the queries start; what a query keeps of its
+    own progress is only the newest part.
+    """
+
+    def __init__(self) -> None:
+        self._dropped: Counter[str] = Counter()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        self._dropped[str(event.progress.id)] += sum(
+            operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators
+        )
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def count(self, query: StreamingQuery) -> int:
+        """Rows dropped so far by all runs of a query, which share its id."""
+        return self._dropped[str(query.id)]

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from strata.operators import alerts as a
 from strata.sources.request_log import REQUEST_LOG_SCHEMA, read_request_log
 from strata.streaming.alerts import alert_sink, dedup_alerts_stream, service_down_stream
-from strata.streaming.requests import as_alert_metrics, late_rows, request_metrics_stream
+from strata.streaming.requests import LateRows, as_alert_metrics, every_tick, request_metrics_stream
 
 T0 = datetime(2024, 1, 1)
 
@@ -57,10 +57,19 @@ def test_late_requests_are_dropped_and_counted(spark, root):
             metrics.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint)
         )
 
-    write_log(spark, log, [0, 10, 600])
-    assert late_rows(start()) == 0
-    write_log(spark, log, [20, 1200])
-    assert late_rows(start()) == 1
+    late = LateRows()
+    spark.streams.addListener(late)
+    try:
+        write_log(spark, log, [0, 10, 600])
+        assert late.count(start()) == 0
+        write_log(spark, log, [20, 1200])
+        query = start()
+        deadline = time.time() + 30
+        while late.count(query) < 1 and time.time() < deadline:
+            time.sleep(0.2)  # progress comes to the listener a moment later
+        assert late.count(query) == 1
+    finally:
+        spark.streams.removeListener(late)
     stored = spark.read.parquet(out).orderBy("window.start").collect()
     assert [(r.window.start, r.requests) for r in stored] == [(T0, 2), (T0 + timedelta(seconds=600), 1)]
 
@@ -70,11 +79,11 @@ def test_a_silent_service_is_reported_without_new_input(spark, root):
     spark.createDataFrame(rows, "service string, seed boolean").write.parquet(f"{root}/in")
     stream = spark.readStream.schema("service string, seed boolean").parquet(f"{root}/in")
     alerts = service_down_stream(stream, "service", a.Limits(silent=2))
-    query = (
+    writer = (
         alerts.writeStream.format("memory").queryName("silence").outputMode("update")
         .option("checkpointLocation", f"{root}/checkpoint")
-        .trigger(processingTime="1 second").start()
     )
+    query = every_tick(writer, "1 second").start()
     try:
         deadline = time.time() + 90
         while time.time() < deadline:
