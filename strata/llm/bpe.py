@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import base64
 import heapq
+import itertools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -30,12 +31,14 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from strata.llm.batches import bound_batches, parts
+
 # White space as Unicode defines it, for ``\s`` of the split pattern.
 WHITE = r"\t-\r\x20\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 # Widths of the matrices in bytes; longer matches go to the heap.
 WIDTHS = (4, 8, 16, 32, 64, 128)
 # Characters of a window and of the texts handled at once; segments remembered by a task.
-WINDOW, AT_ONCE, REMEMBERED = 1 << 20, 1 << 21, 300_000
+WINDOW, AT_ONCE, REMEMBERED = 1 << 20, 1 << 20, 200_000
 NONE = np.int32(2**31 - 1)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -109,7 +112,31 @@ def find_pairs(vocabulary: Vocabulary, left: np.ndarray, right: np.ndarray) -> n
     return found
 
 
-def _merge_matrix(vocabulary: Vocabulary, pieces: list[bytes], width: int) -> list[np.ndarray]:
+class Ragged:
+    """Rows of numbers of any length in one array."""
+
+    def __init__(self) -> None:
+        self.starts, self.lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.values = np.zeros(0, np.int32)
+
+    def add(self, values: np.ndarray, lengths: np.ndarray) -> None:
+        ends = np.cumsum(lengths) + len(self.values)
+        self.starts = np.concatenate([self.starts, ends - lengths])
+        self.lengths = np.concatenate([self.lengths, lengths])
+        self.values = np.concatenate([self.values, values])
+
+    def take(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Values of the rows, one after the other, and their lengths."""
+        lengths = self.lengths[rows]
+        ends = np.cumsum(lengths)
+        shift = np.repeat(self.starts[rows] - (ends - lengths), lengths)
+        return self.values[shift + np.arange(len(shift))], lengths
+
+
+def _merge_matrix(
+    vocabulary: Vocabulary, pieces: list[bytes], width: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all pieces, padded with -1, and their numbers."""
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
     ids = np.full((len(pieces), width), -1, np.int32)
     ids[np.arange(width) < lengths[:, None]] = vocabulary.byte_ids[
@@ -117,14 +144,14 @@ def _merge_matrix(vocabulary: Vocabulary, pieces: list[bytes], width: int) -> li
     ]
     ranks = find_pairs(vocabulary, ids[:, :-1], ids[:, 1:])
     rows = np.arange(len(pieces))
-    result: list[np.ndarray] = [None] * len(pieces)
+    result, result_lengths = np.full_like(ids, -1), np.zeros(len(pieces), np.int64)
     while len(rows):
-        at = ranks.argmin(axis=1) if ranks.shape[1] else np.zeros(len(rows), np.int64)
-        best = ranks[np.arange(len(rows)), at] if ranks.shape[1] else np.full(len(rows), NONE)
-        done = best == NONE
-        for i in np.flatnonzero(done):
-            result[rows[i]] = ids[i, : lengths[i]].copy()
-        go = ~done
+        each = np.arange(len(rows))
+        at = ranks.argmin(axis=1) if width > 1 else np.zeros(len(rows), np.int64)
+        best = ranks[each, at] if width > 1 else np.full(len(rows), NONE)
+        done, go = best == NONE, best != NONE
+        result[rows[done], :width] = ids[done]
+        result_lengths[rows[done]] = lengths[done]
         rows, lengths, at, best = rows[go], lengths[go] - 1, at[go], best[go]
         if not len(rows):
             break
@@ -144,7 +171,7 @@ def _merge_matrix(vocabulary: Vocabulary, pieces: list[bytes], width: int) -> li
         ranks[each[left], at[left] - 1] = find_pairs(
             vocabulary, ids[each[left], at[left] - 1], ids[each[left], at[left]]
         )
-    return result
+    return result, result_lengths
 
 
 def _merge_long(vocabulary: Vocabulary, piece: bytes) -> np.ndarray:
@@ -181,23 +208,25 @@ def _merge_long(vocabulary: Vocabulary, piece: bytes) -> np.ndarray:
     return np.array([i for i in ids if i >= 0], np.int32)
 
 
-def merge_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> list[np.ndarray]:
-    """Ids of each match; the matches need not be distinct."""
-    result: list[np.ndarray] = [None] * len(pieces)
-    low = 1
+def merge_pieces(vocabulary: Vocabulary, pieces: list[bytes]) -> Ragged:
+    """Ids of each match, none of them empty; rows in the order of the matches."""
     lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+    store, order, low = Ragged(), [], 1
     for width in WIDTHS:
         chosen = np.flatnonzero((lengths >= low) & (lengths <= width))
         if len(chosen):
-            merged = _merge_matrix(vocabulary, [pieces[i] for i in chosen], width)
-            for i, ids in zip(chosen, merged, strict=True):
-                result[i] = ids
+            ids, counts = _merge_matrix(vocabulary, [pieces[i] for i in chosen], width)
+            store.add(ids[ids >= 0], counts)
+            order.append(chosen)
         low = width + 1
     for i in np.flatnonzero(lengths >= low):
-        result[i] = _merge_long(vocabulary, pieces[i])
-    for i in np.flatnonzero(lengths == 0):
-        result[i] = np.empty(0, np.int32)
-    return result
+        ids = _merge_long(vocabulary, pieces[i])
+        store.add(ids, np.array([len(ids)]))
+        order.append(np.array([i]))
+    if order:
+        back = np.argsort(np.concatenate(order))
+        store.starts, store.lengths = store.starts[back], store.lengths[back]
+    return store
 
 
 class Encoder:
@@ -211,37 +240,54 @@ class Encoder:
     def __init__(self, vocabulary: Vocabulary):
         self._vocabulary = vocabulary
         self._split = regex.compile(vocabulary.pattern)
-        self._double = regex.compile(rf"[{WHITE}\x1c-\x1f]{{2}}")
+        # White space in a segment beyond the line break it may start with, or no character.
+        self._odd = regex.compile(rf"\n?+(?:\Z|[^{WHITE}\x1c-\x1f]*[{WHITE}\x1c-\x1f])")
         self._entry_ids = {entry: i for i, entry in enumerate(vocabulary.entries) if entry}
         self._forget()
 
     def _forget(self) -> None:
-        self._pieces: dict[str, np.ndarray] = {}
+        self._pieces: dict[str, int] = {}
         self._numbers: dict[str, int] = {}
-        self._starts, self._lengths = np.zeros(0, np.int64), np.zeros(0, np.int64)
-        self._ids = np.zeros(0, np.int32)
+        self._piece_ids, self._ids = Ragged(), Ragged()
+        # Number 0 stands for segments that tell that their window must be split as a whole.
+        self._ids.add(np.zeros(0, np.int32), np.zeros(1, np.int64))
 
-    def _learn(self, segments: list[str], texts: list[str]) -> None:
-        """Encode new segments, all their new matches together."""
-        found = [self._split.findall(text) for text in texts]
-        new = list({piece for pieces in found for piece in pieces} - self._pieces.keys())
+    def _learn_pieces(self, new: list[str]) -> None:
         raw = [piece.encode() for piece in new]
-        whole = [self._entry_ids.get(piece, -1) for piece in raw]
-        merged = iter(merge_pieces(
-            self._vocabulary, [r for r, i in zip(raw, whole, strict=True) if i < 0]
-        ))
-        for piece, i in zip(new, whole, strict=True):
-            self._pieces[piece] = np.array([i], np.int32) if i >= 0 else next(merged)
-        ids = [self._pieces[piece] for pieces in found for piece in pieces]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        ends = np.concatenate([[0], np.cumsum(sizes)])
-        counts = np.concatenate([[0], np.cumsum(np.fromiter(map(len, found), np.int64, len(found)))])
-        bounds = ends[counts] + len(self._ids)
-        first = len(self._numbers)
-        self._numbers.update((s, first + i) for i, s in enumerate(segments))
-        self._starts = np.concatenate([self._starts, bounds[:-1]])
-        self._lengths = np.concatenate([self._lengths, np.diff(bounds)])
-        self._ids = np.concatenate([self._ids, *ids]) if ids else self._ids
+        whole = np.array([self._entry_ids.get(piece, -1) for piece in raw], np.int32)
+        rest = np.flatnonzero(whole < 0)
+        merged = merge_pieces(self._vocabulary, [raw[i] for i in rest])
+        values, lengths = merged.take(np.arange(len(rest)))
+        first = len(self._pieces)
+        ordered = [*np.flatnonzero(whole >= 0).tolist(), *rest.tolist()]
+        self._pieces.update((new[i], first + n) for n, i in enumerate(ordered))
+        entries = whole[whole >= 0]
+        self._piece_ids.add(entries, np.ones(len(entries), np.int64))
+        self._piece_ids.add(values, lengths)
+
+    def _piece_numbers(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of the matches in all texts, and how many each text has."""
+        found = [self._split.findall(text) for text in texts]
+        self._learn_pieces(list(set().union(*found) - self._pieces.keys()))
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        flat = itertools.chain.from_iterable(found)
+        return np.fromiter(map(self._pieces.__getitem__, flat), np.int64, int(counts.sum())), counts
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode new segments, all their new matches together."""
+        # Any white space but a plain space, which no segment holds, is not printable.
+        odd = [s for s in new if not (s and s.isprintable()) and s[:1] != "\x00" and self._odd.match(s)]
+        self._numbers.update(dict.fromkeys(odd, 0))
+        new = [s for s in new if s not in self._numbers]
+        numbers, counts = self._piece_numbers([
+            s[1:] if s[:1] == "\x00" else s if s[:1] == "\n" else " " + s for s in new
+        ])
+        values, lengths = self._piece_ids.take(numbers)
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        bounds = ends[np.concatenate([[0], np.cumsum(counts)])]
+        first = len(self._ids.starts)
+        self._numbers.update((s, first + i) for i, s in enumerate(new))
+        self._ids.add(values, np.diff(bounds))
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._numbers) > REMEMBERED or len(self._pieces) > REMEMBERED:
@@ -256,30 +302,34 @@ class Encoder:
                     self._encode_windows(held, result)
                     held, size = [], 0
         self._encode_windows(held, result)
-        return [np.concatenate(parts) if parts else np.empty(0, np.int32) for parts in result]
+        return [np.concatenate(own) if own else np.empty(0, np.int32) for own in result]
 
     def _encode_windows(self, held: list[tuple[int, str]], result: list[list[np.ndarray]]) -> None:
-        if not held:
-            return
-        split = []
+        flat: list[str] = []
+        edges = [0]
         for _, text in held:
-            if self._double.search(text):
-                # The first match of a window has a mark of its own: no space is implied.
-                split.append(["\x00" + text])
+            segments = text.replace("\n", " \n").split(" ")
+            # The first segment of a window has a mark of its own: no space is implied.
+            segments[0] = "\x00" + segments[0]
+            flat += segments
+            edges.append(len(flat))
+        known = map(self._numbers.get, flat, itertools.repeat(-1))
+        numbers = np.fromiter(known, np.int64, len(flat))
+        missing = np.flatnonzero(numbers < 0)
+        if len(missing):
+            lacking = [flat[i] for i in missing.tolist()]
+            self._learn(list(dict.fromkeys(lacking)))
+            numbers[missing] = np.fromiter(map(self._numbers.__getitem__, lacking), np.int64, len(lacking))
+        values, lengths = self._ids.take(numbers)
+        ends = np.concatenate([[0], np.cumsum(lengths)])[edges]
+        whole = np.add.reduceat(numbers == 0, edges[:-1]) > 0 if held else ()
+        for n, (i, text) in enumerate(held):
+            # A mark at the start may be followed by white space, which then is odd as well.
+            if whole[n] or self._odd.match(flat[edges[n]], 1):
+                own, _ = self._piece_numbers([text])
+                result[i].append(self._piece_ids.take(own)[0])
             else:
-                parts = text.replace("\n", " \n").split(" ")
-                parts[0] = "\x00" + parts[0]
-                split.append(parts)
-        new = list(set().union(*split) - self._numbers.keys())
-        self._learn(new, [
-            s[1:] if s[:1] == "\x00" else s if s[:1] == "\n" else " " + s for s in new
-        ])
-        for (i, _), parts in zip(held, split, strict=True):
-            numbers = np.fromiter(map(self._numbers.__getitem__, parts), np.int64, len(parts))
-            lengths = self._lengths[numbers]
-            ends = np.cumsum(lengths)
-            shift = np.repeat(self._starts[numbers] - (ends - lengths), lengths)
-            result[i].append(self._ids[shift + np.arange(len(shift))])
+                result[i].append(values[ends[n] : ends[n + 1]])
 
 
 def _windows(text: str) -> Iterator[str]:
@@ -304,13 +354,14 @@ def _schema(df: DataFrame, drop: str, added: list[tuple[str, T.DataType]]) -> T.
 
 def encode(df: DataFrame, vocabulary: Vocabulary, text_column: str = "text") -> DataFrame:
     """The other columns of ``df``, then n_tokens and ids in the place of the text."""
+    bound_batches(df.sparkSession)
     schema = _schema(df, text_column, [("n_tokens", T.LongType()), ("ids", T.BinaryType())])
     carried = schema.names[:-2]
     tables = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = Encoder(tables.value)
-        for batch in batches:
+        for batch in parts(batches, text_column):
             texts = [t or "" for t in batch.column(text_column).to_pylist()]
             ids = encoder.encode(texts)
             counts = pa.array([len(i) for i in ids], pa.int64())
@@ -324,12 +375,13 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text_column: str = "text") ->
 
 def decode(df: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") -> DataFrame:
     """The columns of ``df`` and ``decoded``, the bytes that the ids stand for."""
+    bound_batches(df.sparkSession)
     schema = _schema(df, "decoded", [("decoded", T.BinaryType())])
     tables = df.sparkSession.sparkContext.broadcast(vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         entries = tables.value.entries
-        for batch in batches:
+        for batch in parts(batches, ids_column):
             texts = [
                 b"".join(map(entries.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
                 for ids in batch.column(ids_column).to_pylist()
