@@ -14,10 +14,15 @@ from strata.operators import metrics as m
 from strata.operators.filters import match_labels
 from strata.operators.ordering import order_labels
 from strata.operators.windows import prev_sample, running_bucket_sum
-from strata.session import path_exists, scratch_path
+from strata.session import path_exists, scratch_path, staged
 from strata.sources.request_log import normalize_log, uninstrumented
 from strata.sources.synthetic import counter_samples, request_log, request_stream
-from strata.streaming.alerts import alert_sink, dedup_alerts_stream, service_down_stream
+from strata.streaming.alerts import (
+    alert_sink,
+    dedup_alerts_stream,
+    service_down_stream,
+    use_state_store,
+)
 from strata.streaming.requests import as_alert_metrics, every_tick, request_metrics_stream
 
 WINDOW, QUIET = 900, 3600
@@ -125,6 +130,7 @@ def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of the windowed stream after deduplication, read back from the sink."""
+    use_state_store(spark)
     path = scratch_path(spark, "stream")
     metrics = as_alert_metrics(
         request_metrics_stream(
@@ -144,6 +150,7 @@ def silent_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     The log is read as a stream with one seed row per path; the stream is evaluated every
     second and stopped when all paths have been reported.
     """
+    use_state_store(spark)
     path = scratch_path(spark, "silence")
     seeds = log_of(spark, sf_dir).select("path").distinct().withColumn("seed", F.lit(True))
     seeds.write.parquet(f"{path}/seeds")
@@ -220,7 +227,9 @@ QUERIES = {
     "metric_alerts": lambda spark, d: _flat(a.metric_alerts(_metrics(spark, d))),
     "service_down_alerts": lambda spark, d: _flat(_silence(spark, d)),
     "alert_events": lambda spark, d: _flat(_events(spark, d)),
-    "dedup_alerts": lambda spark, d: _flat(a.dedup_alerts(_events(spark, d), QUIET)),
+    "dedup_alerts": lambda spark, d: _flat(
+        a.dedup_alerts(staged(spark, _events(spark, d), "alerts"), QUIET)
+    ),
     "render_alert": lambda spark, d: plain(
         a.render_alert(_silence(spark, d)).select("ts", "key", "payload")
     ),

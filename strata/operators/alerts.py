@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from strata.functions.text import title_words, two_decimals
 from strata.operators.aggregates import union_all
 from strata.operators.metrics import duration_sum, is_error, pane_start
-from strata.session import staged
 
 # Severity numbers and their symbols, evaluation and quiet periods.
 SEVERITIES = {"low": 1, "medium": 2, "high": 3, "critical": 4}
@@ -204,8 +203,8 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
     on entry can only block its first quiet period, hence every possible first choice is
     followed through the chunk at once; walking a key's chunks needs only those few
     outcomes, and the choices are then made per chunk. Of alerts with equal key and
-    time the one with the smallest message is kept. The alerts are written to the scratch
-    folder first, so that what they derive from is computed once.
+    time the one with the smallest message is kept. The alerts are read several times;
+    stage them where they are dear to compute.
     """
     quiet = seconds * 1_000_000
     chunk = quiet * PERIODS_PER_CHUNK
@@ -214,7 +213,6 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
         .groupBy("key", "_t")
         .agg(F.min_by(F.struct(*[c for c in alerts.columns if c != "key"]), "message").alias("_a"))
     )
-    single = staged(alerts.sparkSession, single, "alerts")
     times = single.select(
         "key", "_t", ((F.col("_t") - F.pmod("_t", F.lit(chunk))) / F.lit(chunk)).cast("long").alias("chunk")
     )

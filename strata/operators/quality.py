@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import reduce
 from datetime import date, datetime
 
 from pyspark.sql import DataFrame
@@ -125,24 +126,21 @@ def repeated_keys(df: DataFrame, columns: Sequence[str], skip_null: bool) -> Dat
 
 
 def repeated_counts(df: DataFrame, tests: Sequence[DataTest]) -> DataFrame:
-    """Repeated keys of several uniqueness tests in one pass: one row, a column per test.
+    """Numbers of repeated keys of several uniqueness tests: one row, a column per test.
 
-    Every row yields one key per test; keys are counted before the shuffle.
+    Each test reads and shuffles its own columns only, in their own types, and counts
+    before the shuffle.
     """
-    keys = []
-    for i, test in enumerate(tests):
-        key = f"array({', '.join(f'string(`{c}`)' for c in test.columns)})"
-        if test.kind == "unique":
-            key = f"if(`{test.columns[0]}` is null, null, {key})"
-        keys.append(f"{i}, {key}")
-    repeated = (
-        df.selectExpr(f"stack({len(tests)}, {', '.join(keys)}) as (test, key)")
-        .filter("key is not null")
-        .groupBy("test", "key")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .filter("n > 1")
+    each = [
+        repeated_keys(df, test.columns, skip_null=test.kind == "unique").agg(
+            F.lit(i).alias("test"), F.count(F.lit(1)).alias("n")
+        )
+        for i, test in enumerate(tests)
+    ]
+    counted = reduce(DataFrame.unionByName, each)
+    return counted.agg(
+        *[F.max(F.when(F.col("test") == i, F.col("n"))).alias(f"failed_{i}") for i in range(len(tests))]
     )
-    return repeated.agg(*[F.expr(f"count_if(test = {i}) as failed_{i}") for i in range(len(tests))])
 
 
 def related_counts(

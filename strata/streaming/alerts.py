@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
@@ -26,6 +26,16 @@ _EVENT_COLUMNS = (
 )
 
 
+def use_state_store(spark: SparkSession) -> None:
+    """Let the streams of a session keep their state where these operators need it."""
+    spark.conf.set(STATE_STORE_KEY, STATE_STORE)
+
+
+def check_state_store(spark: SparkSession) -> None:
+    if spark.conf.get(STATE_STORE_KEY, None) != STATE_STORE:
+        raise ValueError(f"set {STATE_STORE_KEY} to {STATE_STORE} for stateful alerts")
+
+
 class _Dedup(StatefulProcessor):
     """Keeps the time of the last notified alert of a key."""
 
@@ -66,7 +76,7 @@ def dedup_alerts_stream(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> Data
     State is one timestamp per key and is dropped once the watermark has passed the end
     of the quiet period.
     """
-    alerts.sparkSession.conf.set(STATE_STORE_KEY, STATE_STORE)
+    check_state_store(alerts.sparkSession)
     return (
         alerts.select("key", "ts", "alert_type", "severity", "status", "message", "context")
         .groupBy("key")
@@ -118,7 +128,7 @@ def service_down_stream(
     service starts its clock, so a service that never sends a request is reported too.
     Run it with a processing-time trigger; timers fire without new input.
     """
-    requests.sparkSession.conf.set(STATE_STORE_KEY, STATE_STORE)
+    check_state_store(requests.sparkSession)
     silent = requests.select(F.col(service).alias("service"), "seed").groupBy(
         "service"
     ).transformWithStateInPandas(

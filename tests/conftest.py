@@ -7,9 +7,11 @@ import pytest
 
 from strata.session import local_session
 from strata.sources.bronze import bronze_path, replace_partition, scan_bronze, with_load_metadata
+from strata.streaming.alerts import STATE_STORE, STATE_STORE_KEY
 
 SF_DIR = "/root/testdata/sf0.001"
 
+# Fixed test data: columns and rows of the described seed.
 PRODUCTION_COLUMNS = (
     "idempresa", "empresa", "area", "cuenca", "tipo_recurso", "anio", "mes", "idpozo",
     "prod_pet", "prod_gas", "prod_agua", "dias_produccion", "fecha_data",
@@ -48,6 +50,7 @@ def spark():
             # Compiling plans takes longer than running them on a handful of rows.
             "spark.sql.codegen.wholeStage": "false",
             "spark.sql.codegen.factoryMode": "NO_CODEGEN",
+            STATE_STORE_KEY: STATE_STORE,
         },
     )
     session.sparkContext.setLogLevel("ERROR")
