@@ -2,6 +2,30 @@
 
 WORDS = r"'[^\x20\x09-\x0D]+'"
 
+OP1 = rf"""
+with recursive split as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) as ws from documents),
+shingles as (
+  select distinct doc_id, array_to_string(ws[i : i + 4], ' ') as x
+  from split, unnest(range(1, greatest(len(ws) - 3, 2))) as t(i)),
+sizes as (select doc_id, count(*) as n from shingles group by doc_id),
+common as (
+  select a.doc_id as a, b.doc_id as b, count(*) as n
+  from shingles as a join shingles as b on a.x = b.x and a.doc_id <> b.doc_id group by all),
+links as (
+  select a, b from common as c join sizes as p on p.doc_id = a join sizes as q on q.doc_id = b
+  where 5 * c.n >= 4 * (p.n + q.n - c.n)),
+reached(node, other) as (
+  select doc_id, doc_id from documents
+  union
+  select l.b, r.other from reached as r join links as l on l.a = r.node),
+classes as (select node, min(other) as class_id from reached group by node),
+counted as (select a, count(*) as n from links group by a)
+select s.doc_id, class_id, min(s.doc_id) over (partition by ws) as copy_id,
+  count(*) over (partition by ws) as n_copies, coalesce(n, 0) as n_links
+from split as s join classes on node = s.doc_id left join counted on a = s.doc_id
+"""
+
 OP3 = r"""
 with cut as (
   select page_id, case when strpos(url, '://') > 0 then substr(url, strpos(url, '://') + 3) end as rest
@@ -70,6 +94,24 @@ join budget b on s.source is not distinct from b.source
 join taken_units u on s.source is not distinct from u.source and s.h = u.h
 """
 
+OP7 = rf"""
+with split as (
+  select doc_id, regexp_extract_all(coalesce(text, ''), {WORDS}) as ws from documents),
+windows as (
+  select doc_id, i, row_number() over (
+    partition by array_to_string(ws[i : i + 19], ' ') order by doc_id, i) as place
+  from split, unnest(range(1, len(ws) - 18)) as t(i)),
+gone as (
+  select distinct doc_id, p from windows, unnest(range(i, i + 20)) as t(p) where place > 1),
+words as (select doc_id, p, ws[p] as word from split, unnest(range(1, len(ws) + 1)) as t(p)),
+kept as (
+  select doc_id, count(*) as n, string_agg(word, ' ' order by p) as t
+  from words anti join gone using (doc_id, p) group by doc_id)
+select doc_id, len(ws) as n_words, len(ws) - coalesce(n, 0) as n_removed,
+  sha256(coalesce(t, '')) as kept_sha256
+from split left join kept using (doc_id)
+"""
+
 OP8 = r"""
 with turns as (
   select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
@@ -118,6 +160,8 @@ from marked group by doc_id
 """
 
 ORACLES = {
+    "op1_ngram_join": OP1,
+    "op7_substring_dedup": OP7,
     "op6_line_dedup": OP6,
     "op3_url_filters": OP3,
     "op4_mixing": OP4,
