@@ -32,7 +32,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from strata.llm.batches import bound_batches
 from strata.llm.components import components
+from strata.llm.suspects import bloom_filter, filter_bits, suspected
 from strata.llm.words import WordReader, Words, mix, windows
 from strata.session import staged
 
@@ -45,6 +47,8 @@ STEP, TOLERANCE = 8, 1e-8
 BUCKET_BLOCK, TEXT_BLOCK = 2048, 1024
 # Bytes of text that a task verifies at once, and columns of a matrix.
 AT_ONCE, COLUMNS = 8 << 20, 4096
+# Stands for a null id in the filter of wanted rows.
+NO_ID = 2**63 - 1
 
 
 def needed_matches(threshold: float, tolerance: float, hashes: int, step: int) -> list[int]:
@@ -133,8 +137,24 @@ def sketches(docs: DataFrame, size: int, bands: int, rows: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, d1 long, d2 long, signature binary, bands array<long>")
 
 
-def digested(docs: DataFrame) -> DataFrame:
-    """id, d1, d2 and text."""
+def _row_keys(d1: np.ndarray, ids: pa.Array) -> np.ndarray:
+    """What a row's text and id say together, as one number."""
+    numbers = ids.fill_null(NO_ID).to_numpy(zero_copy_only=False).view(np.uint64)
+    return mix(d1.view(np.uint64) ^ mix(numbers))
+
+
+def texts_of(docs: DataFrame, groups: DataFrame) -> DataFrame:
+    """id, d1, d2 and text of the rows that ``groups`` (d1, least) name, and a few others.
+
+    A Bloom filter of the wanted rows keeps all other texts out of the join that follows.
+    """
+
+    def wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            if batch.num_rows:
+                yield _row_keys(batch.column("d1").to_numpy(), batch.column("least"))
+
+    held = bloom_filter(groups.select("d1", "least"), wanted, filter_bits(groups.count()), times=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = WordReader()
@@ -142,10 +162,12 @@ def digested(docs: DataFrame) -> DataFrame:
             found = [sequence_digests(words) for words in reader.read(batch.column("text"))]
             digests = [np.concatenate(d).view(np.int64) for d in zip(*found, strict=True)]
             if digests:
-                yield pa.RecordBatch.from_arrays(
+                rows = pa.RecordBatch.from_arrays(
                     [batch.column("id"), *map(pa.array, digests), batch.column("text")],
                     names=["id", "d1", "d2", "text"],
                 )
+                keys = _row_keys(digests[0], batch.column("id"))
+                yield rows.filter(pa.array(suspected(keys, held.value)))
 
     return docs.mapInArrow(run, "id long, d1 long, d2 long, text string")
 
@@ -373,6 +395,7 @@ def join_near(
     ``partners``, the copy ids linked with it, each pair from both sides.
     """
     spark = docs.sparkSession
+    bound_batches(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     sketched = staged(spark, sketches(rows, size, BANDS, ROWS), "sketches")
     unnamed = -F.shiftrightunsigned("d1", 1) - 1
@@ -390,7 +413,7 @@ def join_near(
         spark, groups.join(classes.select("node", "least", "copies", "d1", "d2"), "node"), "groups"
     )
     # Of a class, the rows with its least id; what they say must be of the class, too.
-    texts = digested(rows)
+    texts = texts_of(rows, groups)
     members = groups.join(texts, ["d1", "d2"]).filter(F.col("id").eqNullSafe(F.col("least")))
     found = staged(spark, verified(members, size, threshold, text_block), "links")
     classed = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
