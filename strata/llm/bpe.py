@@ -23,11 +23,12 @@ import base64
 import heapq
 import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
@@ -352,15 +353,21 @@ def _schema(df: DataFrame, drop: str, added: list[tuple[str, T.DataType]]) -> T.
     return T.StructType([*kept, *[T.StructField(n, t) for n, t in added]])
 
 
+def _sent(df: DataFrame, vocabulary: Vocabulary) -> Broadcast:
+    """The tables without their class, which workers may not be able to import."""
+    values = tuple(getattr(vocabulary, field.name) for field in fields(vocabulary))
+    return df.sparkSession.sparkContext.broadcast(values)
+
+
 def encode(df: DataFrame, vocabulary: Vocabulary, text_column: str = "text") -> DataFrame:
     """The other columns of ``df``, then n_tokens and ids in the place of the text."""
     bound_batches(df.sparkSession)
     schema = _schema(df, text_column, [("n_tokens", T.LongType()), ("ids", T.BinaryType())])
     carried = schema.names[:-2]
-    tables = df.sparkSession.sparkContext.broadcast(vocabulary)
+    tables = _sent(df, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tables.value)
+        encoder = Encoder(Vocabulary(*tables.value))
         for batch in parts(batches, text_column):
             texts = [t or "" for t in batch.column(text_column).to_pylist()]
             ids = encoder.encode(texts)
@@ -377,10 +384,10 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") -> Da
     """The columns of ``df`` and ``decoded``, the bytes that the ids stand for."""
     bound_batches(df.sparkSession)
     schema = _schema(df, "decoded", [("decoded", T.BinaryType())])
-    tables = df.sparkSession.sparkContext.broadcast(vocabulary)
+    tables = _sent(df, vocabulary)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        entries = tables.value.entries
+        entries = Vocabulary(*tables.value).entries
         for batch in parts(batches, ids_column):
             texts = [
                 b"".join(map(entries.__getitem__, np.frombuffer(ids or b"", "<u4").tolist()))
