@@ -33,9 +33,9 @@ from strata.llm.batches import bound_batches, parts
 from strata.llm.words import WordReader, white_table
 
 # Documents that training sees at most.
-LABELLED, POOL = 6000, 6000
+LABELLED, POOL = 4000, 4000
 # Buckets of byte trigrams, of languages and of sources.
-TRIGRAM_BITS, LANGUAGES, SOURCES = 10, 16, 32
+TRIGRAM_BITS, LANGUAGES, SOURCES = 9, 16, 32
 TRIGRAMS = 1 << TRIGRAM_BITS
 ROUNDS, SURE_SHARE, SURE = 3, 0.05, 0.95
 # Share of the labelled sample that calibrates; strength of the penalty; turns of the fit.
