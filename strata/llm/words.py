@@ -16,7 +16,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE = 1 << 20
+SLICE = 1 << 19
 # Fixed value: an odd number, so that it has an inverse modulo 2^64.
 _BASE = 0x9E3779B97F4A7C15 | 1
 _ONE = np.uint64(1)
