@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+# The histogram bounds in seconds.
 BOUNDS = (0.005, 0.01, 0.025, 0.05, 0.1, 0.25, 0.5, 1.0, 2.5, 5.0, 10.0)
 
 REQUESTS = """
