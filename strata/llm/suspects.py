@@ -60,7 +60,8 @@ def _unpack(packed: bytes) -> np.ndarray:
 def bloom_filter(df: DataFrame, keys: Keys, bits: int, times: int = 2) -> Broadcast:
     """The second filter over the keys that ``keys`` yields from the batches of ``df``.
 
-    With ``times`` 1 it is the first filter, of all keys. A key that ``keys`` yields twice, in one array or in two, counts as seen twice.
+    With ``times`` 1 it is the first filter, of all keys. A key that ``keys`` yields twice,
+    in one array or in two, counts as seen twice.
     """
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
