@@ -42,7 +42,9 @@ def produccion_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     days. Returned lines with a large discount report a negative gas volume. A report
     is loaded some days after the month it covers.
     """
-    lineitem = table(spark, sf_dir, "lineitem")
+    # Dealt by well for the join with the wells, and whatever the files' splits are.
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lineitem = table(spark, sf_dir, "lineitem").repartition(tasks, "l_partkey")
     part = table(spark, sf_dir, "part").select("p_partkey", "p_brand", "p_type")
     reports = lineitem.join(part, lineitem.l_partkey == part.p_partkey).join(
         companies(spark, sf_dir), lineitem.l_suppkey == F.col("s_suppkey")
