@@ -25,6 +25,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,15 +34,17 @@ from strata.llm.batches import bound_batches, parts
 from strata.llm.words import WordReader, white_table
 
 # Documents that training sees at most.
-LABELLED, POOL = 4000, 4000
+LABELLED, POOL = 6000, 6000
 # Buckets of byte trigrams, of languages and of sources.
-TRIGRAM_BITS, LANGUAGES, SOURCES = 9, 16, 32
+TRIGRAM_BITS, LANGUAGES, SOURCES = 10, 16, 32
 TRIGRAMS = 1 << TRIGRAM_BITS
 ROUNDS, SURE_SHARE, SURE = 3, 0.05, 0.95
 # Share of the labelled sample that calibrates; strength of the penalty; turns of the fit.
 KEPT_APART, PENALTY, TURNS = 0.25, 1e-3, 120
 ACCEPTED = 0.5
 CONTENT_STATS, LAYOUT_STATS = 4, 13
+# Rows and columns of a matrix that are worked on at a time, which bounds what is copied.
+ROWS, COLUMNS = 1024, 64
 
 
 class Features:
@@ -125,7 +128,11 @@ class View:
     shift: float = 0.0
 
     def logits(self, features: np.ndarray) -> np.ndarray:
-        raw = ((features - self.mean) / self.scale) @ self.weights + self.bias
+        raw = np.empty(len(features), np.float32)
+        for low in range(0, len(features), ROWS):
+            z = features[low : low + ROWS] - self.mean
+            z /= self.scale
+            raw[low : low + ROWS] = z @ self.weights + self.bias
         return self.slope * raw + self.shift
 
 
@@ -145,11 +152,18 @@ def _probability(odds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
 
 
-def fit_view(x: np.ndarray, y: np.ndarray) -> View:
-    """Penalised logistic regression by accelerated gradient descent; kinds weigh alike."""
-    mean, scale = x.mean(axis=0), x.std(axis=0)
+def fit_view(z: np.ndarray, y: np.ndarray) -> View:
+    """Penalised logistic regression by accelerated gradient descent; kinds weigh alike.
+
+    ``z`` holds float32 features and is standardised in place.
+    """
+    mean = z.mean(axis=0)
+    scale = np.concatenate(
+        [z[:, low : low + COLUMNS].std(axis=0) for low in range(0, z.shape[1], COLUMNS)]
+    )
     scale = np.where(scale > 1e-6, scale, 1.0).astype(np.float32)
-    z = ((x - mean) / scale).astype(np.float32)
+    z -= mean
+    z /= scale
     weight = np.where(y == 1, 0.5 / max(y.sum(), 1), 0.5 / max((1 - y).sum(), 1))
     weight = weight.astype(np.float32)
     w, b = np.zeros(z.shape[1], np.float32), np.float32(0)
@@ -193,30 +207,50 @@ def co_train(
     apart &= _both_kinds(y[~apart]) and _both_kinds(y[apart])
     train = ~apart
     held = apart if apart.any() else train
-    x = [view[train] for view in labelled]
     goals = [y[train], y[train]]
+    added = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
     open_ = np.ones(len(pool[0]), bool)
-    views = [fit_view(a, b) for a, b in zip(x, goals, strict=True)]
+
+    def fit() -> list[View]:
+        # One matrix at a time: the rows of the labelled sample, then those of the pool.
+        return [
+            fit_view(_taken((own, np.flatnonzero(train)), (other, rows)), goal)
+            for own, other, rows, goal in zip(labelled, pool, added, goals, strict=True)
+        ]
+
+    views = fit()
     for _ in range(ROUNDS):
         if not open_.any():
             break
         for own, other in ((0, 1), (1, 0)):
             rows = np.flatnonzero(open_)
-            p = _probability(views[own].logits(pool[own][rows]))
+            p = _probability(views[own].logits(pool[own])[rows])
             most = max(1, int(SURE_SHARE * len(rows)))
             for kind, sureness in ((1, p), (0, 1 - p)):
                 sure = np.argsort(-sureness, kind="stable")[:most]
                 sure = rows[sure[sureness[sure] >= SURE]]
                 sure = sure[open_[sure]]
                 open_[sure] = False
-                x[other] = np.concatenate([x[other], pool[other][sure]])
+                added[other] = np.concatenate([added[other], sure])
                 goals[other] = np.concatenate([goals[other], np.full(len(sure), kind)])
-        views = [fit_view(a, b) for a, b in zip(x, goals, strict=True)]
+        views = fit()
     views = [calibrated(v, view[held], y[held]) for v, view in zip(views, labelled, strict=True)]
     share = (y[held].sum() + 1) / (held.sum() + 2)
     return Model(views[0], views[1], float(np.log(share / (1 - share))))
 
 
+def _taken(*parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
+    """Some rows of each of several matrices, as one new matrix."""
+    taken = np.empty((sum(len(rows) for _, rows in parts), parts[0][0].shape[1]), np.float32)
+    start = 0
+    for matrix, rows in parts:
+        # With the mode that raises, take() would fill a copy first.
+        if len(rows):
+            np.take(matrix, rows, axis=0, out=taken[start : start + len(rows)], mode="clip")
+        start += len(rows)
+    return taken
+
+
 def _both_kinds(y: np.ndarray) -> bool:
     return bool(len(y)) and 0 < y.sum() < len(y)
 
@@ -273,19 +307,42 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
             )
 
     id_type = docs.schema["id"].dataType.simpleString()
-    table = both.mapInArrow(run, f"id {id_type}, {_FEATURES}").toArrow().sort_by(
-        [("id", "ascending"), ("label", "ascending")]
-    )
-    y = table.column("label").to_numpy()
-    goal = (y[y >= 0] > 0).astype(np.float64)
+    table = both.mapInArrow(run, f"id {id_type}, {_FEATURES}").toArrow()
+    order = pc.sort_indices(
+        table.select(["id", "label"]), [("id", "ascending"), ("label", "ascending")]
+    ).to_numpy()
+    y = table.column("label").to_numpy()[order]
+    seen = y >= 0
+    goal = (y[seen] > 0).astype(np.float64)
     if not _both_kinds(goal):
         return None
-    views = [
-        table.column(c).combine_chunks().flatten().to_numpy().reshape(len(y), -1)
-        for c in ("content", "layout")
-    ]
-    seen, free = y >= 0, y < 0
-    return co_train(tuple(v[seen] for v in views), goal, tuple(v[free] for v in views))
+    views = []
+    for name in ("content", "layout"):
+        views.append(_placed(table.column(name), order, seen))
+        # The Arrow form of a view is not held while models are fitted.
+        table = table.drop_columns(name)
+    pa.default_memory_pool().release_unused()
+    return co_train(tuple(v[0] for v in views), goal, tuple(v[1] for v in views))
+
+
+def _placed(
+    column: pa.ChunkedArray, order: np.ndarray, seen: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """The rows of a view in the given order, those that are ``seen`` there and the others."""
+    at = np.empty(len(order), np.int64)
+    at[order] = np.where(seen, np.cumsum(seen), np.cumsum(~seen)) - 1
+    own = np.empty(len(order), bool)
+    own[order] = seen
+    width = len(column[0])
+    placed = np.empty((seen.sum(), width), np.float32), np.empty((sum(~seen), width), np.float32)
+    start = 0
+    for chunk in column.chunks:
+        values = chunk.flatten().to_numpy().reshape(len(chunk), width)
+        rows = slice(start, start + len(chunk))
+        for matrix, kind in zip(placed, (own[rows], ~own[rows]), strict=True):
+            matrix[at[rows][kind]] = values[kind]
+        start += len(chunk)
+    return placed
 
 
 def score_documents(
