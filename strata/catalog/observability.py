@@ -6,6 +6,7 @@ import time
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from strata.catalog.result import plain
 from strata.operators import alerts as a
@@ -28,8 +29,6 @@ from strata.streaming.requests import as_alert_metrics, every_tick, request_metr
 WINDOW, QUIET = 900, 3600
 SILENCE = a.Limits(silent=600)
 TICK = 300
-# Seconds that the silence stream is given to report every path.
-SILENCE_WAIT = 120
 STREAM_WINDOW, STREAM_DELAY, STREAM_QUIET = "1 hour", "10 minutes", 4 * 3600
 
 
@@ -144,11 +143,18 @@ def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(stored.select("ts", "key", "severity", "message"))
 
 
+def _read_all(query: StreamingQuery) -> bool:
+    """Whether a batch after the first found no new input."""
+    progress = query.lastProgress
+    return progress is not None and progress.batchId > 0 and progress.numInputRows == 0
+
+
 def silent_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Paths of the log that a running stream reports as silent once their requests end.
 
     The log is read as a stream with one seed row per path; the stream is evaluated every
-    second and stopped when all paths have been reported.
+    second and stopped when its input is read and all paths have been reported, however long
+    that takes. A stream that ends before raises its error.
     """
     use_state_store(spark)
     path = scratch_path(spark, "silence")
@@ -169,8 +175,9 @@ def silent_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = "key string, severity int, message string"
     found = spark.createDataFrame([], schema)
     try:
-        deadline = time.monotonic() + SILENCE_WAIT
-        while found.count() < wanted and time.monotonic() < deadline and query.isActive:
+        while wanted and not (_read_all(query) and found.count() >= wanted):
+            if not query.isActive:
+                raise query.exception() or RuntimeError("the silence stream has ended")
             time.sleep(1)
             if path_exists(spark, f"{path}/alerts"):
                 found = spark.read.schema(schema).parquet(f"{path}/alerts").distinct()

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
@@ -119,6 +120,26 @@ class _Silence(StatefulProcessor):
         pass
 
 
+def thin_requests(requests: DataFrame) -> DataFrame:
+    """One row per service and input partition; a seed only if all of its rows are.
+
+    ``requests``: service, seed. A task holds one row per service.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept = None
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = rows if kept is None else pa.concat_tables([kept, rows])
+            least = rows.group_by("service").aggregate([("seed", "min")])
+            kept = least.select(["service", "seed_min"]).rename_columns(["service", "seed"])
+            kept = kept.cast(batch.schema)
+        if kept is not None:
+            yield from kept.to_batches()
+
+    return requests.mapInArrow(run, requests.schema)
+
+
 def service_down_stream(
     requests: DataFrame, service: str, limits: Limits = Limits()
 ) -> DataFrame:
@@ -129,9 +150,9 @@ def service_down_stream(
     Run it with a processing-time trigger; timers fire without new input.
     """
     check_state_store(requests.sparkSession)
-    silent = requests.select(F.col(service).alias("service"), "seed").groupBy(
-        "service"
-    ).transformWithStateInPandas(
+    # The rows of a busy service must not meet in the one task that has its state.
+    thinned = thin_requests(requests.select(F.col(service).alias("service"), "seed"))
+    silent = thinned.groupBy("service").transformWithStateInPandas(
         statefulProcessor=_Silence(limits.checked().silent),
         outputStructType="service string, ts timestamp",
         outputMode="Update",
