@@ -8,12 +8,13 @@ views are calibrated on labelled documents kept apart, and their calibrated log-
 prior that both contain, are added up. That scores all documents.
 
 Only the training is done on a sample, of ``LABELLED`` labelled and ``POOL`` other documents
-at most, chosen by the hash of their id; its features are all that the driver gets. Scoring
-reads every whole document, and a score depends on the document alone.
+at most, chosen by the hash of their id; the features of one row per id are all that the driver
+gets. Scoring reads every whole document, and a score depends on the document alone.
 
 Cases: a null language or source is a value of its own; a null id has no label; null text is
 empty. Documents without words are rejected with score 0. Labels that are null are ignored;
-of conflicting labels of an id the lowest counts. Without labels of both kinds nothing can be
+of conflicting labels of an id the lowest counts, of rows that repeat an id training sees the
+one with the greatest text. Without labels of both kinds nothing can be
 learned, and every document with words is accepted with score 0.5. Rows that repeat an id are
 scored each; columns named like the results are replaced. An empty table gives an empty result.
 """
@@ -258,14 +259,21 @@ def _both_kinds(y: np.ndarray) -> bool:
 _FEATURES = "label int, content array<float>, layout array<float>"
 
 
-def _sample(docs: DataFrame, condition, most: int, rows: int, *columns: str) -> DataFrame:
-    """Somewhat fewer than ``most`` of ``rows`` documents, by the hash of their id.
+def _sample(docs: DataFrame, most: int, ids: int) -> DataFrame:
+    """Rows of somewhat fewer than ``most`` of ``ids`` ids, by the hash of the id.
 
-    The limit is a bound that the share stays clear of, so the choice does not depend on it.
+    The share stays clear of the limit that callers set, so the choice does not depend on it.
     """
-    share = 1.0 if rows <= most else 0.95 * most / rows
+    share = 1.0 if ids <= most else 0.95 * most / ids
     place = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))
-    return docs.filter(condition & place).select("id", *columns).limit(most)
+    return docs.filter(F.col("id").isNotNull() & place)
+
+
+def _one_per_id(docs: DataFrame) -> DataFrame:
+    """The row with the greatest text of each id; tasks send one row per id at most."""
+    rest = [c for c in docs.columns if c not in ("id", "text")]
+    row = F.max(F.struct("text", *rest)).alias("row")
+    return docs.groupBy("id").agg(row).select("id", "row.*")
 
 
 def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
@@ -279,10 +287,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     counts = known.agg(F.count(F.lit(1)), F.count_if(F.col("label") > 0)).first()
     if not 0 < counts[1] < counts[0]:
         return None
-    chosen = _sample(known, F.lit(True), LABELLED, counts[0], "label")
+    chosen = _sample(known, LABELLED, counts[0]).limit(LABELLED)
     # At most LABELLED rows of two numbers each.
-    labelled = docs.join(F.broadcast(chosen), "id")
-    pool = _sample(docs, F.col("id").isNotNull(), POOL, docs.count(), "text", "lang", "source")
+    labelled = _one_per_id(docs.join(F.broadcast(chosen), "id"))
+    ids = docs.select("id").distinct().count()
+    pool = _one_per_id(_sample(docs, POOL, ids)).limit(POOL)
     # The pool is free of the chosen labelled ones.
     pool = pool.join(F.broadcast(chosen.select("id")), "id", "left_anti").withColumn(
         "label", F.lit(-1)

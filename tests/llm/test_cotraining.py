@@ -3,6 +3,7 @@ from __future__ import annotations
 import tracemalloc
 
 import numpy as np
+from pyspark.sql import functions as F
 
 from strata.llm import cotraining
 
@@ -39,3 +40,24 @@ def test_training_sees_the_whole_sample_in_little_memory():
     assert ((model.score(*pool) >= 0.5) == (kinds == 1)).mean() > 0.99
     # A matrix of all training rows at most, and some columns or rows of it.
     assert peak < 1.1 * given
+
+
+def test_a_repeated_id_is_one_training_document(spark, monkeypatch):
+    """One id holds most rows, as a labelled document and, without its label, in the pool."""
+    seen = []
+    learned = cotraining.co_train
+
+    def watched(labelled, goal, pool):
+        seen.append((len(goal), len(pool[0])))
+        return learned(labelled, goal, pool)
+
+    monkeypatch.setattr(cotraining, "co_train", watched)
+    number = F.greatest(F.col("id") - 900, F.lit(0))
+    text = F.concat(F.lit("text of "), F.col("id"), F.when(number % 2 == 0, " !!! ###").otherwise(" words"))
+    docs = spark.range(1000, numPartitions=4).select(
+        number.alias("doc_id"), text.alias("text"), F.lit("en").alias("lang"), F.lit("web").alias("source")
+    )
+    labels = docs.filter("doc_id < 40").select("doc_id", (F.col("doc_id") % 2).alias("quality"))
+    assert cotraining.score_documents(docs, labels).count() == 1000
+    assert cotraining.score_documents(docs, labels.filter("doc_id > 0")).count() == 1000
+    assert seen == [(40, 60), (39, 61)]
