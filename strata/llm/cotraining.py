@@ -7,9 +7,10 @@ documents of a pool that it is most sure of, and these train the other view. Aft
 views are calibrated on labelled documents kept apart, and their calibrated log-odds, less the
 prior that both contain, are added up. That scores all documents.
 
-Only the training is done on a sample, of ``LABELLED`` labelled and ``POOL`` other documents
-at most, chosen by the hash of their id; the features of one row per id are all that the driver
-gets. Scoring reads every whole document, and a score depends on the document alone.
+Only the training is done on a sample, of ``labelled`` labelled and ``pool`` other documents
+at most, chosen by the hash of their id. Only these take part in the exchange, and the features
+of one row per id are all that the driver gets. Scoring reads every whole document, and a score
+depends on the document alone.
 
 Cases: a null language or source is a value of its own; a null id has no label; null text is
 empty. Documents without words are rejected with score 0. Labels that are null are ignored;
@@ -34,7 +35,7 @@ from pyspark.sql import functions as F
 from strata.llm.batches import bound_batches, parts
 from strata.llm.words import WordReader, white_table
 
-# Documents that training sees at most.
+# Documents that training sees at most, unless the caller says otherwise.
 LABELLED, POOL = 6000, 6000
 # Buckets of byte trigrams, of languages and of sources.
 TRIGRAM_BITS, LANGUAGES, SOURCES = 10, 16, 32
@@ -276,7 +277,9 @@ def _one_per_id(docs: DataFrame) -> DataFrame:
     return docs.groupBy("id").agg(row).select("id", "row.*")
 
 
-def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
+def learn(
+    docs: DataFrame, labels: DataFrame, most_labelled: int = LABELLED, most_pool: int = POOL
+) -> Model | None:
     """Fit the model; None without labels of both kinds.
 
     ``docs``: id, text, lang, source; ``labels``: id, quality.
@@ -287,11 +290,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     counts = known.agg(F.count(F.lit(1)), F.count_if(F.col("label") > 0)).first()
     if not 0 < counts[1] < counts[0]:
         return None
-    chosen = _sample(known, LABELLED, counts[0]).limit(LABELLED)
-    # At most LABELLED rows of two numbers each.
+    chosen = _sample(known, most_labelled, counts[0]).limit(most_labelled)
+    # At most most_labelled rows of two numbers each.
     labelled = _one_per_id(docs.join(F.broadcast(chosen), "id"))
     ids = docs.select("id").distinct().count()
-    pool = _one_per_id(_sample(docs, POOL, ids)).limit(POOL)
+    pool = _one_per_id(_sample(docs, most_pool, ids)).limit(most_pool)
     # The pool is free of the chosen labelled ones.
     pool = pool.join(F.broadcast(chosen.select("id")), "id", "left_anti").withColumn(
         "label", F.lit(-1)
@@ -363,8 +366,14 @@ def score_documents(
     source_column: str = "source",
     quality_column: str = "quality",
     accepted: float = ACCEPTED,
+    labelled: int = LABELLED,
+    pool: int = POOL,
 ) -> DataFrame:
-    """The columns of ``docs``, then content_score, metadata_score, score and accepted."""
+    """The columns of ``docs``, then content_score, metadata_score, score and accepted.
+
+    ``labelled`` and ``pool`` bound the documents that training sees; the driver holds their
+    features.
+    """
     bound_batches(docs.sparkSession)
     inputs = {"id": id_column, "text": text_column, "lang": lang_column, "source": source_column}
     results = ("content_score", "metadata_score", "score", "accepted")
@@ -374,6 +383,8 @@ def score_documents(
     model = learn(
         rows.select(*[F.col(c).alias(name) for name, c in at.items()]),
         labels.select(F.col(id_column).alias("id"), F.col(quality_column).alias("quality")),
+        labelled,
+        pool,
     )
     columns = rows.columns
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)

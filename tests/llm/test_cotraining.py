@@ -61,3 +61,5 @@ def test_a_repeated_id_is_one_training_document(spark, monkeypatch):
     assert cotraining.score_documents(docs, labels).count() == 1000
     assert cotraining.score_documents(docs, labels.filter("doc_id > 0")).count() == 1000
     assert seen == [(40, 60), (39, 61)]
+    assert cotraining.score_documents(docs, labels, labelled=30, pool=20).count() == 1000
+    assert 0 < seen[2][0] <= 30 and seen[2][1] <= 20
