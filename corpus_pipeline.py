@@ -74,7 +74,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     vocabulary = load_vocabulary(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     encoded = encode(docs.select("doc_id", "source", "text"), vocabulary)
     return decode(encoded, vocabulary).select(
-        "doc_id", "source", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
+        "doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
 
