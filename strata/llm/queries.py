@@ -15,11 +15,14 @@ from strata.llm.chat import (
     read_turns,
     text_parts,
 )
+from strata.llm.collocations import collocations
 from strata.llm.cotraining import score_documents
 from strata.llm.exact_dedup import group_copies
+from strata.llm.html_text import extract_text
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.mixing import mixed_sizes
 from strata.llm.ngram_join import join_near
+from strata.llm.ranked_search import search
 from strata.llm.substring_dedup import dedup_substrings
 from strata.llm.url_rules import host_rule, judge_urls, word_rule
 
@@ -111,6 +114,18 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return group_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_ngram_join": op1_ngram_join,
     "op2_quality": op2_quality,
@@ -122,5 +137,8 @@ QUERIES = {
     "op8_chat_formatting": op8_chat_formatting,
     "op9_bpe": op9_bpe,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_ranked_search": op11_ranked_search,
+    "op12_collocations": op12_collocations,
+    "op13_html_extraction": op13_html_extraction,
 }
 ORACLES = {name: text for name, text in sql.ORACLES.items() if name in QUERIES}

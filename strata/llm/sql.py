@@ -159,6 +159,70 @@ select doc_id, count(*) as n_lines, count(*) filter (where dropped) as n_dropped
 from marked group by doc_id
 """
 
+OP11 = r"""
+with terms as (
+  select doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from documents),
+counted as (select doc_id, term, count(*)::bigint as tf from terms group by all),
+lengths as (select doc_id, sum(tf)::bigint as n from counted group by doc_id),
+whole as (select count(*)::bigint as docs, sum(n)::bigint as words from lengths),
+weights as (
+  select term, floor(1000 * ln((2 * docs + 2)::double / (2 * count(*) + 1)::double))::bigint as w
+  from counted, whole group by term, docs),
+asked as (
+  select item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from benchmark),
+repeated as (select item_id, term, count(*)::bigint as times from asked group by all),
+scored as (
+  select item_id, doc_id,
+    sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // words))))::bigint as score
+  from repeated join weights using (term) join counted using (term) join lengths using (doc_id), whole
+  group by item_id, doc_id),
+ranked as (
+  select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank,
+    doc_id, score
+  from scored where score > 0)
+select item_id, rank::integer as rank, doc_id, score from ranked where rank <= 10
+"""
+
+OP12 = r"""
+with pieces as (
+  select doc_id, coalesce(lang, 'und') as lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) as piece
+  from documents),
+split as (select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from pieces),
+grams as (
+  select lang, size, array_to_string(ws[i : i + size - 1], ' ') as phrase
+  from split, unnest(range(1, 6)) as s(size), unnest(range(1, len(ws) - size + 2)) as t(i)),
+counts as (
+  select lang, size, phrase, count(*)::bigint as a from grams group by all),
+totals as (select lang, sum(a)::bigint as n from counts where size = 1 group by lang),
+candidates as (
+  select lang, size, phrase, a, string_split(phrase, ' ') as ws from counts where size > 1 and a >= 100),
+held as (
+  select lang, array_to_string(ws[i : i + k - 1], ' ') as phrase, max(a) as longer
+  from candidates, unnest(range(2, size)) as s(k), unnest(range(1, size - k + 2)) as t(i)
+  group by all),
+cuts as (
+  select c.lang, c.phrase, c.a, n, k, f.a as l, g.a as r,
+    (1000::hugeint * c.a * n) // (f.a::hugeint * g.a) as score
+  from candidates c join totals using (lang), unnest(range(1, c.size)) as t(k)
+  join counts f on f.lang = c.lang and f.phrase = array_to_string(ws[1 : k], ' ')
+  join counts g on g.lang = c.lang and g.phrase = array_to_string(ws[k + 1 : c.size], ' ')),
+lowest as (
+  select lang, phrase, a, n, arg_min({'l': l, 'r': r, 'score': score}, {'s': score, 'k': k}) as cut
+  from cuts group by all),
+ranked as (
+  select lang, phrase, a, cut.l as l, cut.r as r, n, cut.score::bigint as score,
+    row_number() over (partition by lang order by cut.score desc, a desc, phrase) as rank
+  from lowest left join held using (lang, phrase)
+  where longer is null or 100 * longer < 100 * a)
+select lang, rank, phrase, a, l, r, n, score from ranked where rank <= 2000
+"""
+
 ORACLES = {
     "op1_ngram_join": OP1,
     "op7_substring_dedup": OP7,
@@ -167,4 +231,6 @@ ORACLES = {
     "op4_mixing": OP4,
     "op8_chat_formatting": OP8,
     "op10_exact_dedup": OP10,
+    "op11_ranked_search": OP11,
+    "op12_collocations": OP12,
 }

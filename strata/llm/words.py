@@ -53,10 +53,10 @@ class Words:
 
 
 class WordReader:
-    """Keeps the tables; one per task."""
+    """Keeps the tables; one per task. ``white`` marks other bytes as ones between words."""
 
-    def __init__(self) -> None:
-        self._white = white_table()
+    def __init__(self, white: np.ndarray | None = None) -> None:
+        self._white = white_table() if white is None else white
         bytes_ = mix(np.arange(1, 257, dtype=np.uint64))
         self._value = bytes_ | _ONE
         self._power = self._inverse = np.ones(0, np.uint64)
