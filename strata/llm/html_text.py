@@ -7,8 +7,8 @@ and its share of stop words: main text, boilerplate, or undecided where it is sh
 the bounds. In the second pass an undecided block takes the label of the nearest decided one, a
 heading that of the next decided one. Inside an ``article`` (or ``main``, where a page has no
 article) length and links decide alone, only neighbours of the same kind of container count,
-and a container without a decided block is main text; where it yields any, blocks outside of it
-are not taken.
+and undecided blocks stay where none is decided to be main text; where it yields any, blocks
+outside of it are not taken.
 
 Cases: null and empty html give an empty text; markup that is cut off ends what is open. White
 space is what ``str.split`` takes for it, no-break spaces included; ``br`` is white space.
@@ -280,10 +280,10 @@ def kept_blocks(blocks: list[Block]) -> list[Block]:
     articles = any(b.in_article for b in blocks)
     for inside in (True, False):
         chosen = [b for b in blocks if (b.in_article if articles else b.in_main) == inside]
-        labels = second_pass(
-            [first_pass(b, inside) for b in chosen], [b.heading for b in chosen],
-            GOOD if inside else BAD,
-        )
+        labels = [first_pass(b, inside) for b in chosen]
+        if inside and GOOD not in labels:
+            labels = [GOOD if label == OPEN else label for label in labels]
+        labels = second_pass(labels, [b.heading for b in chosen], BAD)
         kept = [b for b, label in zip(chosen, labels, strict=True) if label == GOOD]
         if kept:
             return kept
