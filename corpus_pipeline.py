@@ -45,25 +45,40 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest id of each group that links connect.
 
-    Rows that repeat an id are one document; the first by text stays. A row without an id is
-    given one that follows its text and is larger than any real one.
+    Rows are documents: one that repeats an id with another text has its own group. Such rows,
+    and those without an id, are given a number that follows their text and is larger than any
+    real one, so they come last in a group. Of rows equal in id and text one stays.
     """
-    made = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("text"), 2)
-    named = docs.withColumn("_id", F.coalesce(F.col("doc_id").cast("long"), made))
-    classes, _ = join_near(named, id_column="_id")
-    flags = classes.groupBy(F.col("_id").alias("_flagged")).agg(
-        F.max(F.col("_id") != F.col("class_id")).alias("_gone"), F.count(F.lit(1)).alias("_rows")
+    named = with_row_names(docs)
+    classes, _ = join_near(named, id_column="_name")
+    flags = classes.groupBy(F.col("_name").alias("_flagged")).agg(
+        F.max(F.col("_name") != F.col("class_id")).alias("_gone"), F.count(F.lit(1)).alias("_rows")
     ).filter("_gone or _rows > 1")
-    marked = named.join(flags, F.col("_id") == F.col("_flagged"), "left").filter(
+    marked = named.join(flags, F.col("_name") == F.col("_flagged"), "left").filter(
         ~F.coalesce("_gone", F.lit(False))
     )
-    first = F.row_number().over(Window.partitionBy("_id").orderBy("text"))
+    first = F.row_number().over(Window.partitionBy("_name").orderBy("text"))
     repeated = marked.filter("_rows > 1").withColumn("_n", first).filter("_n = 1")
     return marked.filter("_rows is null").select(*docs.columns).union(
         repeated.select(*docs.columns)
     )
 
 
+def with_row_names(docs: DataFrame) -> DataFrame:
+    """Adds ``_name``: the id, or a number made from id and text where it names several rows."""
+    ids = docs.select(F.col("doc_id").cast("long").alias("_of")).filter("_of is not null")
+    shared = ids.groupBy("_of").agg(F.count(F.lit(1)).alias("_rows")).filter("_rows > 1")
+    shared = staged(docs.sparkSession, shared, "shared-ids")
+    name = F.col("doc_id").cast("long")
+    made = F.lit(1 << 62) + F.shiftrightunsigned(F.xxhash64("doc_id", "text"), 2)
+    if shared.isEmpty():
+        return docs.withColumn("_name", F.coalesce(name, made))
+    named = docs.join(shared, name == F.col("_of"), "left")
+    own = F.col("doc_id").isNotNull() & F.col("_rows").isNull()
+    named = named.withColumn("_name", F.when(own, name).otherwise(made)).drop("_of", "_rows")
+    return staged(docs.sparkSession, named, "row-names")
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it."""
     return repeat_rows(docs)
