@@ -16,9 +16,13 @@ With the default bands a pair at the threshold is missed by all of them with pro
 
 Cases: words are runs of other than ASCII white space, unchanged. A document of one to four
 words has one shingle, all of its words; documents without words (null text too) are copies of
-one another. An id names one document: rows that repeat it share its class and its links. Rows
-with a null id get a class number below zero, made from their text. Other columns are ignored.
-An empty table gives an empty result.
+one another. Rows, not ids, are documents: rows that repeat an id with the same words are copies,
+with other words they are documents of their own, with classes and links of their own. Classes
+are numbered by their least id. A class whose rows have no id, and of the classes with the same
+least id all but the one with the least digest, get a number below zero, made from the digest of
+their words; a group is then named by the least of its classes' numbers. Other columns are
+ignored. An empty table gives an empty result. Words and shingles are compared by 64-bit hashes,
+texts as a whole by 128 bits. Very long texts are read in slices.
 """
 
 from __future__ import annotations
@@ -319,13 +323,16 @@ def intersections(sets: list[np.ndarray], split: int) -> np.ndarray:
     return result
 
 
-def verified(members: DataFrame, size: int, threshold: Fraction, block: int) -> DataFrame:
-    """Exact links within connected groups: node, links, root, partners.
+def verified(
+    members: DataFrame, size: int, threshold: Fraction, block: int, with_partners: bool = False
+) -> DataFrame:
+    """Exact links within connected groups: node, links, root, and partners where asked for.
 
     ``members``: group, members (number of nodes of the group), node, copies, d1, text. A row of
     the result is about the partners in one pair of blocks: the number of documents in them,
-    a node that they connect with, and their nodes.
+    a node that they connect with, and their nodes, which are as many as there are links.
     """
+    fields = ["node long", "links long", "root long"] + ["partners array<long>"] * with_partners
     dealt = _block_pairs(members, "group", F.col("members"), block)
     up, down = threshold.numerator, threshold.denominator
 
@@ -363,19 +370,35 @@ def verified(members: DataFrame, size: int, threshold: Fraction, block: int) ->
                 for own, links, others in sides:
                     weight = links @ copies[others]
                     for k in np.flatnonzero(weight).tolist():
-                        for kept, value in zip(columns, (
-                            nodes[own[k]], weight[k], nodes[root[own[k] - first]], nodes[others[links[k]]]
-                        ), strict=True):
-                            kept.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [*[pa.array(c, pa.int64()) for c in columns[:3]],
-                 pa.array(columns[3], pa.list_(pa.int64()))],
-                names=["node", "links", "root", "partners"],
-            )
+                        columns[0].append(nodes[own[k]])
+                        columns[1].append(weight[k])
+                        columns[2].append(nodes[root[own[k] - first]])
+                        if with_partners:
+                            columns[3].append(nodes[others[links[k]]])
+            arrays = [pa.array(c, pa.int64()) for c in columns[:3]]
+            if with_partners:
+                arrays.append(pa.array(columns[3], pa.list_(pa.int64())))
+            yield pa.RecordBatch.from_arrays(arrays, names=[f.split()[0] for f in fields])
 
     return dealt.repartition("group", "lo", "hi").sortWithinPartitions("group", "lo", "hi").select(
         "group", "lo", "hi", "mine", "node", "copies", "d1", "text"
-    ).mapInArrow(run, "node long, links long, root long, partners array<long>")
+    ).mapInArrow(run, ", ".join(fields))
+
+
+def named(classes: DataFrame) -> DataFrame:
+    """``classes`` (d1, d2, least and more) with a number of their own, ``node``."""
+    spark = classes.sparkSession
+    shared = classes.filter("least is not null").groupBy("least").agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.struct("d1", "d2")).alias("first")
+    ).filter("n > 1").select(F.col("least").alias("of"), "first")
+    shared = staged(spark, shared, "shared-ids")
+    made = -F.shiftrightunsigned(F.xxhash64("d1", "d2"), 1) - 1
+    if shared.isEmpty():
+        return classes.withColumn("node", F.coalesce("least", made))
+    own = F.col("first").isNull() | (F.struct("d1", "d2") == F.col("first"))
+    joined = classes.join(shared, F.col("least") == F.col("of"), "left")
+    joined = joined.withColumn("node", F.when(F.col("least").isNotNull() & own, F.col("least")).otherwise(made))
+    return staged(spark, joined.drop("of", "first"), "named-classes")
 
 
 def join_near(
@@ -386,24 +409,24 @@ def join_near(
     threshold: Fraction = THRESHOLD,
     bucket_block: int = BUCKET_BLOCK,
     text_block: int = TEXT_BLOCK,
-) -> tuple[DataFrame, DataFrame]:
+    with_partners: bool = False,
+) -> tuple[DataFrame, DataFrame | None]:
     """Rows: id, class_id, copy_id, n_copies, n_links; and links between copy classes.
 
     ``class_id`` is the least id that links, directly or over others, connect a document with;
     ``copy_id`` the least id with the same words; ``n_links`` the number of other documents
-    that a document is linked with, copies counted. The second frame has ``copy_id`` and
-    ``partners``, the copy ids linked with it, each pair from both sides.
+    that a document is linked with, copies counted. The second frame is made where partners are
+    asked for: ``copy_id`` and ``partners``, the copy ids linked with it, each pair from both
+    sides. It has a number per link, so it grows with the square of a group of different texts.
     """
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("id"), F.col(text_column).alias("text"))
     sketched = staged(spark, sketches(rows, size, BANDS, ROWS), "sketches")
-    unnamed = -F.shiftrightunsigned("d1", 1) - 1
-    classes = staged(spark, sketched.groupBy("d1", "d2").agg(
-        F.coalesce(F.min("id"), F.any_value(unnamed)).alias("node"),
-        F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"), F.any_value("signature").alias("signature"),
-        F.any_value("bands").alias("bands"),
-    ), "classes")
+    classes = named(staged(spark, sketched.groupBy("d1", "d2").agg(
+        F.min("id").alias("least"), F.count(F.lit(1)).alias("copies"),
+        F.any_value("signature").alias("signature"), F.any_value("bands").alias("bands"),
+    ), "classes"))
     needed = needed_matches(float(threshold), TOLERANCE, BANDS * ROWS, STEP)
     near = components(likely_edges(classes, BANDS, needed, bucket_block))
     near = staged(spark, near, "connected")
@@ -415,7 +438,7 @@ def join_near(
     # Of a class, the rows with its least id; what they say must be of the class, too.
     texts = texts_of(rows, groups)
     members = groups.join(texts, ["d1", "d2"]).filter(F.col("id").eqNullSafe(F.col("least")))
-    found = staged(spark, verified(members, size, threshold, text_block), "links")
+    found = staged(spark, verified(members, size, threshold, text_block, with_partners), "links")
     classed = components(found.select(F.col("node").alias("a"), F.col("root").alias("b")))
     links = found.groupBy("node").agg(F.sum("links").alias("links")).join(classed, "node", "left")
     links = staged(spark, links, "linked")
@@ -427,4 +450,5 @@ def join_near(
         F.col("copies").alias("n_copies"),
         (F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("long").alias("n_links"),
     )
-    return result, found.select(F.col("node").alias("copy_id"), "partners")
+    partners = found.select(F.col("node").alias("copy_id"), "partners") if with_partners else None
+    return result, partners

@@ -1,7 +1,18 @@
 from __future__ import annotations
 
+import pytest
+
 import corpus_pipeline
-from tests.llm.helpers import sha
+from tests.llm.helpers import documents, jaccard_classes, sha
+from tests.llm.test_text_operators import REPEATED_IDS
+
+
+@pytest.mark.parametrize("rows", REPEATED_IDS)
+def test_one_row_of_each_group_stays_where_ids_repeat(spark, rows):
+    plain = jaccard_classes(list(enumerate(text for _, text in rows)))
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_duplicates(spark, documents(spark, rows), "").collect()]
+    numbers = [rows.index(row) for row in kept]
+    assert sorted(plain[i][0] for i in numbers) == sorted({root for root, _ in plain.values()})
 
 
 def test_the_last_stage_returns_the_token_ids(spark):

@@ -133,7 +133,7 @@ def test_links_equal_the_plain_version(spark, blocks):
             own[rnd.randrange(len(own))] = f"n{rnd.randint(0, 3)}"
         rows.append((doc, " ".join(own)))
     rows += [(2000, "a b c"), (2001, "a  b\nc"), (2002, "a b d"), (2003, ""), (2004, None)]
-    result, links = join_near(documents(spark, rows), **blocks)
+    result, links = join_near(documents(spark, rows), with_partners=True, **blocks)
     got = {r.doc_id: (r.class_id, r.n_links) for r in result.collect()}
     assert got == jaccard_classes(rows)
     pairs = {(r.copy_id, p) for r in links.collect() for p in r.partners}
@@ -152,6 +152,39 @@ def test_links_of_odd_documents(spark):
     assert empty.collect() == []
 
 
+LONG_TEXT = " ".join(f"w{i}" for i in range(60))
+
+
+def near(n, base="w"):
+    """A text like the one of ``base`` words, the n-th word changed."""
+    return " ".join(f"n{n}" if i == n else f"{base}{i}" for i in range(60))
+
+
+REPEATED_IDS = [
+    [(1, LONG_TEXT), (2, near(1)), (2, "an unrelated text of seven words"), (3, near(70, "b")),
+     (3, near(70, "d")), (4, near(2, "b")), (5, near(3, "d"))],
+    [(10, LONG_TEXT), (10, near(3)), (11, near(50)), (11, near(50)), (None, near(55)), (None, "x y z")],
+    [(7, LONG_TEXT), (7, LONG_TEXT), (7, "other words"), (7, "and more words"), (8, "other words")],
+]
+
+
+@pytest.mark.parametrize("rows", REPEATED_IDS)
+def test_rows_that_share_an_id_are_documents_of_their_own(spark, rows):
+    """Against brute force over rows, numbered as if each had an id of its own."""
+    plain = jaccard_classes(list(enumerate(text for _, text in rows)))
+    result, _ = join_near(documents(spark, rows))
+    got = result.collect()
+    assert sorted((r.doc_id or -1, r.n_links) for r in got) == sorted(
+        (rows[i][0] or -1, links) for i, (_, links) in plain.items()
+    )
+    groups, wanted = {}, {}
+    for r in got:
+        groups.setdefault(r.class_id, []).append(r.doc_id or -1)
+    for i, (root, _) in plain.items():
+        wanted.setdefault(root, []).append(rows[i][0] or -1)
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, wanted.values()))
+
+
 def test_posterior_keeps_pairs_at_the_threshold():
     needed = needed_matches(0.8, 1e-8, 96, 8)
     assert needed == sorted(needed) and needed[-1] < 0.6 * 96
