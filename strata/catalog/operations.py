@@ -22,7 +22,7 @@ from strata.plans import quality
 from strata.plans.gold import GOLD_SCHEMAS, fct_produccion
 from strata.plans.monthly import Landed, backfill, run_period, verify_reload
 from strata.plans.silver import STG_PRODUCCION_SCHEMA, type_production
-from strata.session import child_directories, scratch_path
+from strata.session import scratch_path
 from strata.sources.bronze import (
     bronze_path,
     evolve_schema,
@@ -39,7 +39,7 @@ from strata.sources.synthetic import (
     produccion_raw,
     table,
 )
-from strata.sources.tables import merge_upsert, read_layer, write_layer
+from strata.sources.tables import merge_upsert, read_layer, stored_failures, write_layer
 from strata.streaming.ingest import incremental_ingest
 
 LOADED_AT = datetime(2026, 2, 1, 3)
@@ -262,10 +262,8 @@ def kept_failures(spark: SparkSession, d: str) -> DataFrame:
     except quality.QualityGateError:
         pass
     counts = [spark.createDataFrame([], "test string, rows long")] + [
-        spark.read.parquet(f"{root}/test_failures/{test}").agg(
-            F.lit(test).alias("test"), F.count(F.lit(1)).alias("rows")
-        )
-        for test in child_directories(spark, f"{root}/test_failures", "*")
+        rows.agg(F.lit(test).alias("test"), F.count(F.lit(1)).alias("rows"))
+        for test, rows in stored_failures(spark, root).items()
     ]
     return agg.union_all(*counts)
 

@@ -7,16 +7,24 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
-from strata.plans.gold import GOLD_SCHEMAS, Gold, dimensions, fct_produccion_conformed
+from strata.plans.gold import (
+    GOLD_SCHEMAS,
+    MEMBERS_SCHEMA,
+    Gold,
+    dimensions,
+    fct_produccion_conformed,
+    month_members,
+)
+from strata.plans.monthly import gold_frames
 from strata.plans.silver import (
     STG_POZOS_SCHEMA,
     STG_PRODUCCION_SCHEMA,
     stg_pozos,
     stg_produccion,
 )
-from strata.session import in_parallel, path_exists, scratch_root
+from strata.session import in_parallel, scratch_root
+from strata.sources.snapshots import Snapshot, Transaction, current
 from strata.sources.synthetic import pozos_raw, produccion_raw
-from strata.sources.tables import read_layer, write_layer
 
 INPUTS = ("lineitem", "part", "supplier", "nation", "region")
 
@@ -33,53 +41,47 @@ def warehouse_root(spark: SparkSession, sf_dir: str) -> str:
 
 
 def build_warehouse(spark: SparkSession, sf_dir: str, root: str) -> None:
-    """Write silver, then gold from the written silver tables."""
+    """Write silver, then gold from the written silver tables; all become visible at once."""
+    change = Transaction(spark, root)
     raw_wells, raw_reports = pozos_raw(spark, sf_dir), produccion_raw(spark, sf_dir)
-    in_parallel(
-        lambda: write_layer(stg_pozos(raw_wells), root, "silver", "stg_pozos"),
-        lambda: write_layer(
-            stg_produccion(raw_reports), root, "silver", "stg_produccion", "periodo"
+    pozos, produccion = in_parallel(
+        lambda: change.write(stg_pozos(raw_wells), "silver/stg_pozos", schema=STG_POZOS_SCHEMA),
+        lambda: change.write(
+            stg_produccion(raw_reports), "silver/stg_produccion", "periodo",
+            schema=STG_PRODUCCION_SCHEMA,
         ),
     )
-    pozos, produccion = silver(spark, root)
+    members = change.write(month_members(produccion), "silver/members", schema=MEMBERS_SCHEMA)
     in_parallel(
-        lambda: write_layer(
-            fct_produccion_conformed(produccion, pozos), root, "gold", "fct_produccion", "periodo"
+        lambda: change.write(
+            fct_produccion_conformed(produccion, pozos), "gold/fct_produccion", "periodo",
+            schema=GOLD_SCHEMAS["fct_produccion"],
         ),
         *[
-            partial(write_layer, frame, root, "gold", name)
-            for name, frame in dimensions(pozos, produccion).items()
+            partial(change.write, frame, f"gold/{name}", schema=GOLD_SCHEMAS[name])
+            for name, frame in dimensions(pozos, members).items()
         ],
     )
+    change.commit()
 
 
-def silver(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
-    return (
-        read_layer(spark, root, "silver", "stg_pozos", STG_POZOS_SCHEMA),
-        read_layer(spark, root, "silver", "stg_produccion", STG_PRODUCCION_SCHEMA),
-    )
-
-
-def gold(spark: SparkSession, root: str) -> Gold:
-    return Gold(
-        **{
-            name: read_layer(spark, root, "gold", name, schema)
-            for name, schema in GOLD_SCHEMAS.items()
-        }
-    )
-
-
-def warehouse(spark: SparkSession, sf_dir: str) -> str:
+def warehouse(spark: SparkSession, sf_dir: str) -> Snapshot:
+    """The built tables, as one snapshot."""
     root = warehouse_root(spark, sf_dir)
-    tables = [f"{root}/gold/{name}/_SUCCESS" for name in GOLD_SCHEMAS]
-    if not all(path_exists(spark, table) for table in tables):
+    held = current(spark, root)
+    if "gold/fct_produccion" not in held.tables:
         build_warehouse(spark, sf_dir, root)
-    return root
+        held = current(spark, root)
+    return held
 
 
 def silver_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    return silver(spark, warehouse(spark, sf_dir))
+    held = warehouse(spark, sf_dir)
+    return (
+        held.read("silver/stg_pozos", STG_POZOS_SCHEMA),
+        held.read("silver/stg_produccion", STG_PRODUCCION_SCHEMA),
+    )
 
 
 def gold_of(spark: SparkSession, sf_dir: str) -> Gold:
-    return gold(spark, warehouse(spark, sf_dir))
+    return Gold(**gold_frames(warehouse(spark, sf_dir)))

@@ -11,6 +11,10 @@ from pyspark.sql import functions as F
 from strata.functions.columns import blank_to_null
 
 
+# Stands for the newest row of a target that has none.
+NO_ROWS = -(1 << 63)
+
+
 def required_keys(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows whose text keys are all non-blank."""
     for name in columns:
@@ -27,7 +31,7 @@ def non_negative(df: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def incremental_filter(
     source: DataFrame,
-    target: DataFrame | None,
+    target: DataFrame | int | None,
     ts_col: str = "_loaded_at",
     period_col: Column | str = "periodo",
     reprocess: str | date | None = None,
@@ -36,11 +40,15 @@ def incremental_filter(
 
     ``target=None`` is a first build and keeps everything. A target without rows has
     no newest row, so only the reprocessed month passes. The bound is an uncorrelated
-    scalar subquery, which reaches the Parquet scan as a filter.
+    scalar subquery, which reaches the Parquet scan as a filter. Where the newest row is known,
+    its time in microseconds may stand for the target (or ``NO_ROWS``), and nothing is read.
     """
     if target is None:
         return source
-    newer = F.col(ts_col) > target.agg(F.max(ts_col)).scalar()
+    if isinstance(target, DataFrame):
+        newer = F.col(ts_col) > target.agg(F.max(ts_col)).scalar()
+    else:
+        newer = F.lit(False) if target == NO_ROWS else F.col(ts_col) > F.timestamp_micros(F.lit(target))
     if reprocess is None:
         return source.filter(newer)
     period = F.col(period_col) if isinstance(period_col, str) else period_col

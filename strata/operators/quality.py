@@ -18,13 +18,18 @@ ERROR, WARN = "error", "warn"
 
 @dataclass(frozen=True)
 class DataTest:
-    """One test of a table. ``kind`` is the name of the function that declares it."""
+    """One test of a table. ``kind`` is the name of the function that declares it.
+
+    ``within`` names a column that the tested key determines, so that equal keys have equal
+    values of it: rows with other values need not be looked at together.
+    """
 
     kind: str
     table: str
     columns: tuple[str, ...]
     options: Mapping[str, object] = field(default_factory=dict)
     severity: str = ERROR
+    within: str | None = None
 
     @property
     def name(self) -> str:
@@ -35,8 +40,17 @@ def not_null(table: str, *columns: str) -> list[DataTest]:
     return [DataTest("not_null", table, (column,)) for column in columns]
 
 
-def unique(table: str, *columns: str) -> list[DataTest]:
-    return [DataTest("unique", table, (column,)) for column in columns]
+def unique(table: str, *columns: str, within: str | None = None) -> list[DataTest]:
+    return [DataTest("unique", table, (column,), within=within) for column in columns]
+
+
+def holds_by_part(test: DataTest, partition_by: str) -> bool:
+    """Whether a table passes the test if each of its partitions passes it alone."""
+    if test.kind == "unique_combination":
+        return partition_by in test.columns
+    if test.kind == "unique":
+        return test.within == partition_by or test.columns == (partition_by,)
+    return failing_predicate(test) is not None
 
 
 def unique_combination(table: str, *columns: str) -> list[DataTest]:

@@ -40,6 +40,9 @@ GOLD_SCHEMAS = {
         "prod_agua decimal(20,6), dias_produccion int, _loaded_at timestamp"
     ),
 }
+MEMBER_KINDS = ("area", "cuenca", "tipo_recurso")
+MEMBERS_SCHEMA = "periodo date, kind string, member string, name string, _loaded_at timestamp"
+MEMBER_COLUMNS = ("periodo", "kind", "member", "name", "_loaded_at")
 FACT_KEYS = ("id_pozo", "periodo")
 FACT_COLUMNS = (
     "produccion_key", "pozo_key", "empresa_key", "area_key", "cuenca_key",
@@ -133,7 +136,7 @@ def fct_produccion(
 def fct_produccion_conformed(
     produccion: DataFrame,
     pozos: DataFrame,
-    target: DataFrame | None = None,
+    target: DataFrame | int | None = None,
     reprocess: str | date | None = None,
 ) -> DataFrame:
     """The same rows where the dimensions were just rebuilt from this silver data.
@@ -158,21 +161,48 @@ def fct_produccion_conformed(
     )
 
 
-def dimensions(pozos: DataFrame, produccion: DataFrame) -> dict[str, DataFrame]:
-    """The six dimensions by table name; the well list must hold each well once."""
-    return {
-        "dim_pozo": dim_pozo(pozos, unique=True),
-        "dim_empresa": dim_empresa(pozos, produccion),
-        "dim_area": member_dimension(pozos, produccion, "area"),
-        "dim_cuenca": member_dimension(pozos, produccion, "cuenca"),
-        "dim_tipo_recurso": member_dimension(pozos, produccion, "tipo_recurso"),
-        "dim_fecha": dim_fecha(produccion),
-    }
+def month_members(produccion: DataFrame) -> DataFrame:
+    """What the dimensions need of each month: its members, and each name's newest load.
+
+    A few rows per month, whatever the number of reports; a month whose reports change gets
+    its members anew, so one that is used no more is gone as in a full rebuild.
+    """
+    no_name, no_time = F.lit(None).cast("string"), F.lit(None).cast("timestamp")
+    members = [
+        F.struct(F.lit(kind).alias("kind"), F.col(kind).alias("member"), no_name.alias("name"),
+                 no_time.alias("_loaded_at"))
+        for kind in MEMBER_KINDS
+    ]
+    company = F.struct(
+        F.lit("empresa").alias("kind"), F.col("id_empresa").alias("member"),
+        F.col("empresa").alias("name"), F.col("_loaded_at"),
+    )
+    return produccion.select("periodo", F.inline(F.array(*members, company))).groupBy(
+        "periodo", "kind", "member", "name"
+    ).agg(F.max("_loaded_at").alias("_loaded_at")).select(*MEMBER_COLUMNS)
+
+
+def dimensions(pozos: DataFrame, members: DataFrame) -> dict[str, DataFrame]:
+    """The six dimensions by table name, from the wells and the members of all months.
+
+    The well list must hold each well once.
+    """
+    companies = members.filter("kind = 'empresa'").select(
+        F.col("member").alias("id_empresa"), F.col("name").alias("empresa"), "_loaded_at"
+    )
+    found = {"dim_pozo": dim_pozo(pozos, unique=True), "dim_empresa": dim_empresa(pozos, companies)}
+    for kind in MEMBER_KINDS:
+        of_kind = members.filter(F.col("kind") == kind).select(F.col("member").alias(kind))
+        found[f"dim_{kind}"] = member_dimension(pozos, of_kind, kind)
+    return found | {"dim_fecha": dim_fecha(members)}
 
 
 def build_gold(pozos: DataFrame, produccion: DataFrame) -> Gold:
     """Full rebuild of the star schema from silver, as lazy plans."""
     return Gold(
-        **dimensions(pozos, produccion),
+        dim_pozo=dim_pozo(pozos, unique=True),
+        dim_empresa=dim_empresa(pozos, produccion),
+        **{f"dim_{kind}": member_dimension(pozos, produccion, kind) for kind in MEMBER_KINDS},
+        dim_fecha=dim_fecha(produccion),
         fct_produccion=fct_produccion_conformed(produccion, pozos),
     )

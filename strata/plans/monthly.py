@@ -11,22 +11,23 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strata.operators.aggregates import duplicate_excess, month_counts, partition_counts
+from strata.operators.filters import NO_ROWS
 from strata.operators.quality import DataTest
 from strata.plans import gold as g
 from strata.plans import quality
 from strata.plans import silver as s
 from strata.session import in_parallel
-from strata.sources.bronze import bronze_path, replace_partition, scan_bronze, with_load_metadata
-from strata.sources.csv_text import read_csv_text
-from strata.sources.tables import (
-    Staged,
-    finish_merge,
-    layer_exists,
-    publish_view,
-    read_layer,
-    stage_layer,
-    stage_merge,
+from strata.sources.bronze import (
+    loads,
+    loads_since,
+    newest_loads,
+    scan_bronze,
+    stage_load,
+    with_load_metadata,
 )
+from strata.sources.csv_text import read_csv_text
+from strata.sources.snapshots import Snapshot, Transaction, current, part_key, part_value
+from strata.sources.tables import PERIOD, publish_view, read_layer, stage_merge, table_name
 
 PRODUCTION_RAW, WELLS_RAW = "produccion_raw", "pozos_raw"
 FIRST_PERIOD = "2026-01-01"
@@ -44,16 +45,16 @@ class Landed:
 
 
 def load_bronze(
-    spark: SparkSession,
-    root: str,
+    change: Transaction,
     name: str,
     landed: Landed,
     period: str,
     loaded_at: datetime | None = None,
 ) -> int:
-    rows = read_csv_text(spark, landed.paths, landed.multi_line)
+    """Stage one load of a resource and return its rows."""
+    rows = read_csv_text(change.spark, landed.paths, landed.multi_line)
     loaded = with_load_metadata(rows, period, landed.source_url, landed.resource_id, loaded_at)
-    return replace_partition(loaded, bronze_path(root, name), period)
+    return stage_load(change, loaded, name, period)
 
 
 def run_period(
@@ -68,12 +69,15 @@ def run_period(
     """Load one period and bring silver and gold up to date with it.
 
     The period also names the production month that is reprocessed from all loads.
-    Running a period again converges to the same tables.
+    Running a period again converges to the same tables. Both loads become visible at once,
+    and so do, after all tests, the tables of silver and gold.
     """
+    change = Transaction(spark, root)
     in_parallel(
-        lambda: load_bronze(spark, root, PRODUCTION_RAW, production, period, loaded_at),
-        lambda: load_bronze(spark, root, WELLS_RAW, wells, period, loaded_at),
+        lambda: load_bronze(change, PRODUCTION_RAW, production, period, loaded_at),
+        lambda: load_bronze(change, WELLS_RAW, wells, period, loaded_at),
     )
+    change.commit()
     return transform(spark, root, period, now)
 
 
@@ -84,65 +88,151 @@ def transform(
     now: datetime | None = None,
     full_refresh: bool = False,
 ) -> g.Gold:
-    """Bronze to gold. A stale source or a failed test stops everything after it."""
-    production = scan_bronze(spark, root, PRODUCTION_RAW)
-    wells = scan_bronze(spark, root, WELLS_RAW)
-    quality.check_freshness({PRODUCTION_RAW: production, WELLS_RAW: wells}, now)
-
-    staged_wells, staged_reports = in_parallel(
-        lambda: stage_layer(
-            s.stg_pozos(wells), root, "silver", "stg_pozos", schema=s.STG_POZOS_SCHEMA
-        ),
-        lambda: _refreshed(
-            spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA, full_refresh,
-            lambda target: s.stg_produccion(production, target, reprocess),
-        ),
+    """Bronze to gold. A stale source or a failed test stops everything after it.
+
+    What is read is what changed: loads newer than silver and those that may report on the
+    reprocessed month, the months their reports are about, and the members of each month. All
+    tables are staged and tested, and one commit makes them visible.
+    """
+    change = Transaction(spark, root)
+    sources = {
+        name: scan_bronze(spark, root, name, newest_loads(change, name), change)
+        for name in (PRODUCTION_RAW, WELLS_RAW)
+    }
+    quality.check_freshness(sources, now)
+
+    pozos, _ = in_parallel(
+        lambda: _wells(change, full_refresh), lambda: _reports(change, reprocess, full_refresh)
     )
-    _publish({"stg_pozos": staged_wells, "stg_produccion": staged_reports},
-             quality.SILVER_SUITE, root)
-    pozos = read_layer(spark, root, "silver", "stg_pozos", s.STG_POZOS_SCHEMA)
-    produccion = read_layer(spark, root, "silver", "stg_produccion", s.STG_PRODUCCION_SCHEMA)
-
-    models = g.dimensions(pozos, produccion)
-    dimensions = in_parallel(*[
-        partial(stage_layer, frame, root, "gold", name, schema=g.GOLD_SCHEMAS[name])
-        for name, frame in models.items()
-    ])
-    fact = _refreshed(
-        spark, root, "gold", "fct_produccion", g.GOLD_SCHEMAS["fct_produccion"], full_refresh,
-        lambda target: g.fct_produccion_conformed(produccion, pozos, target, reprocess),
+    _, members = in_parallel(
+        lambda: _gate(change, "silver", ("stg_pozos", "stg_produccion"), quality.SILVER_SUITE),
+        lambda: _members(change, full_refresh),
     )
-    _publish({**dict(zip(models, dimensions, strict=True)), "fct_produccion": fact},
-             quality.GOLD_SUITE, root)
-    star = g.Gold(**gold_frames(spark, root, list(g.GOLD_SCHEMAS)))
+    models = g.dimensions(pozos, members)
+    in_parallel(
+        *[
+            partial(change.write, frame, table_name("gold", name), schema=g.GOLD_SCHEMAS[name])
+            for name, frame in models.items()
+        ],
+        lambda: _facts(change, pozos, reprocess, full_refresh),
+    )
+    _gate(change, "gold", tuple(g.GOLD_SCHEMAS), quality.GOLD_SUITE)
+    held = change.commit()
+    star = g.Gold(**gold_frames(held))
     publish_view(quality.quality_marks(star), "gold", "quality_marks")
     return star
 
 
-def _publish(tables: dict[str, Staged], suite: Sequence[DataTest], root: str) -> None:
-    """Test staged tables and put them in place; a failed gate leaves the old ones there."""
+def _since(change: Transaction, table: str, full_refresh: bool) -> int | None:
+    """Newest load that a table holds; none where it is to be built in full."""
+    if full_refresh or table not in change.tables:
+        return None
+    newest = change.newest(table)
+    return NO_ROWS if newest is None else newest
+
+
+def _wells(change: Transaction, full_refresh: bool) -> DataFrame:
+    """The well list: newer loads on top of it, or all loads where one of its own has gone."""
+    table = table_name("silver", "stg_pozos")
+    made_from = {load["path"]: load["newest"] for load in loads(change, WELLS_RAW).values()}
+    held = {} if full_refresh else change.info(table).get("made_from", {})
+    added = {path: newest for path, newest in made_from.items() if path not in held}
+    times = [t for t in held.values() if t is not None]
+    grown = held.items() <= made_from.items() and all(
+        t is None or t > max(times, default=NO_ROWS) for t in added.values()
+    )
+    if held and grown:
+        keys = [k for k, load in loads(change, WELLS_RAW).items() if load["path"] in added]
+        if not keys:
+            return change.read(table, s.STG_POZOS_SCHEMA)
+        bronze = scan_bronze(change.spark, change.root, WELLS_RAW, keys, change)
+        rows = s.newer_pozos(change.read(table, s.STG_POZOS_SCHEMA), bronze)
+    else:
+        rows = s.stg_pozos(scan_bronze(change.spark, change.root, WELLS_RAW, snapshot=change))
+    return change.write(rows, table, schema=s.STG_POZOS_SCHEMA, info={"made_from": made_from})
+
+
+def _reports(change: Transaction, reprocess: str | None, full_refresh: bool) -> DataFrame:
+    table = table_name("silver", "stg_produccion")
+    since = _since(change, table, full_refresh)
+    keys = None if since is None else loads_since(change, PRODUCTION_RAW, since, reprocess)
+    bronze = scan_bronze(change.spark, change.root, PRODUCTION_RAW, keys, change)
+    batch = s.stg_produccion(bronze, since, reprocess)
+    if since is None:
+        return change.write(batch, table, PERIOD, schema=s.STG_PRODUCCION_SCHEMA)
+    return stage_merge(
+        change, batch, "silver", "stg_produccion", s.PRODUCTION_KEYS, s.STG_PRODUCCION_SCHEMA,
+        unique=True,
+    )
+
+
+def _members(change: Transaction, full_refresh: bool) -> DataFrame:
+    """Members of all months; those of months whose reports are unchanged are kept.
+
+    Only changed months of silver are read. The table itself is small and written whole.
+    """
+    table, source = table_name("silver", "members"), table_name("silver", "stg_produccion")
+    reports, made_from = change.parts(source), change.info(table).get("made_from", {})
+    if full_refresh:
+        made_from = {}
+    stale = [key for key, part in reports.items() if made_from.get(key) != part["path"]]
+    rows = g.month_members(change.read(source, s.STG_PRODUCCION_SCHEMA, stale))
+    kept = [part_value(key) for key in reports if key not in stale]
+    if kept:
+        held = change.read(table, g.MEMBERS_SCHEMA)
+        rows = held.filter(F.col(PERIOD).cast("string").isin(kept)).unionByName(rows)
+    paths = {key: part["path"] for key, part in reports.items()}
+    return change.write(rows, table, schema=g.MEMBERS_SCHEMA, info={"made_from": paths})
+
+
+def _facts(
+    change: Transaction, pozos: DataFrame, reprocess: str | None, full_refresh: bool
+) -> DataFrame:
+    """The fact table; months of silver without a newer load are not read."""
+    table, source = table_name("gold", "fct_produccion"), table_name("silver", "stg_produccion")
+    since = _since(change, table, full_refresh)
+    keys = None
+    if since is not None:
+        again = None if reprocess is None else part_key(PERIOD, str(reprocess)[:10])
+        keys = [
+            key for key, part in change.parts(source).items()
+            if key == again or (part.get("newest") or NO_ROWS) > since
+        ]
+    produccion = change.read(source, s.STG_PRODUCCION_SCHEMA, keys)
+    batch = g.fct_produccion_conformed(produccion, pozos, since, reprocess)
+    schema = g.GOLD_SCHEMAS["fct_produccion"]
+    if since is None:
+        return change.write(batch, table, PERIOD, schema=schema)
+    return stage_merge(change, batch, "gold", "fct_produccion", g.FACT_KEYS, schema, unique=True)
+
+
+def _gate(change: Transaction, layer: str, names: Sequence[str], suite: Sequence[DataTest]) -> None:
+    """Test staged tables; months that have passed the suite before are not tested again.
+
+    A failed gate ends the transaction, so nothing of it is ever seen.
+    """
+    mark = f"passed_{layer}"
+    tables = {name: change.read(table_name(layer, name)) for name in names}
+    untested, keys = {}, {}
+    for name in names:
+        table = table_name(layer, name)
+        if change.tables[table]["partition_by"]:
+            keys[table] = [k for k, part in change.parts(table).items() if not part.get(mark)]
+            untested[name] = change.read(table, keys=keys[table])
     try:
-        quality.quality_gate({name: t.frame for name, t in tables.items()}, suite, root)
+        quality.quality_gate(tables, suite, change.root, untested)
     except quality.QualityGateError:
-        for table in tables.values():
-            table.discard()
+        change.discard()
         raise
-    for table in tables.values():
-        table.publish()
-
-
-def gold_frames(spark: SparkSession, root: str, names: Sequence[str]) -> dict[str, DataFrame]:
-    return {name: read_layer(spark, root, "gold", name, g.GOLD_SCHEMAS[name]) for name in names}
+    for table, tested in keys.items():
+        for key in tested:
+            change.note(table, key, **{mark: True})
 
 
-def _refreshed(spark, root, layer, name, schema, full_refresh, build) -> Staged:
-    """A monthly table built in full the first time, with a batch merged in afterwards."""
-    keys = ("id_pozo", "periodo")
-    if full_refresh or not layer_exists(spark, root, layer, name):
-        return stage_layer(build(None), root, layer, name, "periodo", schema)
-    finish_merge(spark, root, layer, name, schema)
-    target = read_layer(spark, root, layer, name, schema)
-    return stage_merge(build(target), root, layer, name, keys, schema, unique=True)
+def gold_frames(held: Snapshot) -> dict[str, DataFrame]:
+    return {
+        name: held.read(table_name("gold", name), schema) for name, schema in g.GOLD_SCHEMAS.items()
+    }
 
 
 def months(spark: SparkSession, start: str, end: str) -> list[str]:
@@ -181,8 +271,12 @@ def backfill(
 
 def verify_reload(spark: SparkSession, root: str, period: str) -> DataFrame:
     """What a reload left: rows per bronze table, duplicate grain, month rows, newest load."""
-    tables = {name: scan_bronze(spark, root, name) for name in (PRODUCTION_RAW, WELLS_RAW)}
-    fact = read_layer(spark, root, "gold", "fct_produccion", g.GOLD_SCHEMAS["fct_produccion"])
+    held = current(spark, root)
+    tables = {
+        name: scan_bronze(spark, root, name, snapshot=held) for name in (PRODUCTION_RAW, WELLS_RAW)
+    }
+    schema = g.GOLD_SCHEMAS["fct_produccion"]
+    fact = read_layer(spark, root, "gold", "fct_produccion", schema, held)
     month = fact.filter(F.col("periodo") == F.lit(period).cast("date"))
     counts = partition_counts(tables, period).select(
         F.concat(F.lit("rows_"), "table_name").alias("check_name"),

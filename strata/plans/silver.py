@@ -56,12 +56,13 @@ WELL_COLUMNS = (
 
 def stg_produccion(
     bronze: DataFrame,
-    target: DataFrame | None = None,
+    target: DataFrame | int | None = None,
     reprocess: str | date | None = None,
 ) -> DataFrame:
     """Monthly production, the newest row per well and month.
 
-    Without ``target`` this is the full table, with it the batch to merge. A newest
+    Without ``target`` this is the full table, with it (or the time of its newest row) the
+    batch to merge. A newest
     row with a negative volume is dropped after it has won, so it hides older rows of
     its key within the batch.
     """
@@ -95,8 +96,17 @@ def type_production(rows: DataFrame) -> DataFrame:
     )
 
 
+def newer_pozos(held: DataFrame, bronze: DataFrame) -> DataFrame:
+    """The well list after loads that are all newer than every row of it.
+
+    Equals a full rebuild while the loads that the list was made from are unchanged.
+    """
+    both = held.withColumn("_held", F.lit(1)).unionByName(stg_pozos(bronze).withColumn("_held", F.lit(0)))
+    return latest_per_key(both, ["id_pozo"], "_loaded_at", ["_held"]).select(*WELL_COLUMNS)
+
+
 def stg_pozos(bronze: DataFrame) -> DataFrame:
-    """Well list, the newest row per well; always rebuilt in full."""
+    """Well list, the newest row per well, rebuilt in full."""
     rows = required_keys(bronze, ["idpozo"])
     typed = rows.select(
         typed_cast("idpozo", "bigint").alias("id_pozo"),

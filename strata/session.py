@@ -8,6 +8,7 @@ from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from typing import TypeVar
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 
 T = TypeVar("T")
@@ -74,10 +75,43 @@ def delete_path(spark: SparkSession, path: str) -> None:
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
 
 
-def rename_path(spark: SparkSession, path: str, to: str) -> None:
-    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
-    if not old.getFileSystem(spark._jsc.hadoopConfiguration()).rename(old, new):
-        raise OSError(f"cannot rename {path} to {to}")
+def read_text(spark: SparkSession, path: str) -> str:
+    """Content of one small file."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    stream = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def publish_text(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that appears whole or not at all; False where it exists already."""
+    fs = spark._jvm.org.apache.hadoop.fs
+    folder, name = path.rsplit("/", 1)
+    draft, final = fs.Path(f"{folder}/.{name}-{uuid.uuid4().hex}"), fs.Path(path)
+    conf = spark._jsc.hadoopConfiguration()
+    stream = draft.getFileSystem(conf).create(draft, True)
+    stream.write(bytearray(text.encode()))
+    stream.close()
+    # Without the option to overwrite, the rename fails where the name is taken.
+    options = spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+    context = fs.FileContext.getFileContext(final.toUri(), conf)
+    try:
+        context.rename(draft, final, options)
+    except Py4JJavaError:
+        delete_path(spark, draft.toString())
+        if not path_exists(spark, path):
+            raise
+        return False
+    return True
+
+
+def path_names(spark: SparkSession, pattern: str) -> list[str]:
+    """Sorted names of what a glob matches."""
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    filesystem = hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration())
+    return sorted(status.getPath().getName() for status in filesystem.globStatus(hadoop_path) or [])
 
 
 def child_directories(spark: SparkSession, path: str, pattern: str) -> list[str]:

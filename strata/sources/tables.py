@@ -2,85 +2,35 @@
 
 from __future__ import annotations
 
-import hashlib
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from strata.session import delete_path, path_exists, rename_path, scratch_root
+from strata.operators.windows import latest_per_key
+from strata.session import staged
+from strata.sources.snapshots import LOADED_AT, Snapshot, Transaction, current, part_key
 
 PERIOD = "periodo"
-# Folders beside a table while it is replaced, and the mark of a merge that may be finished.
-NEW, OLD, APPROVED = ".new", ".old", "approved"
+FAILURES = "test_failures"
 
 
 class DuplicateKeyError(ValueError):
     """An upsert batch holds a key more than once."""
 
 
-def table_path(root: str, layer: str, name: str) -> str:
-    return f"{root}/{layer}/{name}"
-
-
-class Staged:
-    """A table as it will be: ``frame`` can be tested before ``publish`` or ``discard``."""
-
-    def __init__(self, frame: DataFrame, publish: Callable[[], None], discard: Callable[[], None]):
-        self.frame, self.publish, self.discard = frame, publish, discard
-
-
-def stage_layer(
-    df: DataFrame,
-    root: str,
-    layer: str,
-    name: str,
-    partition_by: str | None = None,
-    schema: str | None = None,
-) -> Staged:
-    """Materialise a model beside the table of its layer, which ``publish`` replaces.
-
-    A partitioned table is rebalanced on its partition column first: small months
-    share a task, a month that is too large is split over several files.
-    """
-    spark, path = df.sparkSession, table_path(root, layer, name)
-    if partition_by:
-        df = df.hint("rebalance", partition_by)
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(partition_by)
-    writer.parquet(f"{path}{NEW}")
-    return Staged(
-        spark.read.schema(schema or df.schema).parquet(f"{path}{NEW}"),
-        lambda: swap_in(spark, path),
-        lambda: delete_path(spark, f"{path}{NEW}"),
-    )
-
-
-def swap_in(spark: SparkSession, path: str) -> None:
-    """Put a complete new folder in the place of ``path``; ``settle`` ends a cut-off swap."""
-    if path_exists(spark, path):
-        delete_path(spark, f"{path}{OLD}")
-        rename_path(spark, path, f"{path}{OLD}")
-    rename_path(spark, f"{path}{NEW}", path)
-    delete_path(spark, f"{path}{OLD}")
-
-
-def settle(spark: SparkSession, path: str) -> None:
-    """Finish a swap that had moved the old folder away, or take that one back."""
-    if path_exists(spark, path) or not path_exists(spark, f"{path}{OLD}"):
-        return
-    complete = path_exists(spark, f"{path}{NEW}/_SUCCESS")
-    rename_path(spark, f"{path}{NEW}" if complete else f"{path}{OLD}", path)
-    delete_path(spark, f"{path}{OLD}")
+def table_name(layer: str, name: str) -> str:
+    return f"{layer}/{name}"
 
 
 def write_layer(
     df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None
 ) -> None:
     """Materialise a model as a table of its layer, replacing what was there."""
-    stage_layer(df, root, layer, name, partition_by).publish()
+    change = Transaction(df.sparkSession, root)
+    change.write(df, table_name(layer, name), partition_by)
+    change.commit()
 
 
 def publish_view(df: DataFrame, layer: str, name: str) -> None:
@@ -89,18 +39,20 @@ def publish_view(df: DataFrame, layer: str, name: str) -> None:
 
 
 def read_layer(
-    spark: SparkSession, root: str, layer: str, name: str, schema: str | None = None
+    spark: SparkSession, root: str, layer: str, name: str, schema: str | None = None,
+    snapshot: Snapshot | None = None,
 ) -> DataFrame:
-    """Read a table; with a schema also one that has no rows and so no files."""
-    reader = spark.read if schema is None else spark.read.schema(schema)
-    return reader.parquet(table_path(root, layer, name))
+    """Read a table as the newest snapshot, or a given one, has it.
+
+    Tables that belong together are read from one snapshot. With a schema a table that was
+    never written has no rows.
+    """
+    return (snapshot or current(spark, root)).read(table_name(layer, name), schema)
 
 
 def layer_exists(spark: SparkSession, root: str, layer: str, name: str) -> bool:
-    """Whether the table was written to its end; a folder alone does not count."""
-    path = table_path(root, layer, name)
-    settle(spark, path)
-    return path_exists(spark, f"{path}/_SUCCESS")
+    """Whether the table was published; folders alone do not count."""
+    return table_name(layer, name) in current(spark, root).tables
 
 
 def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -109,6 +61,12 @@ def upsert_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> Da
     return kept.select(*target.columns).unionByName(source)
 
 
+def newer_rows(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``target`` with rows of ``source`` where it has none, or an older one, of their key."""
+    both = target.withColumn("_came", F.lit(0)).unionByName(source.withColumn("_came", F.lit(1)))
+    return latest_per_key(both, keys, LOADED_AT, ["_came"]).drop("_came")
+
+
 def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
     repeated = source.groupBy(*keys).count().filter("count > 1").limit(1)
     if not repeated.isEmpty():
@@ -116,51 +74,38 @@ def check_unique_keys(source: DataFrame, keys: Sequence[str]) -> None:
 
 
 def stage_merge(
+    change: Transaction,
     source: DataFrame,
-    root: str,
     layer: str,
     name: str,
     keys: Sequence[str],
     schema: str,
     unique: bool = False,
-) -> Staged:
-    """Upsert ``source`` into a table partitioned by month, up to the point of publishing.
+    only_newer: bool = False,
+    info: dict | None = None,
+) -> DataFrame:
+    """Stage an upsert of ``source`` into a table partitioned by month.
 
-    Only the months that occur in the batch are read and rewritten, so the month must
-    be one of the keys. Their merged rows are written to the scratch folder whole:
-    the batch may derive from the table, and a merge that was cut off while months were
-    replaced is finished by ``finish_merge`` from there, whatever is left of them.
+    Only the months that occur in the batch are read and written, once, so the month must
+    be one of the keys. The batch is written to the scratch folder first, as it may derive
+    from the table and is read several times. With ``only_newer`` a row replaces one of its
+    key only if it comes from a later load.
     """
     if PERIOD not in keys:
         raise ValueError(f"{PERIOD} must be one of the merge keys")
-    spark = source.sparkSession
-    path = _pending_path(spark, root, layer, name)
-    delete_path(spark, path)
-    source.select(*_columns(schema)).write.parquet(f"{path}/batch")
-    batch = spark.read.schema(schema).parquet(f"{path}/batch")
+    spark, table = source.sparkSession, table_name(layer, name)
+    columns = StructType.fromDDL(schema)
+    batch = staged(spark, source.select(*columns.names), "batch")
     if not unique:
-        try:
-            check_unique_keys(batch, keys)
-        except DuplicateKeyError:
-            delete_path(spark, path)
-            raise
+        check_unique_keys(batch, keys)
     # One row per month of the batch.
-    touched = [row[0] for row in batch.select(PERIOD).distinct().collect()]
-    target = read_layer(spark, root, layer, name, schema)
-    inside = F.col(PERIOD).isin(touched) if touched else F.lit(False)
-    merged = upsert_rows(target.filter(inside), batch, keys).hint("rebalance", PERIOD)
-    merged.write.partitionBy(PERIOD).parquet(f"{path}/months")
-    months = spark.read.schema(schema).parquet(f"{path}/months")
-    rest = target.filter(~F.coalesce(inside, F.lit(False)))
-
-    def publish() -> None:
-        spark.range(1).write.mode("overwrite").parquet(f"{path}/{APPROVED}")
-        finish_merge(spark, root, layer, name, schema)
-
-    columns = target.columns
-    return Staged(
-        rest.unionByName(months.select(*columns)), publish, lambda: delete_path(spark, path)
-    )
+    touched = [part_key(PERIOD, row[0]) for row in batch.select(PERIOD).distinct().collect()]
+    if not touched:
+        return change.put(table, {}, columns, PERIOD, replace=[], info=info)
+    held = [key for key in touched if key in change.parts(table)]
+    target = change.read(table, schema, held)
+    merged = (newer_rows if only_newer else upsert_rows)(target, batch, keys)
+    return change.write(merged, table, PERIOD, replace=touched, schema=columns, info=info)
 
 
 def merge_upsert(
@@ -173,47 +118,31 @@ def merge_upsert(
     unique: bool = False,
 ) -> None:
     """Upsert ``source`` into a table partitioned by month; see ``stage_merge``."""
-    stage_merge(source, root, layer, name, keys, schema, unique).publish()
-
-
-def finish_merge(spark: SparkSession, root: str, layer: str, name: str, schema: str) -> bool:
-    """Put the merged months in place of a merge that was approved but not ended."""
-    path = _pending_path(spark, root, layer, name)
-    if not path_exists(spark, f"{path}/{APPROVED}/_SUCCESS"):
-        return False
-    (
-        spark.read.schema(schema).parquet(f"{path}/months")
-        .hint("rebalance", PERIOD)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(PERIOD)
-        .parquet(table_path(root, layer, name))
-    )
-    delete_path(spark, path)
-    return True
-
-
-def _columns(schema: str) -> list[str]:
-    return StructType.fromDDL(schema).fieldNames()
-
-
-def _pending_path(spark: SparkSession, root: str, layer: str, name: str) -> str:
-    warehouse = hashlib.md5(root.encode()).hexdigest()
-    return f"{scratch_root(spark)}/strata-pending/{warehouse}/{layer}/{name}"
+    change = Transaction(source.sparkSession, root)
+    stage_merge(change, source, layer, name, keys, schema, unique)
+    change.commit()
 
 
 def store_failures(
     spark: SparkSession, failures: Mapping[str, DataFrame], tests: Sequence[str], root: str
 ) -> list[str]:
-    """Make the stored failures of ``tests`` those of the newest run.
+    """Make the stored failures of ``tests`` those of the newest run, all at once.
 
     The failing rows of a test go to a table of its own; a test without any loses the
     table an earlier run has left.
     """
+    change = Transaction(spark, root)
     for test in tests:
-        path = f"{root}/test_failures/{test}"
         if test in failures:
-            failures[test].write.mode("overwrite").parquet(path)
-        else:
-            delete_path(spark, path)
+            change.write(failures[test], table_name(FAILURES, test))
+        elif table_name(FAILURES, test) in change.tables:
+            change.remove(table_name(FAILURES, test))
+    change.commit()
     return [test for test in tests if test in failures]
+
+
+def stored_failures(spark: SparkSession, root: str) -> dict[str, DataFrame]:
+    """Failing rows of the newest run by test."""
+    held = current(spark, root)
+    names = [name for name in held.tables if name.startswith(f"{FAILURES}/")]
+    return {name.split("/", 1)[1]: held.read(name) for name in sorted(names)}

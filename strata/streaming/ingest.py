@@ -3,42 +3,53 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from strata.plans.silver import PRODUCTION_KEYS, STG_PRODUCCION_SCHEMA, stg_produccion
-from strata.sources.bronze import bronze_path, scan_bronze
-from strata.sources.tables import finish_merge, layer_exists, merge_upsert, read_layer, write_layer
+from strata.sources.bronze import loads, scan_bronze
+from strata.sources.snapshots import POINTERS, Transaction
+from strata.sources.tables import PERIOD, stage_merge, table_name
+
+INGESTED = "ingested"
 
 
 def incremental_ingest(
     spark: SparkSession, root: str, name: str, checkpoint: str
 ) -> DataStreamWriter:
-    """Stream over the files of a bronze table; start it with ``availableNow``.
-
-    Every micro-batch holds files not seen before. Of its rows the newest per key is
-    merged where silver has none or an older one for the key, so the files of one load
-    may come in several micro-batches, and a batch repeated after a failure changes
-    nothing. Between rows of one load time that come apart, the one that came first
-    stays. Columns of the table are those known when the stream is started.
+    """Stream over the pointers of a warehouse; start it with ``availableNow`` or a trigger.
+
+    A new pointer says that something was published; the loads of the bronze table that silver
+    was not made from yet are merged then, whole and with the columns their manifest has, so a
+    column that a load brings while the stream runs is read. Of their rows the newest per key
+    is merged where silver has none or an older one for the key; only the months of the batch
+    are read and written. Which loads were merged is published with their rows, so a batch that
+    is repeated after a failure changes nothing. Between rows of one load time that come apart,
+    the one that came first stays.
     """
-    bronze = scan_bronze(spark, root, name)
-    stream = spark.readStream.schema(bronze.schema).parquet(bronze_path(root, name))
-    keys = list(PRODUCTION_KEYS)
+    stream = spark.readStream.text(f"{root}/{POINTERS}", wholetext=True)
 
     def merge(batch: DataFrame, batch_id: int) -> None:
-        session = batch.sparkSession
-        layer = ("silver", "stg_produccion")
-        fresh = stg_produccion(batch)
-        if not layer_exists(session, root, *layer):
-            write_layer(fresh, root, *layer, partition_by="periodo")
-            return
-        finish_merge(session, root, *layer, STG_PRODUCCION_SCHEMA)
-        held = read_layer(session, root, *layer, STG_PRODUCCION_SCHEMA).select(
-            *keys, F.col("_loaded_at").alias("_held_at")
-        )
-        newer = F.col("_held_at").isNull() | (F.col("_loaded_at") > F.col("_held_at"))
-        fresh = fresh.join(held, keys, "left").filter(newer).drop("_held_at")
-        merge_upsert(fresh, root, *layer, keys, STG_PRODUCCION_SCHEMA, unique=True)
+        merge_new_loads(batch.sparkSession, root, name)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint)
+
+
+def merge_new_loads(spark: SparkSession, root: str, name: str) -> list[str]:
+    """Merge the loads that silver was not made from; their folders."""
+    change = Transaction(spark, root)
+    table = table_name("silver", "stg_produccion")
+    done = set(change.info(table).get(INGESTED, []))
+    new = {key: load["path"] for key, load in loads(change, name).items() if load["path"] not in done}
+    if not new:
+        return []
+    fresh = stg_produccion(scan_bronze(spark, root, name, list(new), change))
+    info = {INGESTED: sorted(done | set(new.values()))}
+    if table in change.tables:
+        stage_merge(
+            change, fresh, "silver", "stg_produccion", PRODUCTION_KEYS, STG_PRODUCCION_SCHEMA,
+            unique=True, only_newer=True, info=info,
+        )
+    else:
+        change.write(fresh, table, PERIOD, schema=STG_PRODUCCION_SCHEMA, info=info)
+    change.commit()
+    return sorted(new.values())

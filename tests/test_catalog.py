@@ -1,3 +1,6 @@
+import subprocess
+import sys
+
 import duckdb
 import pytest
 
@@ -40,3 +43,26 @@ def test_query_equals_sql(spark, duck, name):
     got = sorted((tuple(row) for row in df.select(*columns).collect()), key=repr)
     want = sorted(twin.select(*[duckdb.ColumnExpression(c) for c in columns]).fetchall(), key=repr)
     assert got == want
+
+
+BLOCKED = """
+import sys
+
+class Missing:
+    def find_spec(self, name, path=None, target=None):
+        if name in {names}:
+            raise ImportError(name)
+
+sys.meta_path.insert(0, Missing())
+import __spark_entry__ as entry
+print(len(entry.queries()), len(entry.oracle_sql()))
+"""
+
+
+@pytest.mark.parametrize("names", [("strata.llm", "corpus_pipeline"), ("public_tokenizers",)])
+def test_other_queries_stay_where_the_optional_part_cannot_be_imported(names):
+    ran = subprocess.run(
+        [sys.executable, "-c", BLOCKED.format(names=names)], capture_output=True, text=True,
+        cwd=entry.__file__.rsplit("/", 1)[0],
+    )
+    assert ran.stdout.split() == [str(len(catalog.queries())), str(len(catalog.oracles()))], ran.stderr

@@ -6,8 +6,9 @@ from pyspark.sql import functions as F
 from strata.plans import monthly, quality
 from strata.plans.gold import GOLD_SCHEMAS
 from strata.plans.silver import STG_PRODUCCION_SCHEMA, stg_produccion
-from strata.session import delete_path, path_exists, rename_path
+from strata.session import child_directories
 from strata.sources import tables
+from strata.sources.snapshots import Transaction
 from strata.sources.tables import DuplicateKeyError, merge_upsert, read_layer, write_layer
 from tests.conftest import PRODUCTION_COLUMNS, PRODUCTION_ROWS, bronze, load, load_fixture, production, text_frame
 
@@ -30,10 +31,9 @@ def gas(df, well=135204, month="2024-01-01"):
 
 def merge_load(spark, root, df, period, at, reprocess=None):
     load(df, root, "produccion_raw", period, at)
-    monthly._refreshed(
-        spark, root, "silver", "stg_produccion", STG_PRODUCCION_SCHEMA, False,
-        lambda target: stg_produccion(bronze(spark, root), target, reprocess),
-    ).publish()
+    change = Transaction(spark, root)
+    monthly._reports(change, reprocess, False)
+    change.commit()
 
 
 def test_a_correction_replaces_and_a_negative_one_keeps_the_old_row(spark, root):
@@ -77,47 +77,6 @@ def test_repeated_source_keys_are_an_error(spark, root):
         )
 
 
-def test_a_merge_cut_off_half_way_is_finished(spark, root, monkeypatch):
-    both = production(spark, {"prod_gas": "10"}, {"idpozo": "7", "prod_gas": "3"})
-    merge_load(spark, root, both, "a", datetime(2024, 2, 1))
-    finish = tables.finish_merge
-
-    def crash(*args):
-        raise RuntimeError("driver lost")
-
-    monkeypatch.setattr(tables, "finish_merge", crash)
-    with pytest.raises(RuntimeError):
-        merge_load(spark, root, production(spark, {"prod_gas": "12"}), "b", datetime(2024, 3, 1))
-    monkeypatch.setattr(tables, "finish_merge", finish)
-    # The folder of the month may be gone already when the driver dies.
-    delete_path(spark, tables.table_path(root, "silver", "stg_produccion") + "/periodo=2024-01-01")
-    assert finish(spark, root, "silver", "stg_produccion", STG_PRODUCCION_SCHEMA)
-    found = {r.id_pozo: float(r.prod_gas) for r in silver(spark, root).collect()}
-    assert found == {135204: 12.0, 7: 3.0}
-    assert not finish(spark, root, "silver", "stg_produccion", STG_PRODUCCION_SCHEMA)
-
-
-def test_a_first_build_that_is_cut_off_does_not_count(spark, root):
-    load_fixture(spark, root)
-    path = tables.table_path(root, "silver", "stg_produccion")
-    spark.range(1).write.parquet(f"{path}/_temporary/0")
-    monthly.transform(spark, root, reprocess="2024-01-01", now=NOW)
-    assert silver(spark, root).count() == 4
-
-
-@pytest.mark.parametrize("complete", [True, False])
-def test_a_swap_that_is_cut_off_is_settled(spark, root, complete):
-    path = tables.table_path(root, "gold", "dim")
-    old, new = spark.range(2), spark.range(5)
-    write_layer(old, root, "gold", "dim")
-    rename_path(spark, path, path + tables.OLD)
-    new.write.parquet(path + tables.NEW)
-    if not complete:
-        delete_path(spark, f"{path}{tables.NEW}/_SUCCESS")
-    assert tables.layer_exists(spark, root, "gold", "dim")
-    assert read_layer(spark, root, "gold", "dim", "id long").count() == (5 if complete else 2)
-
-
 def test_a_late_well_needs_its_month_reprocessed(spark, root):
     from tests.conftest import WELL_ROWS
 
@@ -138,15 +97,17 @@ def test_an_impossible_day_count_is_stored_and_stops_the_run(spark, root):
     with pytest.raises(quality.QualityGateError) as stopped:
         monthly.transform(spark, root, now=NOW)
     assert stopped.value.tests == ["between_fct_produccion_dias_produccion"]
-    stored = spark.read.parquet(f"{root}/test_failures/between_fct_produccion_dias_produccion")
-    assert [r.dias_produccion for r in stored.collect()] == [999]
-    # Nothing of the run that failed is published.
-    assert not tables.layer_exists(spark, root, "gold", "fct_produccion")
+    stored = tables.stored_failures(spark, root)
+    assert [r.dias_produccion for r in stored["between_fct_produccion_dias_produccion"].collect()] == [999]
+    # Nothing of the run that failed is published, and nothing of it is left.
+    for layer, name in (("silver", "stg_produccion"), ("gold", "fct_produccion")):
+        assert not tables.layer_exists(spark, root, layer, name)
+        assert child_directories(spark, f"{root}/{layer}/{name}", "*") == []
     load_fixture(spark, root, at=datetime(2024, 3, 2))
     monthly.transform(spark, root, now=NOW)
     assert fact(spark, root).count() == 4
     # The test passes again, so its failures are gone.
-    assert not path_exists(spark, f"{root}/test_failures/between_fct_produccion_dias_produccion")
+    assert tables.stored_failures(spark, root) == {}
 
 
 def test_a_stale_source_stops_before_silver(spark, root):

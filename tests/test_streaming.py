@@ -4,9 +4,13 @@ from datetime import datetime, timedelta
 from pyspark.sql import functions as F
 
 from strata.operators import alerts as a
+from strata.plans.silver import STG_PRODUCCION_SCHEMA
+from strata.sources.snapshots import Snapshot, current
 from strata.sources.request_log import REQUEST_LOG_SCHEMA, read_request_log
 from strata.streaming.alerts import alert_sink, dedup_alerts_stream, service_down_stream
+from strata.streaming.ingest import incremental_ingest, merge_new_loads
 from strata.streaming.requests import LateRows, as_alert_metrics, every_tick, request_metrics_stream
+from tests.conftest import load, production
 
 T0 = datetime(2024, 1, 1)
 
@@ -97,3 +101,49 @@ def test_a_silent_service_is_reported_without_new_input(spark, root):
     counts = {r.key: r.n for r in found}
     assert set(counts) == {"quiet:service_down:active", "talking:service_down:active"}
     assert min(counts.values()) >= 2
+
+
+def test_loads_are_ingested_once_with_the_columns_they_bring(spark, root, monkeypatch):
+    """A column that comes while the stream runs is read; other months are not."""
+    first = production(spark, {"area": "Old"}, {"mes": "2"}).drop("tipo_recurso")
+    load(first, root, "produccion_raw", "2024-02", datetime(2024, 2, 10))
+    query = incremental_ingest(spark, root, "produccion_raw", f"{root}/checkpoint").trigger(
+        processingTime="200 milliseconds"
+    ).start()
+
+    def wait_for(gas):
+        deadline = time.time() + 60
+        while time.time() < deadline:
+            held = current(spark, root)
+            if "silver/stg_produccion" in held.tables:
+                rows = held.read("silver/stg_produccion", STG_PRODUCCION_SCHEMA).collect()
+                if {float(r.prod_gas) for r in rows} == gas:
+                    return {str(r.periodo): r for r in rows}
+            time.sleep(0.2)
+        raise AssertionError("not ingested")
+
+    try:
+        assert wait_for({59.94})["2024-01-01"].tipo_recurso == "SIN DATO"
+        february = current(spark, root).parts("silver/stg_produccion")["periodo=2024-02-01"]
+        load(production(spark, {"prod_gas": "7"}), root, "produccion_raw", "2024-03", datetime(2024, 3, 10))
+        found = wait_for({59.94, 7.0})
+        assert found["2024-01-01"].tipo_recurso == "SHALE" and found["2024-02-01"].tipo_recurso == "SIN DATO"
+    finally:
+        query.stop()
+    assert current(spark, root).parts("silver/stg_produccion")["periodo=2024-02-01"] == february
+    assert merge_new_loads(spark, root, "produccion_raw") == []
+    # An older load brings no row of a key that silver has, and reads the months it is about.
+    load(production(spark, {"prod_gas": "1"}, {"mes": "3"}), root, "produccion_raw", "2024-01", datetime(2024, 1, 10))
+    read = []
+    from_table = Snapshot.read
+
+    def noted(self, table, schema=None, keys=None):
+        read.append((table, None if keys is None else tuple(keys)))
+        return from_table(self, table, schema, keys)
+
+    monkeypatch.setattr(Snapshot, "read", noted)
+    assert len(merge_new_loads(spark, root, "produccion_raw")) == 1
+    monkeypatch.undo()
+    assert ("silver/stg_produccion", ("periodo=2024-01-01",)) in read
+    assert ("bronze/produccion_raw", ("_load_period=2024-01",)) in read
+    assert set(wait_for({59.94, 7.0})) == {"2024-01-01", "2024-02-01", "2024-03-01"}
