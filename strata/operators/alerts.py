@@ -5,14 +5,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from typing import NamedTuple
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.functions.text import title_words, two_decimals
 from strata.operators.aggregates import union_all
 from strata.operators.metrics import duration_sum, is_error, pane_start
+from strata.session import staged
 
 # Severity numbers and their symbols, evaluation and quiet periods.
 SEVERITIES = {"low": 1, "medium": 2, "high": 3, "critical": 4}
@@ -25,8 +24,10 @@ ALERT_SCHEMA = (
     "ts timestamp, alert_type string, severity int, status string, message string, "
     "context map<string,double>, key string"
 )
-# Deduplication handles this many quiet periods of a key at a time.
-PERIODS_PER_CHUNK = 288
+# Deduplication composes this many stretches of a key at a time.
+FAN_OUT = 64
+# Blocked until before any time.
+_NEVER = -(1 << 63)
 
 
 class Limits(NamedTuple):
@@ -198,78 +199,98 @@ def dedup_alerts(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
     """Alerts to notify: the first of a key, then each at least ``seconds`` after the
     last notified one. Suppressed alerts do not extend the quiet period.
 
-    The choice runs in time order within a key. So that a key with very many alerts is
-    no single task, its time is cut into chunks of many quiet periods. A chunk's state
-    on entry can only block its first quiet period, hence every possible first choice is
-    followed through the chunk at once; walking a key's chunks needs only those few
-    outcomes, and the choices are then made per chunk. Of alerts with equal key and
-    time the one with the smallest message is kept. The alerts are read several times;
-    stage them where they are dear to compute.
+    The choice runs in time order within a key, yet no task walks a key. Time is cut into
+    slots of one quiet period, in which at most one alert is chosen. A slot is a function from
+    "blocked until", as the slots before leave it, to what it leaves to the next; the functions
+    of ``FAN_OUT`` neighbours compose to that of a longer stretch, and so on up to one stretch
+    per key. On the way back each stretch tells its parts how long they are blocked on entry, and
+    each slot chooses. A row holds the alert times of one key and slot, or the functions of
+    ``FAN_OUT`` stretches, which have few distinct outcomes. Of alerts with equal key and time
+    the one with the smallest message is kept. The alerts are read several times; stage them
+    where they are dear to compute.
     """
     quiet = seconds * 1_000_000
-    chunk = quiet * PERIODS_PER_CHUNK
     single = (
         alerts.withColumn("_t", F.unix_micros("ts"))
         .groupBy("key", "_t")
         .agg(F.min_by(F.struct(*[c for c in alerts.columns if c != "key"]), "message").alias("_a"))
     )
-    times = single.select(
-        "key", "_t", ((F.col("_t") - F.pmod("_t", F.lit(chunk))) / F.lit(chunk)).cast("long").alias("chunk")
-    )
-
-    def follow(group: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(group["_t"].to_numpy())
-        entries = int(np.searchsorted(t, group["chunk"].iloc[0] * chunk + quiet)) + 1
-        outcome = _last_choice(t, quiet)[:entries]
-        # Neighbouring first choices mostly lead to the same end; the latest stands for all.
-        distinct = np.append(outcome[1:] != outcome[:-1], True)
-        return pd.DataFrame(
-            {"key": group["key"].iloc[0], "chunk": group["chunk"].iloc[0],
-             "first_choice": t[:entries][distinct], "last_choice": outcome[distinct]}
+    slot = ((F.col("_t") - F.pmod("_t", F.lit(quiet))) / F.lit(quiet)).cast("long")
+    slots = staged(alerts.sparkSession, single.groupBy("key", slot.alias("part")).agg(
+        F.array_sort(F.collect_set("_t")).alias("times")
+    ), "quiet-slots")
+    first, last = slots.agg(F.min("part"), F.max("part")).first()
+    if first is None:
+        return alerts
+    level = slots.select("key", (F.col("part") - first).alias("part"), F.transform(
+        "times", lambda t: F.struct(t.alias("t"), (t + quiet).alias("o"))
+    ).alias("f"))
+    stretches, width = [], 1
+    while width <= last - first:
+        width *= FAN_OUT
+        start = (F.lit(first) + F.col("node") * F.lit(width)) * F.lit(quiet)
+        grouped = level.groupBy("key", F.expr(f"part div {FAN_OUT}").alias("node")).agg(
+            F.array_sort(F.collect_list(F.struct("part", "f"))).alias("parts")
         )
-
-    def walk(group: pd.DataFrame) -> pd.DataFrame:
-        blocked_until = np.iinfo(np.int64).min
-        chosen = []
-        ordered = group.sort_values(["chunk", "first_choice"])
-        for number, options in ordered.groupby("chunk", sort=True):
-            starts = options["first_choice"].to_numpy()
-            i = int(np.searchsorted(starts, blocked_until))
-            if i < len(starts):
-                chosen.append((group["key"].iloc[0], number, blocked_until))
-                blocked_until = options["last_choice"].to_numpy()[i] + quiet
-        return pd.DataFrame(chosen, columns=["key", "chunk", "blocked_until"])
-
-    def choose(group: pd.DataFrame) -> pd.DataFrame:
-        t = np.sort(group["_t"].to_numpy())
-        after = np.searchsorted(t, t + quiet)
-        i, picked = int(np.searchsorted(t, group["blocked_until"].iloc[0])), []
-        while i < len(t):
-            picked.append(t[i])
-            i = int(after[i])
-        return pd.DataFrame({"key": group["key"].iloc[0], "_t": picked})
-
-    outcomes = times.groupBy("key", "chunk").applyInPandas(
-        follow, "key string, chunk long, first_choice long, last_choice long"
-    )
-    starts = outcomes.groupBy("key").applyInPandas(walk, "key string, chunk long, blocked_until long")
-    picks = (
-        times.join(starts, ["key", "chunk"])
-        .groupBy("key", "chunk")
-        .applyInPandas(choose, "key string, _t long")
-    )
+        stretches.append(staged(alerts.sparkSession, grouped, "stretches"))
+        level = stretches[-1].select("key", F.col("node").alias("part"), F.aggregate(
+            "parts", _no_alerts(), lambda f, part: _composed(f, part["f"], start + quiet)
+        ).alias("f"))
+    entries = level.select("key", "part", F.lit(_NEVER).alias("blocked"))
+    for held in reversed(stretches):
+        inside = held.join(entries.withColumnRenamed("part", "node"), ["key", "node"]).select(
+            "key", F.inline(_entries(F.col("parts"), F.col("blocked")))
+        )
+        entries = staged(alerts.sparkSession, inside, "entries")
+    chosen = F.get(F.filter("times", lambda t: t >= F.col("blocked")), F.lit(0))
+    picks = slots.withColumn("part", F.col("part") - first).join(entries, ["key", "part"]).select(
+        "key", chosen.alias("_t")
+    ).filter("_t is not null")
     notified = single.join(picks, ["key", "_t"], "left_semi")
     return notified.select("key", "_a.*").select(*alerts.columns)
 
 
-def _last_choice(t: np.ndarray, quiet: int) -> np.ndarray:
-    """For every start the last alert chosen when going on from it."""
-    after = np.searchsorted(t, t + quiet)
-    last = t.copy()
-    for i in range(len(t) - 1, -1, -1):
-        if after[i] < len(t):
-            last[i] = last[after[i]]
-    return last
+def _no_alerts() -> Column:
+    return F.array().cast("array<struct<t:bigint,o:bigint>>")
+
+
+def _leaves(f: Column, blocked: Column) -> Column:
+    """How long the next part is blocked after a stretch ``f`` that was blocked on entry.
+
+    ``f`` lists first choices and what they lead to; the first one not blocked counts, and
+    without any the stretch changes nothing.
+    """
+    return F.coalesce(F.get(F.filter(f, lambda x: x["t"] >= blocked), F.lit(0))["o"], blocked)
+
+
+def _composed(f: Column, after: Column, open_by: Column) -> Column:
+    """The stretch ``f`` and the one after it as one; every entry is over by ``open_by``.
+
+    Of neighbouring first choices that lead to the same end the latest stands for all.
+    """
+    moved = F.transform(f, lambda x: F.struct(x["t"].alias("t"), _leaves(after, x["o"]).alias("o")))
+    kept = F.filter(
+        moved, lambda x, i: F.coalesce(F.get(moved, i + 1)["o"] != x["o"], F.lit(True))
+    )
+    covered = F.element_at(kept, -1)["t"] >= open_by
+    later = F.when(covered, _no_alerts()).otherwise(F.slice(after, 1, 1))
+    return F.when(F.size(f) == 0, after).otherwise(F.concat(kept, later))
+
+
+def _entries(parts: Column, blocked: Column) -> Column:
+    """Each part of a stretch with how long it is blocked on entry."""
+    empty = F.array().cast("array<struct<part:bigint,blocked:bigint>>")
+    start = F.struct(blocked.alias("blocked"), empty.alias("entries"))
+    return F.aggregate(
+        parts, start,
+        lambda state, part: F.struct(
+            _leaves(part["f"], state["blocked"]).alias("blocked"),
+            F.concat(state["entries"], F.array(F.struct(
+                part["part"].alias("part"), state["blocked"].alias("blocked")
+            ))).alias("entries"),
+        ),
+        lambda state: state["entries"],
+    )
 
 
 def render_alert(alerts: DataFrame) -> DataFrame:

@@ -90,9 +90,9 @@ def test_quiet_period_runs_from_the_last_notified_alert(spark):
         assert sorted((r.ts - T0).seconds for r in got if r.key == key) == [0, 300, 610]
 
 
-@pytest.mark.parametrize("spacing", [3, 40, 700])
-def test_dedup_in_chunks_equals_a_walk_in_order(spark, spacing, monkeypatch):
-    monkeypatch.setattr(a, "PERIODS_PER_CHUNK", 4)
+@pytest.mark.parametrize("spacing, fan_out", [(3, 2), (40, 4), (700, 3), (5000, 64)])
+def test_dedup_by_stretches_equals_a_walk_in_order(spark, spacing, fan_out, monkeypatch):
+    monkeypatch.setattr(a, "FAN_OUT", fan_out)
     rng = np.random.default_rng(spacing)
     points = [
         (key, float(s))
@@ -108,8 +108,16 @@ def test_dedup_in_chunks_equals_a_walk_in_order(spark, spacing, monkeypatch):
             if last is None or at - last >= timedelta(seconds=300):
                 expected.add((key, at))
                 last = at
-    got = a.dedup_alerts(alerts_at(spark, *points), 300).collect()
+    chosen = a.dedup_alerts(alerts_at(spark, *points), 300)
+    got = chosen.collect()
     assert {(r.key, r.ts) for r in got} == expected and len(got) == len(expected)
+    assert "Pandas" not in chosen._jdf.queryExecution().executedPlan().toString()
+
+
+def test_dedup_of_no_alerts_and_of_times_before_1970(spark):
+    assert a.dedup_alerts(alerts_at(spark, ("k", 0)).limit(0)).collect() == []
+    early = alerts_at(spark, *[("k", -2e9 + s) for s in (0, 100, 299, 300, 599.5, 601)])
+    assert len(a.dedup_alerts(early, 300).collect()) == 3
 
 
 def test_payload(spark):
