@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-_PRODUCTION_CELLS = (
+PRODUCTION_CELLS = (
     "anio", "area", "areayacimiento", "cuenca", "dias_produccion", "empresa", "idempresa",
     "idpozo", "mes", "prod_agua", "prod_gas", "prod_pet", "tipo_de_recurso",
 )
@@ -43,10 +43,10 @@ produccion_cells as (
     join nation on s_nationkey = n_nationkey
     join region on n_regionkey = r_regionkey),
 produccion_raw as (
-  select {', '.join(_PRODUCTION_CELLS)},
+  select {', '.join(PRODUCTION_CELLS)},
     strftime(ship_month + interval 1 month + to_days(l_linenumber), '%Y-%m-01') as _load_period,
     cast(ship_month + interval 1 month + to_days(l_linenumber) as timestamp) as _loaded_at,
-    {_row_hash(_PRODUCTION_CELLS)} as _row_hash
+    {_row_hash(PRODUCTION_CELLS)} as _row_hash
   from produccion_cells),
 pozos_cells as (
   select p_brand as areayacimiento, coalesce(r_name, '') as cuenca,

@@ -14,9 +14,9 @@ from strata.operators import counters as c
 from strata.operators import metrics as m
 from strata.operators.filters import match_labels
 from strata.operators.ordering import order_labels
-from strata.operators.windows import prev_sample, running_bucket_sum
+from strata.operators.windows import running_bucket_sum, with_previous
 from strata.session import path_exists, scratch_path, staged
-from strata.sources.request_log import normalize_log, uninstrumented
+from strata.sources.request_log import normalize_log, read_request_log, uninstrumented
 from strata.sources.synthetic import counter_samples, request_log, request_stream
 from strata.streaming.alerts import (
     alert_sink,
@@ -24,12 +24,18 @@ from strata.streaming.alerts import (
     service_down_stream,
     use_state_store,
 )
-from strata.streaming.requests import as_alert_metrics, every_tick, request_metrics_stream
+from strata.streaming.requests import (
+    as_alert_metrics,
+    every_tick,
+    late_requests,
+    request_metrics_stream,
+)
 
 WINDOW, QUIET = 900, 3600
 SILENCE = a.Limits(silent=600)
 TICK = 300
 STREAM_WINDOW, STREAM_DELAY, STREAM_QUIET = "1 hour", "10 minutes", 4 * 3600
+STREAM_SLIDE = "15 minutes"
 
 
 def log_of(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -90,8 +96,28 @@ def requests_before(spark, d):
 
 
 def counter_steps(spark, d):
-    samples = counter_samples(spark, d).withColumn("previous", prev_sample(["series"]))
-    return plain(samples)
+    return plain(with_previous(counter_samples(spark, d), ["series"], 6 * 3600))
+
+
+def landed_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The request log as it is read from where it has landed."""
+    path = scratch_path(spark, "log")
+    request_log(spark, sf_dir).write.parquet(path)
+    return plain(read_request_log(spark, path))
+
+
+def late_by_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests that read come after those that write, where their hour was final by then."""
+    log, path = log_of(spark, sf_dir), scratch_path(spark, "late")
+    for method in ("POST", "GET"):
+        log.filter(F.col("method") == method).write.mode("append").parquet(f"{path}/log")
+        stream = read_request_log(spark, f"{path}/log", streaming=True)
+        writer = late_requests(stream, STREAM_WINDOW, STREAM_DELAY, path, f"{path}/checkpoint")
+        writer.trigger(availableNow=True).start().awaitTermination()
+    late = spark.read.parquet(f"{path}/late")
+    return plain(late.groupBy(F.col("window.start").alias("window_start"), "method", "path").agg(
+        F.count(F.lit(1)).alias("requests"), F.max("ts").alias("newest")
+    ))
 
 
 def closed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -104,11 +130,11 @@ def closed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize_log(request_stream(spark, sf_dir)).union(closing)
 
 
-def streamed_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def streamed_metrics(spark: SparkSession, sf_dir: str, slide: str | None = None) -> DataFrame:
     """Windowed metrics of the whole log, as a stream writes them."""
     path = scratch_path(spark, "stream")
     metrics = request_metrics_stream(
-        closed_stream(spark, sf_dir), STREAM_WINDOW, watermark=STREAM_DELAY
+        closed_stream(spark, sf_dir), STREAM_WINDOW, slide, watermark=STREAM_DELAY
     )
     query = (
         metrics.writeStream.format("parquet")
@@ -240,7 +266,10 @@ QUERIES = {
     "render_alert": lambda spark, d: plain(
         a.render_alert(_silence(spark, d)).select("ts", "key", "payload")
     ),
+    "read_request_log": landed_log,
     "request_metrics_stream": streamed_metrics,
+    "request_metrics_stream_sliding": lambda spark, d: streamed_metrics(spark, d, STREAM_SLIDE),
+    "late_requests": late_by_hour,
     "dedup_alerts_stream": streamed_alerts,
     "service_down_stream": silent_paths,
 }

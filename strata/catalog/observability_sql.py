@@ -289,6 +289,22 @@ union all select series, {_START}, null from inside where n = 1""",
         "select path || ':service_down:active' as key, 4 as severity, "
         "'Service appears to be down: no requests in last 2s' as message from log group by path"
     ),
+    "read_request_log": log(f"select * replace ({_TS}) from log"),
+    "request_metrics_stream_sliding": log(
+        f"""select strftime(window_start, '%Y-%m-%d %H:%M:%S') as window_start, count(*) as requests,
+  {_ERRORS} as errors, {_MEAN} as avg_latency, {_ERRORS} / count(*) as error_rate
+from (select *, time_bucket(interval 900 seconds, ts) - to_seconds(k * 900) as window_start
+  from log, range(4) as shifts(k))
+group by window_start"""
+    ),
+    "late_requests": log(
+        """select strftime(window_start, '%Y-%m-%d %H:%M:%S') as window_start, method, path,
+  count(*) as requests, strftime(max(ts), '%Y-%m-%d %H:%M:%S') as newest
+from (select *, date_trunc('hour', ts) as window_start from log where method = 'GET')
+where window_start + interval 1 hour
+  <= (select max(ts) from log where method = 'POST') - interval 10 minutes
+group by window_start, method, path"""
+    ),
     "request_metrics_stream": log(f"select * replace ({_START}) from closed", _CLOSED),
     "dedup_alerts_stream": log(
         "select strftime(ts - interval 1 microsecond, '%Y-%m-%d %H:%M:%S') as ts, key, severity, message "

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,7 +20,8 @@ from strata.operators import quality as q
 from strata.operators.windows import latest_per_key, rank_total
 from strata.plans import quality
 from strata.plans.gold import GOLD_SCHEMAS, fct_produccion
-from strata.plans.monthly import Landed, backfill, run_period, verify_reload
+from strata.plans.monthly import Landed, backfill, catch_up, run_period, verify_reload
+from strata.plans.profiles import bronze_profile
 from strata.plans.silver import STG_PRODUCCION_SCHEMA, type_production
 from strata.session import scratch_path
 from strata.sources.bronze import (
@@ -326,6 +327,46 @@ def run_two_months(spark: SparkSession, d: str) -> str:
     return root
 
 
+def caught_up(spark: SparkSession, d: str) -> DataFrame:
+    """A warehouse with one month loaded, brought up to the newest closed one."""
+    root = scratch_path(spark, "months")
+    conditions = {
+        "2026-01-01": "dias_produccion in ('', '1', '2', '3')",
+        "2026-02-01": "dias_produccion in ('4', '5', '6')",
+    }
+    at = {"2026-01-01": LOADED_AT, "2026-02-01": datetime(2026, 3, 1, 3)}
+    for today in (date(2026, 2, 1), date(2026, 3, 31)):
+        star = catch_up(
+            spark, root, today, lambda period: land_month(spark, d, conditions[period]),
+            loaded_at=at, now=datetime(2026, 3, 2),
+        )
+    return plain(star.fct_produccion)
+
+
+def estimated_profile(spark: SparkSession, d: str) -> DataFrame:
+    """Profile of a bronze table from sketches kept per load, beside the exact counts.
+
+    ``close`` tells whether the estimate is within the stated error of the exact count.
+    """
+    root = scratch_path(spark, "profile")
+    raw = produccion_raw(spark, d)
+    reports = raw.select(*source_columns(raw))
+    for period, days in (("2026-01", ("", "1", "2", "3")), ("2026-02", ("4", "5", "6"))):
+        loaded = with_load_metadata(
+            reports.filter(F.col("dias_produccion").isin(*days)), period, "file:p", "p", LOADED_AT
+        )
+        replace_partition(loaded, bronze_path(root, "produccion_raw"), period)
+        found = bronze_profile(spark, root, "produccion_raw")
+    exact = agg.column_profile(reports, "produccion_raw", exact=True).select(
+        "column_name", F.col("distinct_count").alias("exact")
+    )
+    off = F.abs(F.col("distinct_count") - F.col("exact"))
+    return found.join(exact, "column_name").select(
+        "table_name", "column_name", "rows", "null_count", "min_value", "max_value",
+        (off <= agg.DISTINCT_ERROR * F.col("exact")).alias("close"),
+    )
+
+
 def two_months(spark: SparkSession, d: str) -> DataFrame:
     root = run_two_months(spark, d)
     return plain(
@@ -442,6 +483,7 @@ QUERIES = {
         {"produccion_raw": produccion_raw(spark, d), "pozos_raw": pozos_raw(spark, d)}, "1997-06-01"
     ),
     "month_counts": lambda spark, d: plain(agg.month_counts(gold_of(spark, d).fct_produccion)),
+    "bronze_profile": estimated_profile,
     "column_profile": lambda spark, d: agg.column_profile(
         _typed(spark, d), "produccion", exact=True
     ),
@@ -479,6 +521,7 @@ QUERIES = {
     "wells_for_date": lambda spark, d: fc.wells_for_date(gold_of(spark, d).dim_pozo, "1995-01-05"),
     "run_period": one_month,
     "backfill": two_months,
+    "catch_up": caught_up,
     "verify_reload": reload_check,
     "incremental_ingest": ingested,
 }

@@ -3,10 +3,10 @@
 from __future__ import annotations
 
 from strata.catalog.medallion_sql import (
-    _PRODUCTION_CELLS,
     BRONZE,
     GOLD,
     NO_NEGATIVE,
+    PRODUCTION_CELLS,
     SILVER,
     TYPED_COLUMNS,
     _key,
@@ -39,7 +39,7 @@ _SUPPLIER = ("s_suppkey", "s_name", "s_nationkey", "s_acctbal")
 _LANDED_CELLS = ", ".join(
     "case when trim(prod_agua) = '' then '0' else prod_agua end as prod_agua"
     if c == "prod_agua" else c
-    for c in _PRODUCTION_CELLS
+    for c in PRODUCTION_CELLS
 )
 
 
@@ -48,7 +48,7 @@ def _loads(*loads: tuple[str, str]) -> str:
     ctes = [
         BRONZE,
         f"landed as (select {_LANDED_CELLS} from produccion_raw)",
-        f"hashed as (select *, {_row_hash(_PRODUCTION_CELLS)} as _row_hash from landed)",
+        f"hashed as (select *, {_row_hash(PRODUCTION_CELLS)} as _row_hash from landed)",
     ]
     previous = None
     for i, (condition, at) in enumerate(loads):
@@ -99,7 +99,7 @@ _SILVER_ORDER = (
 _INGESTED = (
     _loads((_EARLY, _FIRST_AT), (_LATE, _SECOND_AT)).replace(
         f"landed as (select {_LANDED_CELLS} from produccion_raw)",
-        f"landed as (select {', '.join(_PRODUCTION_CELLS)} from produccion_raw)",
+        f"landed as (select {', '.join(PRODUCTION_CELLS)} from produccion_raw)",
     )
 )
 
@@ -420,6 +420,11 @@ select count(distinct p_brand) as distinct_values, count(distinct p_brand) > 24
         "select cast(periodo as varchar) as periodo, count(*) as rows, "
         "strftime(max(_loaded_at), '%Y-%m-%d %H:%M:%S') as last_loaded_at from fct_produccion group by periodo"
     ),
+    "bronze_profile": with_silver(" union all ".join(
+        f"select 'produccion_raw' as table_name, '{c}' as column_name, count(*) as rows, "
+        f"count(*) - count({c}) as null_count, min({c}) as min_value, max({c}) as max_value, "
+        "true as close from produccion_raw" for c in PRODUCTION_CELLS
+    )),
     "column_profile": with_silver(" union all ".join(_profile(c) for c in TYPED_COLUMNS)),
     "union_distinct": "select c_nationkey as nation from customer union select s_nationkey from supplier",
     "union_all": """
@@ -483,6 +488,7 @@ where id_well in (select id_well from wells) and date_end >= date_start""",
     ),
     "run_period": f"with {_loads(('true', _FIRST_AT))}\n{_fact('state_0')}",
     "backfill": f"with {_loads((_EARLY, _FIRST_AT), (_LATE, _SECOND_AT))}\n{_fact('state_1')}",
+    "catch_up": f"with {_loads((_EARLY, _FIRST_AT), (_LATE, _SECOND_AT))}\n{_fact('state_1')}",
     "verify_reload": f"""with {_loads(('true', _FIRST_AT))}
 select 'rows_produccion_raw' as check_name, cast(count(*) as varchar) as value from hashed
 union all select 'rows_pozos_raw', cast(count(*) as varchar) from pozos_raw

@@ -45,7 +45,30 @@ def running_bucket_sum(
 def prev_sample(series: Sequence[str], ts: str = "ts", value: str = "value") -> Column:
     """Previous sample of the same series.
 
-    A series is sorted by one task; for long ones add a time pane to ``series``, as
-    ``counter_increase`` does.
+    A series is sorted by one task; for long ones use ``with_previous``.
     """
     return F.lag(value).over(W.partitionBy(*series).orderBy(ts))
+
+
+def with_previous(
+    samples: DataFrame, series: Sequence[str], seconds: int, ts: str = "ts", value: str = "value",
+    alias: str = "previous",
+) -> DataFrame:
+    """``samples`` with the previous value of the same series, sorted by series and time pane.
+
+    The first sample of a pane takes the last one of the pane before, of which there is one row
+    per pane; so a task sorts the samples of a pane, or a row per pane of a series.
+    """
+    at = F.unix_seconds(ts)
+    panes = samples.withColumn("_pane", at - F.pmod(at, F.lit(seconds)))
+    keys = [*series, "_pane"]
+    order = W.partitionBy(*keys).orderBy(ts)
+    inside = panes.withColumn("_place", F.row_number().over(order)).withColumn(
+        "_inside", F.lag(value).over(order)
+    )
+    ends = panes.groupBy(*keys).agg(F.max_by(value, ts).alias("_end"))
+    before = ends.withColumn("_before", F.lag("_end").over(W.partitionBy(*series).orderBy("_pane")))
+    previous = F.when(F.col("_place") == 1, F.col("_before")).otherwise(F.col("_inside"))
+    return inside.join(before.select(*keys, "_before"), keys).select(
+        *samples.columns, previous.alias(alias)
+    )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import date, datetime
 from functools import partial
@@ -269,6 +269,37 @@ def backfill(
     return star
 
 
+def closed_periods(
+    spark: SparkSession, root: str, today: date, first: str = FIRST_PERIOD
+) -> list[str]:
+    """Months that are over on ``today`` and have no load yet, oldest first."""
+    newest = latest_closed_period(today, first)
+    if newest is None:
+        return []
+    held = current(spark, root)
+    loaded = [
+        {load["period"] for load in loads(held, name).values()} for name in (PRODUCTION_RAW, WELLS_RAW)
+    ]
+    return [month for month in months(spark, first, newest) if not all(month in own for own in loaded)]
+
+
+def catch_up(
+    spark: SparkSession,
+    root: str,
+    today: date,
+    landed: Callable[[str], tuple[Landed, Landed]],
+    first: str = FIRST_PERIOD,
+    loaded_at: dict[str, datetime] | None = None,
+    now: datetime | None = None,
+) -> g.Gold | None:
+    """Run every closed month that has not been loaded, as a schedule does each month.
+
+    A month whose run failed after its load is tried again by ``run_period``.
+    """
+    periods = closed_periods(spark, root, today, first)
+    return backfill(spark, root, periods, {p: landed(p) for p in periods}, loaded_at, now)
+
+
 def verify_reload(spark: SparkSession, root: str, period: str) -> DataFrame:
     """What a reload left: rows per bronze table, duplicate grain, month rows, newest load."""
     held = current(spark, root)

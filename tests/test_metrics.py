@@ -7,6 +7,7 @@ import pytest
 from strata.operators import counters as c
 from strata.operators import metrics as m
 from strata.operators.filters import match_labels
+from strata.operators.windows import prev_sample, with_previous
 from strata.sources.request_log import REQUEST_LOG_SCHEMA, normalize_log, read_request_log
 
 T0 = datetime(2024, 1, 1)
@@ -150,3 +151,11 @@ def test_newest_gauge(spark):
 def test_normalizing_keeps_other_paths(spark):
     log = log_of(spark, (0, "/document", 200, 1), (1, "/docsx", 200, 1))
     assert [r.path for r in normalize_log(log).orderBy("ts").collect()] == ["/document", "/docs"]
+
+
+def test_previous_values_by_panes_equal_one_sort(spark):
+    rows = [(s, T0 + timedelta(seconds=int(t)), float(t)) for s in "ab" for t in (0, 5, 61, 400, 401, 3000)]
+    samples = spark.createDataFrame(rows, "series string, ts timestamp, value double")
+    got = with_previous(samples, ["series"], 60).collect()
+    expected = samples.withColumn("previous", prev_sample(["series"])).collect()
+    assert sorted(map(str, got)) == sorted(map(str, expected)) and len(got) == 12

@@ -1,12 +1,14 @@
 """Publishing by pointer: all or nothing, overtaken writers, pruned reads."""
 
-from datetime import datetime
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
+from strata.operators.aggregates import DISTINCT_ERROR, column_profile
 from strata.plans import gold as g
 from strata.plans import monthly, quality
+from strata.plans.profiles import bronze_profile
 from strata.plans.silver import STG_POZOS_SCHEMA, STG_PRODUCCION_SCHEMA
 from strata.sources import snapshots
 from strata.sources.bronze import loads_since, scan_bronze, table_columns
@@ -226,3 +228,32 @@ def test_a_reloaded_well_list_is_built_anew(spark, root):
     assert monthly.transform(spark, root, now=NOW).dim_pozo.count() == 4
     load_fixture(spark, root, at=datetime(2024, 4, 1))
     assert monthly.transform(spark, root, now=NOW).dim_pozo.count() == 3
+
+
+def test_profiles_are_kept_per_load(spark, root):
+    """Estimates within the stated error of exact counts; only new loads are read."""
+    def some(n, low=0):
+        return text_frame(spark, ["id", "blank", "few"], [(str(i), "", str(i % 7)) for i in range(low, low + n)])
+
+    exact = {"id": 30000, "blank": 1, "few": 7}
+    load(some(20000), root, "r", "2024-01", datetime(2024, 1, 1))
+    bronze_profile(spark, root, "r")
+    first = current(spark, root).parts("profiles/r")["_load_period=2024-01"]
+    load(some(15000, 15000), root, "r", "2024-02", datetime(2024, 2, 1))
+    for _ in range(2):
+        found = {r.column_name: r for r in bronze_profile(spark, root, "r").collect()}
+        assert {c: (r.rows, r.null_count) for c, r in found.items()} == dict.fromkeys(exact, (35000, 0))
+        assert all(abs(found[c].distinct_count - n) <= DISTINCT_ERROR * n for c, n in exact.items())
+    assert current(spark, root).parts("profiles/r")["_load_period=2024-01"] == first
+    load(some(10), root, "r", "2024-01", datetime(2024, 3, 1))
+    assert {r.rows for r in bronze_profile(spark, root, "r").collect()} == {15010}
+    whole = {r.column_name: r.distinct_count for r in column_profile(some(30000), "r").collect()}
+    assert all(abs(whole[c] - n) <= DISTINCT_ERROR * n for c, n in exact.items())
+
+
+def test_closed_months_without_a_load(spark, root):
+    assert monthly.closed_periods(spark, root, date(2026, 1, 31)) == []
+    assert monthly.closed_periods(spark, root, date(2026, 3, 1)) == ["2026-01-01", "2026-02-01"]
+    load_fixture(spark, root, "2026-01-01")
+    load(production(spark, {}), root, "produccion_raw", "2026-02-01", datetime(2026, 3, 1))
+    assert monthly.closed_periods(spark, root, date(2026, 4, 1)) == ["2026-02-01", "2026-03-01"]

@@ -1,5 +1,6 @@
 import time
 from datetime import datetime, timedelta
+from pathlib import Path
 
 from pyspark.sql import functions as F
 
@@ -9,7 +10,13 @@ from strata.sources.snapshots import Snapshot, current
 from strata.sources.request_log import REQUEST_LOG_SCHEMA, read_request_log
 from strata.streaming.alerts import alert_sink, dedup_alerts_stream, service_down_stream
 from strata.streaming.ingest import incremental_ingest, merge_new_loads
-from strata.streaming.requests import LateRows, as_alert_metrics, every_tick, request_metrics_stream
+from strata.streaming.requests import (
+    LateRows,
+    as_alert_metrics,
+    every_tick,
+    late_requests,
+    request_metrics_stream,
+)
 from tests.conftest import load, production
 
 T0 = datetime(2024, 1, 1)
@@ -78,6 +85,47 @@ def test_late_requests_are_dropped_and_counted(spark, root):
     assert [(r.window.start, r.requests) for r in stored] == [(T0, 2), (T0 + timedelta(seconds=600), 1)]
 
 
+def test_sliding_windows_are_summed_from_panes(spark, root):
+    log, out, checkpoint = f"{root}/log", f"{root}/out", f"{root}/checkpoint"
+    write_log(spark, log, [0, 10, 70, 130, 190, 250, 250, 9000], duration=2.0)
+    metrics = request_metrics_stream(
+        read_request_log(spark, log, streaming=True), "3 minutes", "1 minute", "0 seconds"
+    )
+    query = run(metrics.writeStream.format("parquet").option("path", out).option("checkpointLocation", checkpoint))
+    # Two stateful steps; no request is multiplied, so the second one sees panes only.
+    states = query.lastProgress.stateOperators
+    assert len(states) == 2
+    got = {(r.window.start - T0).total_seconds(): (r.requests, r.avg_latency) for r in spark.read.parquet(out).collect()}
+    at = [0, 10, 70, 130, 190, 250, 250]
+    expected = {}
+    for start in range(-120, 300, 60):
+        n = sum(start <= s < start + 180 for s in at)
+        if n:
+            expected[float(start)] = (n, 2.0)
+    assert {k: v for k, v in got.items() if k < 8000} == expected
+
+
+def test_late_requests_are_stored_and_a_repeated_batch_replaces_its_own(spark, root):
+    log, checkpoint = f"{root}/log", f"{root}/checkpoint"
+    out = f"{root}/out"
+
+    def start(to=checkpoint):
+        return run(late_requests(read_request_log(spark, log, streaming=True), "1 minute", "1 minute", out, to))
+
+    write_log(spark, log, [0, 10, 600])
+    start()
+    write_log(spark, log, [20, 479, 480, 1200])
+    start()
+    for _ in range(2):
+        late = spark.read.parquet(f"{out}/late").orderBy("ts").collect()
+        # The watermark is 540: windows that end by then are final.
+        assert [(r.ts - T0).seconds for r in late] == [20, 479, 480]
+        # The last batch again, as after a lost driver: its mark of success is gone.
+        for name in ("commits/1", "commits/.1.crc"):
+            (Path(checkpoint) / name).unlink(missing_ok=True)
+        start()
+
+
 def test_a_silent_service_is_reported_without_new_input(spark, root):
     rows = [("quiet", True), ("talking", True), ("talking", False)]
     spark.createDataFrame(rows, "service string, seed boolean").write.parquet(f"{root}/in")
