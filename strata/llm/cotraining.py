@@ -2,20 +2,23 @@
 
 The content view sees the text: hashed byte trigrams and how often words repeat. The metadata
 view sees what is known about the page: language, source, lengths and layout. Each view is a
-logistic regression. Both start on the labelled sample; in every round each labels the
-documents of a pool that it is most sure of, and these train the other view. Afterwards both
-views are calibrated on labelled documents kept apart, and their calibrated log-odds, less the
-prior that both contain, are added up. That scores all documents.
-
-Only the training is done on a sample, of ``labelled`` labelled and ``pool`` other documents
-at most, chosen by the hash of their id. Only these take part in the exchange, and the features
-of one row per id are all that the driver gets. Scoring reads every whole document, and a score
-depends on the document alone.
+logistic regression. Both start on labelled documents. In every round each view scores all other
+documents of the table and labels those it is most sure of, and these train the other view.
+Afterwards both views are calibrated on labelled documents kept apart, and their calibrated
+log-odds, less the prior that both contain, are added up. That scores all documents.
+
+Who is sure enough is decided over the whole table: a histogram of the log-odds of all open
+documents gives, for each view and kind, the value that a twentieth of them pass, and of those
+in its bucket as many as are wanted, by the hash of their id. Only the fits are done on bounded
+samples of labelled rows: ``labelled`` documents with given labels, and ``exchanged`` documents
+with exchanged labels a view, both chosen by the hash of the id. Their features, of one row per
+id, are all that the driver gets. A score depends on the document and the model alone; every
+whole document is read in each round and for the last score.
 
 Cases: a null language or source is a value of its own; a null id has no label; null text is
 empty. Documents without words are rejected with score 0. Labels that are null are ignored;
-of conflicting labels of an id the lowest counts, of rows that repeat an id training sees the
-one with the greatest text. Without labels of both kinds nothing can be
+of conflicting labels of an id the lowest counts, of rows that repeat an id training sees one,
+by the hash of the text. Without labels of both kinds nothing can be
 learned, and every document with words is accepted with score 0.5. Rows that repeat an id are
 scored each; columns named like the results are replaced. An empty table gives an empty result.
 """
@@ -24,26 +27,32 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.batches import bound_batches, parts
 from strata.llm.words import WordReader, white_table
+from strata.session import staged
 
-# Documents that training sees at most, unless the caller says otherwise.
-LABELLED, POOL = 6000, 6000
+# Documents with given labels, and with labels from the other view, that a view is fitted on at
+# most, unless the caller says otherwise.
+LABELLED, EXCHANGED = 6000, 6000
 # Buckets of byte trigrams, of languages and of sources.
 TRIGRAM_BITS, LANGUAGES, SOURCES = 10, 16, 32
 TRIGRAMS = 1 << TRIGRAM_BITS
 ROUNDS, SURE_SHARE, SURE = 3, 0.05, 0.95
+# Buckets of the histograms of log-odds per unit, and the log-odds beyond which all are alike.
+BUCKETS, MOST_ODDS = 64, 50
 # Share of the labelled sample that calibrates; strength of the penalty; turns of the fit.
 KEPT_APART, PENALTY, TURNS = 0.25, 1e-3, 120
 ACCEPTED = 0.5
+VIEWS = ("content", "layout")
 CONTENT_STATS, LAYOUT_STATS = 4, 13
 # Rows and columns of a matrix that are worked on at a time, which bounds what is copied.
 ROWS, COLUMNS = 1024, 64
@@ -201,63 +210,64 @@ def calibrated(view: View, x: np.ndarray, y: np.ndarray) -> View:
     return View(view.mean, view.scale, view.weights, view.bias, max(a, 0.0), b)
 
 
-def co_train(
-    labelled: tuple[np.ndarray, np.ndarray], y: np.ndarray, pool: tuple[np.ndarray, np.ndarray]
-) -> Model:
-    """Train both views; ``labelled`` and ``pool`` hold the content and the metadata view."""
-    apart = np.arange(len(y)) % round(1 / KEPT_APART) == 0
-    apart &= _both_kinds(y[~apart]) and _both_kinds(y[apart])
-    train = ~apart
-    held = apart if apart.any() else train
-    goals = [y[train], y[train]]
-    added = [np.zeros(0, np.int64), np.zeros(0, np.int64)]
-    open_ = np.ones(len(pool[0]), bool)
+def _stacked(matrix: np.ndarray, rows: np.ndarray, added: list[np.ndarray]) -> np.ndarray:
+    """Some rows of a matrix and others below them, as one new matrix."""
+    stacked = np.empty((len(rows) + sum(map(len, added)), matrix.shape[1]), np.float32)
+    # With the mode that raises, take() would fill a copy first.
+    np.take(matrix, rows, axis=0, out=stacked[: len(rows)], mode="clip")
+    start = len(rows)
+    for part in added:
+        stacked[start : start + len(part)] = part
+        start += len(part)
+    return stacked
 
-    def fit() -> list[View]:
-        # One matrix at a time: the rows of the labelled sample, then those of the pool.
-        return [
-            fit_view(_taken((own, np.flatnonzero(train)), (other, rows)), goal)
-            for own, other, rows, goal in zip(labelled, pool, added, goals, strict=True)
-        ]
 
-    views = fit()
-    for _ in range(ROUNDS):
-        if not open_.any():
-            break
-        for own, other in ((0, 1), (1, 0)):
-            rows = np.flatnonzero(open_)
-            p = _probability(views[own].logits(pool[own])[rows])
-            most = max(1, int(SURE_SHARE * len(rows)))
-            for kind, sureness in ((1, p), (0, 1 - p)):
-                sure = np.argsort(-sureness, kind="stable")[:most]
-                sure = rows[sure[sureness[sure] >= SURE]]
-                sure = sure[open_[sure]]
-                open_[sure] = False
-                added[other] = np.concatenate([added[other], sure])
-                goals[other] = np.concatenate([goals[other], np.full(len(sure), kind)])
-        views = fit()
-    views = [calibrated(v, view[held], y[held]) for v, view in zip(views, labelled, strict=True)]
-    share = (y[held].sum() + 1) / (held.sum() + 2)
-    return Model(views[0], views[1], float(np.log(share / (1 - share))))
+def _both_kinds(y: np.ndarray) -> bool:
+    return bool(len(y)) and 0 < y.sum() < len(y)
 
 
-def _taken(*parts: tuple[np.ndarray, np.ndarray]) -> np.ndarray:
-    """Some rows of each of several matrices, as one new matrix."""
-    taken = np.empty((sum(len(rows) for _, rows in parts), parts[0][0].shape[1]), np.float32)
-    start = 0
-    for matrix, rows in parts:
-        # With the mode that raises, take() would fill a copy first.
-        if len(rows):
-            np.take(matrix, rows, axis=0, out=taken[start : start + len(rows)], mode="clip")
-        start += len(rows)
-    return taken
+def bucket(odds: Column) -> Column:
+    """Number of the histogram bucket of log-odds."""
+    return F.floor(F.greatest(F.least(odds, F.lit(MOST_ODDS)), F.lit(-MOST_ODDS)) * BUCKETS).cast("int")
 
 
-def _both_kinds(y: np.ndarray) -> bool:
-    return bool(len(y)) and 0 < y.sum() < len(y)
+def cut_off(counts: dict[int, int], most: int) -> tuple[int, float]:
+    """The bucket that the ``most`` greatest values reach down to, and the share taken of it."""
+    for place in sorted(counts, reverse=True):
+        if most < counts[place]:
+            return place, most / counts[place]
+        most -= counts[place]
+        if not most:
+            return place, 1.0
+    return min(counts, default=0), 1.0
 
 
-_FEATURES = "label int, content array<float>, layout array<float>"
+def _spread(salt: int) -> Column:
+    """A number from 0 to 1 that follows from the id."""
+    return F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1 << 30)) / F.lit(1 << 30)
+
+
+def sure_ones(scores: DataFrame) -> DataFrame:
+    """id, view (that is sure) and kind of the open documents that are exchanged in a round.
+
+    ``scores``: id and the log-odds of each view, content and layout; read several times. The
+    content view chooses first, and within a view quality before the lack of it.
+    """
+    least = float(np.log(SURE / (1 - SURE)))
+    open_, found = scores, []
+    for view in VIEWS:
+        most = max(1, int(SURE_SHARE * open_.count()))
+        for kind, odds in ((1, F.col(view)), (0, -F.col(view))):
+            place, sure = bucket(odds), odds >= least
+            # At most one row per bucket, of which there are BUCKETS * MOST_ODDS.
+            sizes = open_.filter(sure).groupBy(place.alias("bucket")).count().collect()
+            last, share = cut_off({r["bucket"]: r["count"] for r in sizes}, most)
+            chosen = sure & ((place > last) | ((place == last) & (_spread(11) < share)))
+            found.append(open_.filter(chosen).select(
+                "id", F.lit(view).alias("view"), F.lit(kind).alias("kind")
+            ))
+            open_ = open_.filter(~chosen)
+    return reduce(DataFrame.union, found)
 
 
 def _sample(docs: DataFrame, most: int, ids: int) -> DataFrame:
@@ -266,41 +276,25 @@ def _sample(docs: DataFrame, most: int, ids: int) -> DataFrame:
     The share stays clear of the limit that callers set, so the choice does not depend on it.
     """
     share = 1.0 if ids <= most else 0.95 * most / ids
-    place = F.pmod(F.xxhash64("id", F.lit(7)), F.lit(1 << 30)) < int(share * (1 << 30))
-    return docs.filter(F.col("id").isNotNull() & place)
+    return docs.filter(F.col("id").isNotNull() & (_spread(7) < share))
 
 
 def _one_per_id(docs: DataFrame) -> DataFrame:
-    """The row with the greatest text of each id; tasks send one row per id at most."""
+    """One row of each id, by the hash of its text; tasks send one row per id at most."""
     rest = [c for c in docs.columns if c not in ("id", "text")]
-    row = F.max(F.struct("text", *rest)).alias("row")
-    return docs.groupBy("id").agg(row).select("id", "row.*")
+    row = F.max(F.struct(F.xxhash64("text").alias("_h"), "text", *rest)).alias("row")
+    return docs.groupBy("id").agg(row).select("id", "row.*").drop("_h")
 
 
-def learn(
-    docs: DataFrame, labels: DataFrame, most_labelled: int = LABELLED, most_pool: int = POOL
-) -> Model | None:
-    """Fit the model; None without labels of both kinds.
+def _features(docs: DataFrame, chosen: DataFrame) -> tuple[np.ndarray, np.ndarray, pa.Table]:
+    """Content and metadata view of the chosen documents that have words, and what chose them.
 
-    ``docs``: id, text, lang, source; ``labels``: id, quality.
+    ``chosen``: id and other columns, of a bounded number of ids.
     """
-    known = labels.filter(F.col("id").isNotNull() & F.col("quality").isNotNull()).groupBy("id").agg(
-        F.min("quality").cast("int").alias("label")
-    )
-    counts = known.agg(F.count(F.lit(1)), F.count_if(F.col("label") > 0)).first()
-    if not 0 < counts[1] < counts[0]:
-        return None
-    chosen = _sample(known, most_labelled, counts[0]).limit(most_labelled)
-    # At most most_labelled rows of two numbers each.
-    labelled = _one_per_id(docs.join(F.broadcast(chosen), "id"))
-    ids = docs.select("id").distinct().count()
-    pool = _one_per_id(_sample(docs, most_pool, ids)).limit(most_pool)
-    # The pool is free of the chosen labelled ones.
-    pool = pool.join(F.broadcast(chosen.select("id")), "id", "left_anti").withColumn(
-        "label", F.lit(-1)
-    )
-    columns = ["id", "text", "lang", "source", "label"]
-    both = labelled.select(*columns).union(pool.select(*columns))
+    rows = _one_per_id(docs.join(F.broadcast(chosen), "id"))
+    others = [c for c in chosen.columns if c != "id"]
+    id_type = docs.schema["id"].dataType.simpleString()
+    fields = [f"{c} {chosen.schema[c].dataType.simpleString()}" for c in others]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         features = Features()
@@ -312,51 +306,117 @@ def learn(
                     np.arange(0, v[rows].size + 1, v.shape[1], dtype=np.int32), v[rows].ravel())
                 for v in (content, layout)
             ]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("id").take(pa.array(rows)),
-                 pa.array(batch.column("label").to_numpy()[rows], pa.int32()), *views],
-                names=["id", "label", "content", "layout"],
-            )
-
-    id_type = docs.schema["id"].dataType.simpleString()
-    table = both.mapInArrow(run, f"id {id_type}, {_FEATURES}").toArrow()
-    order = pc.sort_indices(
-        table.select(["id", "label"]), [("id", "ascending"), ("label", "ascending")]
-    ).to_numpy()
-    y = table.column("label").to_numpy()[order]
-    seen = y >= 0
-    goal = (y[seen] > 0).astype(np.float64)
-    if not _both_kinds(goal):
-        return None
-    views = []
-    for name in ("content", "layout"):
-        views.append(_placed(table.column(name), order, seen))
-        # The Arrow form of a view is not held while models are fitted.
-        table = table.drop_columns(name)
+            kept = batch.select(["id", *others]).take(pa.array(rows))
+            yield pa.RecordBatch.from_arrays([*kept.columns, *views], names=["id", *others, *VIEWS])
+
+    schema = ", ".join([f"id {id_type}", *fields, *[f"{v} array<float>" for v in VIEWS]])
+    table = rows.mapInArrow(run, schema).toArrow()
+    order = pc.sort_indices(table.select(["id"]), [("id", "ascending")]).to_numpy()
+    widths = (TRIGRAMS + CONTENT_STATS, LANGUAGES + SOURCES + LAYOUT_STATS)
+    content, layout = (
+        _placed(table.column(name), order, width) for name, width in zip(VIEWS, widths, strict=True)
+    )
+    known = table.drop_columns(list(VIEWS)).take(pa.array(order))
     pa.default_memory_pool().release_unused()
-    return co_train(tuple(v[0] for v in views), goal, tuple(v[1] for v in views))
+    return content, layout, known
 
 
-def _placed(
-    column: pa.ChunkedArray, order: np.ndarray, seen: np.ndarray
-) -> tuple[np.ndarray, np.ndarray]:
-    """The rows of a view in the given order, those that are ``seen`` there and the others."""
+def _placed(column: pa.ChunkedArray, order: np.ndarray, width: int) -> np.ndarray:
+    """The rows of a view in the given order; one chunk at a time is copied."""
     at = np.empty(len(order), np.int64)
-    at[order] = np.where(seen, np.cumsum(seen), np.cumsum(~seen)) - 1
-    own = np.empty(len(order), bool)
-    own[order] = seen
-    width = len(column[0])
-    placed = np.empty((seen.sum(), width), np.float32), np.empty((sum(~seen), width), np.float32)
-    start = 0
+    at[order] = np.arange(len(order))
+    placed, start = np.empty((len(order), width), np.float32), 0
     for chunk in column.chunks:
-        values = chunk.flatten().to_numpy().reshape(len(chunk), width)
-        rows = slice(start, start + len(chunk))
-        for matrix, kind in zip(placed, (own[rows], ~own[rows]), strict=True):
-            matrix[at[rows][kind]] = values[kind]
+        placed[at[start : start + len(chunk)]] = chunk.flatten().to_numpy().reshape(len(chunk), width)
         start += len(chunk)
     return placed
 
 
+def _scored(docs: DataFrame, views: list[View]) -> DataFrame:
+    """id and the log-odds of both views, of one row per id that has words."""
+    id_type = docs.schema["id"].dataType.simpleString()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        features = Features()
+        for batch in parts(batches, "text"):
+            content, layout, counts = features.read(batch)
+            odds = [v.logits(x).astype(np.float64) for v, x in zip(views, (content, layout), strict=True)]
+            rows = pa.RecordBatch.from_arrays(
+                [batch.column("id"), batch.column("h"), *map(pa.array, odds)], names=["id", "h", *VIEWS]
+            )
+            yield rows.filter(pa.array(counts > 0))
+
+    rows = docs.filter("id is not null").withColumn("h", F.xxhash64("text"))
+    each = rows.mapInArrow(run, f"id {id_type}, h long, content double, layout double")
+    return each.groupBy("id").agg(F.max(F.struct("h", *VIEWS)).alias("row")).select(
+        "id", *[F.col(f"row.{v}").alias(v) for v in VIEWS]
+    )
+
+
+def learn(
+    docs: DataFrame, labels: DataFrame, most_labelled: int = LABELLED,
+    most_exchanged: int = EXCHANGED,
+) -> Model | None:
+    """Fit the model; None without labels of both kinds.
+
+    ``docs``: id, text, lang, source; ``labels``: id, quality.
+    """
+    spark = docs.sparkSession
+    known = labels.filter(F.col("id").isNotNull() & F.col("quality").isNotNull()).groupBy("id").agg(
+        F.min("quality").cast("int").alias("label")
+    )
+    counts = known.agg(F.count(F.lit(1)), F.count_if(F.col("label") > 0)).first()
+    if not 0 < counts[1] < counts[0]:
+        return None
+    # At most most_labelled rows of two numbers each.
+    chosen = staged(spark, _sample(known, most_labelled, counts[0]).limit(most_labelled), "labelled")
+    *labelled, given = _features(docs, chosen)
+    y = (given.column("label").to_numpy() > 0).astype(np.float64)
+    if not _both_kinds(y):
+        return None
+    apart = np.arange(len(y)) % round(1 / KEPT_APART) == 0
+    apart &= _both_kinds(y[~apart]) and _both_kinds(y[apart])
+    train = np.flatnonzero(~apart)
+    held = np.flatnonzero(apart) if apart.any() else train
+    # What each view has got from the other one.
+    got = [[np.zeros((0, own.shape[1]), np.float32)] for own in labelled]
+    goals = [[y[train]], [y[train]]]
+
+    def fit() -> list[View]:
+        return [
+            fit_view(_stacked(own, train, added), np.concatenate(goal))
+            for own, added, goal in zip(labelled, got, goals, strict=True)
+        ]
+
+    views, taken = fit(), None
+    for _ in range(ROUNDS):
+        scores = _scored(docs, views).join(F.broadcast(chosen.select("id")), "id", "left_anti")
+        if taken is not None:
+            scores = scores.join(taken.select("id"), "id", "left_anti")
+        sure = staged(spark, sure_ones(staged(spark, scores, "log-odds")), "exchanged")
+        taken = sure if taken is None else taken.union(sure)
+        # Of each view and kind an equal share of what a view is fitted on, and of each round.
+        sizes = {(r["view"], r["kind"]): r["count"] for r in sure.groupBy("view", "kind").count().collect()}
+        if not sizes:
+            break
+        most = max(1, most_exchanged // (2 * ROUNDS))
+        some = [
+            _sample(sure.filter((F.col("view") == view) & (F.col("kind") == kind)), most, n).limit(most)
+            for (view, kind), n in sorted(sizes.items())
+        ]
+        # At most 2 * most_exchanged / ROUNDS rows.
+        *features, which = _features(docs, staged(spark, reduce(DataFrame.union, some), "fitted"))
+        by, kinds = (which.column(c).to_numpy(zero_copy_only=False) for c in ("view", "kind"))
+        for other, view in ((1, VIEWS[0]), (0, VIEWS[1])):
+            rows = np.flatnonzero(by == view)
+            got[other].append(features[other][rows])
+            goals[other].append(kinds[rows].astype(np.float64))
+        views = fit()
+    views = [calibrated(v, view[held], y[held]) for v, view in zip(views, labelled, strict=True)]
+    share = (y[held].sum() + 1) / (len(held) + 2)
+    return Model(views[0], views[1], float(np.log(share / (1 - share))))
+
+
 def score_documents(
     docs: DataFrame,
     labels: DataFrame,
@@ -367,12 +427,12 @@ def score_documents(
     quality_column: str = "quality",
     accepted: float = ACCEPTED,
     labelled: int = LABELLED,
-    pool: int = POOL,
+    exchanged: int = EXCHANGED,
 ) -> DataFrame:
     """The columns of ``docs``, then content_score, metadata_score, score and accepted.
 
-    ``labelled`` and ``pool`` bound the documents that training sees; the driver holds their
-    features.
+    ``labelled`` and ``exchanged`` bound the labelled rows that a view is fitted on; the driver
+    holds their features.
     """
     bound_batches(docs.sparkSession)
     inputs = {"id": id_column, "text": text_column, "lang": lang_column, "source": source_column}
@@ -384,7 +444,7 @@ def score_documents(
         rows.select(*[F.col(c).alias(name) for name, c in at.items()]),
         labels.select(F.col(id_column).alias("id"), F.col(quality_column).alias("quality")),
         labelled,
-        pool,
+        exchanged,
     )
     columns = rows.columns
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
