@@ -8,7 +8,8 @@ document id that holds a confirmed key keeps its lines with it, all others lose
 Cases: null and empty text is one empty line; keys of fewer than ``least`` code points stay.
 Documents are told apart by id: rows that repeat an id are one document, each of them is
 treated alike. A null id is larger than all others. Other columns are carried along; a text
-that was null comes back empty. An empty table gives an empty result.
+that was null comes back empty. An empty table gives an empty result. A task holds the lines of a
+few megabytes of text and at least of one text, however long.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strata.llm.batches import bound_batches
+from strata.llm.batches import bound_batches, parts
 from strata.llm.suspects import bloom_filter, filter_bits, suspected, total
 from strata.session import staged
 
@@ -70,7 +71,7 @@ def dedup_lines(
     bits = filter_bits(total(rows, F.coalesce(line_count, F.lit(1))))
 
     def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
-        for batch in batches:
+        for batch in parts(batches, text):
             for one in _texts(batch, text):
                 keys = {k for k in line_keys(one, least) if k}
                 if keys:
@@ -90,7 +91,7 @@ def dedup_lines(
         return found
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, text):
             found = suspects(batch)
             owner = np.repeat(np.arange(len(found)), [len(own) for own in found])
             yield pa.RecordBatch.from_arrays(
@@ -117,7 +118,7 @@ def dedup_lines(
 
     def part(suspect: bool):
         def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
+            for batch in parts(batches, text):
                 yield batch.filter(pa.array([bool(f) == suspect for f in suspects(batch)], pa.bool_()))
 
         return rows.mapInArrow(choose, rows.schema)
@@ -126,7 +127,7 @@ def dedup_lines(
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in rows.schema.fields)
 
     def drop(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches, text):
             texts, lines, dropped = [], [], []
             for one, gone in zip(_texts(batch, text), batch.column("lost").to_pylist(), strict=True):
                 kept, n = drop_lines(one, set(gone or ()), least)
