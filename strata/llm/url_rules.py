@@ -8,7 +8,7 @@ them, and only those run their regular expression.
 Cases: a null URL, or one without ``://``, has empty host and path and no tokens, so only
 rules without any token can fit it. Repeated rows are judged each. Rules of equal length that
 fit the same URL are settled by the smaller name. Columns other than the two named ones are
-ignored. An empty table or no rules at all give an empty result or default verdicts.
+ignored. URLs of any length are read whole. An empty table or no rules at all give an empty result or default verdicts.
 """
 
 from __future__ import annotations
@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.text import ascii_lower
+from strata.session import staged
 
 TOKEN = "[a-z0-9]+"
 # The rules come from the driver as a list, so their size is known before the join; up to
@@ -81,7 +82,8 @@ def judge_urls(
     host, path = host_and_path(F.col(url_column))
     judged = pages.select(F.col(id_column).alias(id_column), F.col(url_column).alias("_url"),
                           host.alias("host"), path.alias("path"))
-    best = _best_rules(judged, rules)
+    # Staged, so that the rows of a URL that very many pages have can be split in the join.
+    best = staged(pages.sparkSession, _best_rules(judged, rules), "url-rules")
     # Null URLs have no verdict to fetch; spread them so that they are no hot key.
     key = F.coalesce(
         F.col("_url"), F.concat(F.lit("\x00"), F.pmod(F.xxhash64(id_column), F.lit(NULL_SPREAD)))
