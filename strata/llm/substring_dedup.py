@@ -10,9 +10,11 @@ grouped by the words at their anchor. Two Bloom filters over the anchors leave t
 that may repeat at all. Among some megabytes of text the first of equal windows is chosen at once, so a
 passage that very many documents share leaves a task a few times. The rest is shuffled by prefix; a
 prefix with too many suffixes for one group is lengthened, step by step, up to the whole
-window. Each group's suffixes are sorted, neighbours' common prefixes give the nodes of its
-suffix tree, and a node at the depth of a window holds the places of one repeated window.
-Covering windows that follow one another make up the maximal repeats.
+window. Each group's suffixes are sorted over all of their words, neighbours' common prefixes
+give the nodes of its suffix tree, and an internal node at the depth of a window or below is a
+repeat as long as it is deep; a suffix that is not the first of a node repeats that much. Such
+spans, united where they overlap, make up the maximal repeats. Hashes choose what is compared;
+what is removed was compared by its words.
 
 Cases: null text has no words. Documents are told apart by id; a null id is larger than all
 others, and of rows that repeat an id and hold the same window at the same place, which comes
@@ -124,16 +126,6 @@ class _Suspects:
             )
 
 
-def start_runs(starts: np.ndarray) -> list[int]:
-    """Sorted distinct numbers as [from, to) pairs, one after the other."""
-    if not len(starts):
-        return []
-    breaks = np.flatnonzero(np.diff(starts) != 1)
-    low = starts[np.concatenate([[0], breaks + 1])]
-    high = starts[np.concatenate([breaks, [len(starts) - 1]])] + 1
-    return np.stack([low, high], axis=1).ravel().tolist()
-
-
 def covered(runs: list[int], n_words: int, window: int) -> list[tuple[int, int]]:
     """Maximal [from, to) spans of words that the windows starting in ``runs`` cover."""
     spans: list[tuple[int, int]] = []
@@ -147,7 +139,11 @@ def covered(runs: list[int], n_words: int, window: int) -> list[tuple[int, int]]
 
 
 def first_of_equals(found: Found, ids: np.ndarray) -> np.ndarray:
-    """Whether no equal window among those found starts earlier."""
+    """Whether no equal window among those found starts earlier.
+
+    Windows of equal hash are compared word by word; of others with the hash of an earlier one,
+    nothing is said here, they count as first.
+    """
     own = ids[found.row]
     order = np.lexsort((found.start, own, found.window))
     h, i, s = found.window[order], own[order], found.start[order]
@@ -157,6 +153,11 @@ def first_of_equals(found: Found, ids: np.ndarray) -> np.ndarray:
     # The same place in a repeated row is not earlier.
     first = np.empty(len(h), bool)
     first[order] = (i == i[lead]) & (s == s[lead])
+    later = np.flatnonzero(~first[order])
+    data = found.data
+    for a, b in zip(order[later].tolist(), order[lead[later]].tolist(), strict=True):
+        one, two = (data[found.low[k] : found.high[k]].tobytes() for k in (a, b))
+        first[a] = one != two and one.split() != two.split()
     return first
 
 
@@ -164,16 +165,24 @@ def _ids(batch: pa.RecordBatch) -> np.ndarray:
     return batch.column("owner").fill_null(NO_ID).to_numpy(zero_copy_only=False)
 
 
-def _mark_rows(owner: np.ndarray, digest: np.ndarray, starts: np.ndarray) -> pa.RecordBatch:
-    """Starts of repeated windows as one row of runs per document."""
-    order = np.lexsort((starts, digest, owner))
-    owner, digest, starts = owner[order], digest[order], starts[order]
+def merged_runs(owner: np.ndarray, digest: np.ndarray, low: np.ndarray, high: np.ndarray) -> pa.RecordBatch:
+    """Runs [low, high) of starts of repeated windows, united, as one row per document."""
+    order = np.lexsort((low, digest, owner))
+    owner, digest, low, high = owner[order], digest[order], low[order], high[order]
     new = np.ones(len(owner), bool)
     new[1:] = (owner[1:] != owner[:-1]) | (digest[1:] != digest[:-1])
-    runs = [start_runs(np.unique(part)) for part in np.split(starts, np.flatnonzero(new)[1:])]
+    # Ends of earlier documents are moved below every start, so they do not reach over.
+    shift = (np.cumsum(new) - 1) << 32
+    reach = np.maximum.accumulate(high + shift) if len(high) else high
+    begin = new.copy()
+    begin[1:] |= (low + shift)[1:] > reach[:-1]
+    at = np.flatnonzero(begin)
+    ends = (reach - shift)[np.append(at[1:], len(low)) - 1] if len(at) else at
+    pairs = np.stack([low[at], ends], axis=1).ravel()
+    cuts = 2 * np.append(np.cumsum(begin)[new] - 1, len(at))
     return pa.RecordBatch.from_arrays(
         [pa.array(owner[new], pa.int64()), pa.array(digest[new], pa.int64()),
-         pa.array(runs if len(owner) else [], pa.list_(pa.int32()))],
+         pa.ListArray.from_arrays(cuts.astype(np.int32), pa.array(pairs, pa.int32()))],
         names=["owner", "digest", "runs"],
     )
 
@@ -190,7 +199,7 @@ def suffix_rows(batch: pa.RecordBatch, suspects: _Suspects) -> tuple[pa.RecordBa
     for row in np.unique(found.row).tolist():
         digests[row] = _digest(raw[row].as_py())
     again = found.take(~first)
-    marks = _mark_rows(ids[again.row], digests[again.row], again.start)
+    marks = merged_runs(ids[again.row], digests[again.row], again.start, again.start + 1)
     found = found.take(first)
     # Neighbouring windows with one anchor go together.
     new = np.ones(len(found.row), bool)
@@ -211,79 +220,126 @@ def suffix_rows(batch: pa.RecordBatch, suspects: _Suspects) -> tuple[pa.RecordBa
     ), marks
 
 
-def suffix_order(hashes: np.ndarray, depth: int) -> dict[int, np.ndarray]:
-    """Ranks of the first 1, 2, 4 ... and ``depth`` words from each place, by doubling.
+def word_ranks(words: list[Words]) -> np.ndarray:
+    """A number per word, equal for equal words and only for these.
 
-    Equal ranks are equal words; a place too near to the end is compared as far as it goes,
-    which its own suffix never does.
+    Words are told apart by their hashes; that equal hashes are equal words is checked, eight
+    bytes of all words at a time, and if one is not, words are numbered by their bytes.
+    """
+    data = words[0].data
+    hashes, starts, ends = (
+        np.concatenate([getattr(w, name) for w in words]) for name in ("hashes", "starts", "ends")
+    )
+    _, first, ranks = np.unique(hashes, return_index=True, return_inverse=True)
+    if not len(ranks):
+        return ranks
+    lead, lengths = starts[first][ranks], ends - starts
+    equal = bool((lengths == lengths[first][ranks]).all())
+    padded = np.lib.stride_tricks.sliding_window_view(np.append(data, np.zeros(8, np.uint8)), 8)
+    masks = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
+    todo, at = np.arange(len(ranks)), 0
+    while equal and len(todo):
+        mask = masks[np.minimum(lengths[todo] - at, 8)]
+        one, two = (
+            np.ascontiguousarray(padded[s[todo] + at]).view("<u8").ravel() & mask for s in (starts, lead)
+        )
+        equal = bool((one == two).all())
+        at += 8
+        todo = todo[lengths[todo] > at]
+    if equal:
+        return ranks
+    numbers: dict[bytes, int] = {}
+    return np.array([numbers.setdefault(data[a:b].tobytes(), len(numbers))
+                     for a, b in zip(starts.tolist(), ends.tolist(), strict=True)])
+
+
+def suffix_ranks(text: np.ndarray, depth: int) -> list[np.ndarray]:
+    """Ranks of the first 1, 2, 4 ... symbols from each place, up to ``depth`` or more.
+
+    Equal ranks are equal symbols; the text must end in one that occurs once.
     """
-    _, ranks = np.unique(hashes, return_inverse=True)
-    tables, have = {1: ranks.astype(np.int64)}, 1
+    tables, have = [text.astype(np.int64)], 1
+    while have < depth:
+        ranks = tables[-1]
+        moved = np.zeros(len(ranks), np.int64)
+        moved[: max(len(ranks) - have, 0)] = ranks[have:] + 1
+        _, longer = np.unique(ranks * (int(ranks.max()) + 2) + moved, return_inverse=True)
+        tables.append(longer.astype(np.int64))
+        have *= 2
+    return tables
 
-    def longer(a: np.ndarray, b: np.ndarray, shift: int) -> np.ndarray:
-        moved = np.full(len(a), -1, np.int64)
-        moved[: max(len(b) - shift, 0)] = b[shift:]
-        _, combined = np.unique(a * (len(a) + 2) + moved + 1, return_inverse=True)
-        return combined.astype(np.int64)
 
-    while 2 * have <= depth:
-        tables[2 * have] = longer(tables[have], tables[have], have)
-        have *= 2
-    total_, rest = tables[have], depth - have
-    done = have
-    while rest:
-        step = 1 << (rest.bit_length() - 1)
-        total_ = longer(total_, tables[step], done)
-        done, rest = done + step, rest - step
-    return tables | {depth: total_}
-
-
-def common_prefix(tables: dict[int, np.ndarray], a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
-    """Number of words that the suffixes from ``a`` and ``b`` have in common, up to depth."""
-    length = np.zeros(len(a), np.int64)
-    for step in sorted((s for s in tables if s != depth or s & (s - 1) == 0), reverse=True):
-        for _ in range(depth // step):
-            fits = length + step <= depth
-            i, j = a + np.where(fits, length, 0), b + np.where(fits, length, 0)
-            length += np.where(fits & (tables[step][i] == tables[step][j]), step, 0)
+def common_prefix(tables: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Number of symbols that the different suffixes from ``a`` and ``b`` have in common."""
+    length, size = np.zeros(len(a), np.int64), len(tables[0])
+    for power in reversed(range(len(tables))):
+        i, j = np.minimum(a + length, size - 1), np.minimum(b + length, size - 1)
+        length += np.where(tables[power][i] == tables[power][j], 1 << power, 0)
     return length
 
 
-def deep_nodes(lcp: np.ndarray, depth: int) -> np.ndarray:
-    """Number of the suffix tree's node at ``depth`` for each sorted suffix.
+def node_lengths(lcp: np.ndarray, order: np.ndarray, least: int) -> np.ndarray:
+    """For each leaf the depth of the deepest node in which another leaf comes before it.
 
-    ``lcp`` has the common prefix of each suffix with the one before (0 for the first). The
-    suffixes between two values below the depth share their first ``depth`` words.
+    ``lcp``: common prefix of each sorted suffix with the one before, 0 for the first;
+    ``order``: numbers that say which leaf comes first. A node of the suffix tree is a run of
+    suffixes whose common prefixes reach its depth. Only nodes of depth ``least`` or more
+    count; leaves in none of them, or first in all of theirs, get 0.
     """
-    return np.cumsum(lcp < depth) - 1
+    lengths = np.zeros(len(lcp), np.int64)
+    for depth in np.unique(lcp[lcp >= least])[::-1].tolist():
+        inner = lcp >= depth
+        inner[:-1] |= inner[1:]  # a node's first leaf is in it, too
+        leaves = np.flatnonzero(inner & (lengths == 0))
+        node = np.cumsum(lcp < depth)
+        # The first leaf of a node may have its length from a deeper one: it counts, too.
+        members = np.flatnonzero(inner)
+        starts = np.flatnonzero(np.append(True, np.diff(node[members]) != 0))
+        firsts = np.minimum.reduceat(order[members], starts)
+        first_of = firsts[np.searchsorted(node[members][starts], node[leaves])]
+        lengths[leaves[order[leaves] > first_of]] = depth
+    return lengths
 
 
 def tree_marks(rows: pa.Table, reader: WordReader, window: int) -> pa.RecordBatch:
-    """Repeated windows among the suffixes of some groups, as marks."""
+    """Repeated windows among the suffixes of some groups, as marks.
+
+    The suffixes are sorted over all of their words; each ends in a symbol of its own. Nodes of
+    their tree at the depth of a window or below are repeats, as long as the node is deep.
+    """
     owner = rows.column("owner").to_numpy()
     digest, first = rows.column("digest").to_numpy(), rows.column("first").to_numpy()
     n = rows.column("n").to_numpy()
-    hashes, base, before = [], [], 0
-    for words in reader.read(rows.column("words").combine_chunks().cast(pa.string())):
-        hashes.append(words.hashes)
-        base.append(words.offsets[:-1] + before)
-        before += len(words.hashes)
-    tables = suffix_order(np.concatenate(hashes), window)
+    read = list(reader.read(rows.column("words").combine_chunks().cast(pa.string())))
+    ranks = word_ranks(read)
+    sizes = np.concatenate([np.diff(w.offsets) for w in read])
+    # The words of each row, and after them a symbol that no other row has.
+    ends = np.cumsum(sizes + 1) - 1
+    text = np.empty(len(ranks) + len(sizes), np.int64)
+    is_word = np.ones(len(text), bool)
+    is_word[ends] = False
+    text[is_word], text[ends] = ranks + len(sizes), np.arange(len(sizes))
+    tables = suffix_ranks(text, int(sizes.max()) + 1)
     row = np.repeat(np.arange(len(n)), n)
     step = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-    place = np.concatenate(base)[row] + step
+    place = (ends - sizes)[row] + step
     owners, digests, starts = owner[row], digest[row], first[row] + step
-    order = np.lexsort((starts, owners, tables[window][place]))
+    # Places in the order of documents; the same place in a repeated row is not later.
+    by_place = np.lexsort((starts, owners))
+    changed = np.ones(len(place), bool)
+    changed[1:] = (np.diff(owners[by_place]) != 0) | (np.diff(starts[by_place]) != 0)
+    came = np.empty(len(place), np.int64)
+    came[by_place] = np.cumsum(changed)
+    order = np.argsort(tables[-1][place], kind="stable")
     place = place[order]
     lcp = np.zeros(len(place), np.int64)
-    lcp[1:] = common_prefix(tables, place[:-1], place[1:], window)
-    node = deep_nodes(lcp, window)
-    head = np.ones(len(node), bool)
-    head[1:] = node[1:] != node[:-1]
-    lead = np.flatnonzero(head)[node]
-    o, d, s = owners[order], digests[order], starts[order]
-    later = (o != o[lead]) | (s != s[lead])
-    return _mark_rows(o[later], d[later], s[later].astype(np.int64))
+    lcp[1:] = common_prefix(tables, place[:-1], place[1:])
+    lengths = node_lengths(lcp, came[order], window)
+    later = lengths > 0
+    low = starts[order][later].astype(np.int64)
+    return merged_runs(
+        owners[order][later], digests[order][later], low, low + lengths[later] - window + 1
+    )
 
 
 def _grouped(rows: DataFrame, window: int) -> DataFrame:
@@ -337,8 +393,8 @@ def _lengthened(rows: DataFrame, words_: int, window: int) -> DataFrame:
                     [pa.array(key.view(np.int64)), taken.column("owner"), taken.column("digest"),
                      pa.array(taken.column("first").to_numpy() + step, pa.int32()),
                      pa.array(anchor, pa.int32()), pa.array(np.ones(len(row)), pa.int32()),
-                     pa.array([words.data[a:b].tobytes() for a, b in zip(low, high, strict=True)],
-                              pa.binary())],
+                     pa.array([b" ".join(words.data[a:b].tobytes().split())
+                               for a, b in zip(low, high, strict=True)], pa.binary())],
                     names=batch.schema.names,
                 )
 
@@ -362,12 +418,12 @@ def repeated_windows(rows: DataFrame, window: int, prefix: int, group: int) -> l
 
 
 def _whole_windows(rows: DataFrame) -> DataFrame:
-    """Marks where the key stands for a whole window: all but the first place of a key."""
-    place = F.struct("owner", "first")
+    """Marks of rows of one window each: all but the first place of the same words."""
+    place, window = F.struct("owner", "first"), ["key", "words"]
     firsts = staged(
-        rows.sparkSession, rows.groupBy("key").agg(F.min(place).alias("lead")), "first-windows"
+        rows.sparkSession, rows.groupBy(*window).agg(F.min(place).alias("lead")), "first-windows"
     )
-    later = rows.join(firsts, "key").filter(place > F.col("lead"))
+    later = rows.join(firsts, window).filter(place > F.col("lead"))
     return later.select("owner", "digest", F.array("first", F.col("first") + 1).alias("runs"))
 
 

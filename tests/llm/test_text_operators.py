@@ -2,6 +2,8 @@
 
 import random
 
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -9,7 +11,14 @@ from strata.llm.exact_dedup import ambiguous, group_copies
 from strata.llm.line_dedup import dedup_lines
 from strata.llm.ngram_join import join_near, needed_matches
 from strata.llm.queries import QUERIES
-from strata.llm.substring_dedup import dedup_substrings
+from strata.llm.substring_dedup import (
+    Found,
+    dedup_substrings,
+    first_of_equals,
+    tree_marks,
+    word_ranks,
+)
+from strata.llm.words import WordReader
 from tests.llm.helpers import SF, documents, jaccard_classes, odd_documents, removed_words, sha
 
 EMPTY = "doc_id long, text string, source string"
@@ -83,6 +92,47 @@ def test_prefixes_are_lengthened_and_overlaps_found(spark, group):
     assert spans[100] == [(1, 50)] and spans[101] == [(0, 30)]
 
 
+def test_deep_nodes_give_maximal_repeats():
+    """Lengths from the nodes of a suffix tree, against comparing all pairs of suffixes."""
+    rnd = random.Random(8)
+    for turn in range(40):
+        rows = [[rnd.choice("ab" if turn % 2 else "abcdef") for _ in range(rnd.randint(3, 12))] for _ in range(12)]
+        table = pa.table({
+            "owner": pa.array([rnd.randint(0, 8) for _ in rows], pa.int64()),
+            "digest": pa.array([0] * len(rows), pa.int64()),
+            "first": pa.array([100 * i for i in range(len(rows))], pa.int32()),
+            "n": pa.array([len(r) - 2 for r in rows], pa.int32()),
+            "words": pa.array([" ".join(r).encode() for r in rows], pa.binary()),
+        })
+        suffixes = [(o, f + k, r[k:]) for o, f, r in zip(
+            table["owner"].to_pylist(), table["first"].to_pylist(), rows, strict=True) for k in range(len(r) - 2)]
+        covered_starts = set()
+        for o, s, one in suffixes:
+            for p, t, two in suffixes:
+                if (p, t) < (o, s):
+                    same = next((i for i, (x, y) in enumerate(zip(one, two)) if x != y), min(len(one), len(two)))
+                    covered_starts |= {(o, s + i) for i in range(same - 2)}
+        got = tree_marks(table, WordReader(), 3).to_pylist()
+        marked = {(r["owner"], i) for r in got for a, b in zip(r["runs"][::2], r["runs"][1::2]) for i in range(a, b)}
+        assert marked == covered_starts, turn
+        for r in got:  # runs are apart
+            assert all(b < c for b, c in zip(r["runs"][1::2], r["runs"][2::2]))
+
+
+def test_equal_hashes_of_different_words_are_told_apart(monkeypatch):
+    words = next(iter(WordReader().read(pa.array(["one two one three-and-a-half two", "", "one"]))))
+    ranks = word_ranks([words]).tolist()
+    assert ranks[0] == ranks[2] == ranks[5] and ranks[1] == ranks[4] and len(set(ranks)) == 3
+    words.hashes = words.hashes & np.uint64(0)
+    weak = word_ranks([words]).tolist()
+    assert weak == [0, 1, 0, 2, 1, 0]
+    zero = np.zeros(3, np.int64)
+    data = np.frombuffer(b"a b a  b c d", np.uint8)
+    low, high = np.array([0, 4, 9]), np.array([3, 8, 12])
+    found = Found(zero, np.arange(3), zero, zero.view(np.uint64), zero.view(np.uint64), low, high, data)
+    assert first_of_equals(found, np.array([5])).tolist() == [True, False, True]
+
+
 def test_substrings_of_odd_documents(spark):
     got = dedup_substrings(odd_documents(spark)).collect()
     assert len(got) == 11
