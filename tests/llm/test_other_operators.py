@@ -32,7 +32,7 @@ def vocabulary():
 @pytest.mark.parametrize("name", sorted(ORACLES))
 def test_query_equals_its_sql(spark, name):
     con = duckdb.connect()
-    for table in ("documents", "pages", "conversations"):
+    for table in ("documents", "pages", "conversations", "benchmark"):
         con.sql(f"create view {table} as select * from '{SF}/{table}.parquet'")
     df = QUERIES[name](spark, SF)
     twin = con.sql(sql.ORACLES[name])

@@ -17,7 +17,10 @@ spark = (
 sys.path.insert(0, {str(REPO)!r})
 from strata.llm.queries import QUERIES
 
-for name in ("op1_ngram_join", "op2_quality", "op5_nearest", "op6_line_dedup", "op7_substring_dedup", "op9_bpe"):
+for name in (
+    "op1_ngram_join", "op2_quality", "op5_nearest", "op6_line_dedup", "op7_substring_dedup", "op9_bpe",
+    "op11_ranked_search", "op12_collocations", "op13_html_extraction",
+):
     assert QUERIES[name](spark, "/root/testdata/sf0.001").count() > 0
 print("done")
 """
