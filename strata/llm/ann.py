@@ -4,9 +4,15 @@ On a bounded sample the neighbour graph is built and cut into parts of equal siz
 bisection: a spectral order is halved, then pairs of vectors change sides where that leaves
 fewer neighbours apart. A small classifier learns the part of a vector from the vector, with
 the parts of its neighbours as soft labels. Every vector of the table is filed under its most
-probable part. A query goes to its most probable parts, as many as the sample needs for the
-recall that is asked for, and more until they hold enough vectors; there it is compared
-exactly, by inner product in double precision.
+probable part. Where parts of the table grow large, each is divided again in the same way, by a
+classifier learned in a task on a bounded sample of that part. A query goes to its most
+probable parts by the product of both probabilities; there it is compared exactly, by inner
+product in double precision.
+
+How many parts a query visits is set by held-out queries, which no classifier has learned from:
+they are compared with the whole table, and the parts of their true neighbours tell how many
+visits give the recall that is asked for. A query visits more parts where those hold too few
+vectors.
 
 Parts are searched in blocks, and a part's queries are cut into blocks as well, so no part
 meets in one task. Of identical vectors only the ``k + 1`` smallest ids are filed: no other
@@ -22,7 +28,7 @@ answers only if there are fewer candidates. An empty table gives an empty result
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -32,29 +38,95 @@ from pyspark.sql.window import Window
 
 from strata.session import staged
 
-# Vectors of the sample that the parts are learned on; the table is filed whole.
-SAMPLE = 4096
-# Sampled vectors per part, parts at most, neighbours in the graph.
+# Vectors that a classifier learns from; the table is filed whole. Held-out queries.
+SAMPLE, HELD_OUT = 4096, 512
+# Sampled vectors per part, parts per classifier at most, neighbours in the graph.
 PER_PART, MOST_PARTS, NEIGHBOURS = 64, 64, 10
-# Recall on the sample that sets the number of parts a query visits.
-SAMPLE_RECALL = 0.97
+# Rows of a part, on average, beyond which parts are divided again.
+PART_ROWS = 32768
+# Recall of the held-out queries that sets the number of parts a query visits.
+RECALL = 0.97
 HIDDEN, STEPS, BATCH, RATE = 64, 800, 512, 0.01
-# Vectors and queries of a block.
-BLOCK, QUERY_BLOCK = 8192, 2048
+# Vectors and queries of a block, vectors that are routed at a time.
+BLOCK, QUERY_BLOCK, SLICE = 8192, 2048, 512
 
 
 @dataclass(frozen=True)
 class Router:
-    """The classifier: one hidden layer; and the number of parts to visit."""
+    """A classifier with one hidden layer."""
 
     hidden: np.ndarray
     bias: np.ndarray
     out: np.ndarray
     out_bias: np.ndarray
+
+    @property
+    def parts(self) -> int:
+        return len(self.out_bias)
+
+    def odds(self, vectors: np.ndarray) -> np.ndarray:
+        """Logarithm of the probability of each part."""
+        scores = np.maximum(vectors @ self.hidden + self.bias, 0) @ self.out + self.out_bias
+        scores -= scores.max(axis=1, keepdims=True)
+        return scores - np.log(np.exp(scores).sum(axis=1, keepdims=True))
+
+
+@dataclass(frozen=True)
+class Tree:
+    """A classifier and those below its parts; part ``p`` has the numbers from ``p * fan``."""
+
+    root: Router
+    below: tuple[Router | None, ...] = ()
+    fan: int = 1
+
+    @property
+    def parts(self) -> int:
+        return self.root.parts * self.fan
+
+    def file(self, vectors: np.ndarray) -> np.ndarray:
+        """The part of each vector: the most probable one at each level."""
+        first = self.root.odds(vectors).argmax(axis=1)
+        found = first * self.fan
+        for part, router in enumerate(self.below):
+            own = np.flatnonzero(first == part)
+            if router is not None and len(own):
+                found[own] += router.odds(vectors[own]).argmax(axis=1)
+        return found
+
+    def order(self, vectors: np.ndarray) -> np.ndarray:
+        """All parts, the most probable ones of each vector first; numbers not in use last."""
+        first = self.root.odds(vectors)
+        if self.fan > 1:
+            both = np.full((*first.shape, self.fan), -np.inf)
+            for part, router in enumerate(self.below):
+                odds = router.odds(vectors) if router is not None else np.zeros((len(vectors), 1))
+                both[:, part, : odds.shape[1]] = first[:, part, None] + odds
+            first = both.reshape(len(vectors), -1)
+        return np.argsort(-first, axis=1, kind="stable")
+
+
+@dataclass(frozen=True)
+class Index:
+    """The filed table (id, vector, part), how to route to it, and rows per part."""
+
+    vectors: DataFrame
+    filed: DataFrame
+    tree: Tree
+    sizes: np.ndarray
     visits: int
+    width: int
 
-    def scores(self, vectors: np.ndarray) -> np.ndarray:
-        return np.maximum(vectors @ self.hidden + self.bias, 0) @ self.out + self.out_bias
+    def routes(self, vectors: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Places of the vectors and the parts that each visits; empty parts are left out."""
+        order = self.tree.order(vectors)
+        # Enough parts that the query finds k others whatever the parts hold.
+        enough = (np.cumsum(self.sizes[order], axis=1) <= k).sum(axis=1) + 1
+        visits = np.minimum(np.maximum(enough, self.visits), len(self.sizes))
+        row = np.repeat(np.arange(len(order)), visits)
+        step = np.arange(len(row)) - np.repeat(np.cumsum(visits) - visits, visits)
+        part = order[row, step]
+        held = self.sizes[part] > 0
+        return row[held], part[held]
 
 
 def valid(vector: Column) -> Column:
@@ -118,11 +190,11 @@ def _bisected(n: int, a: np.ndarray, b: np.ndarray, turns: int = 60, swaps: int
     return side
 
 
-def learn_router(vectors: np.ndarray, k: int, recall: float) -> Router:
-    """Partition the sample, fit the classifier and choose the number of visits."""
+def learn_router(vectors: np.ndarray, most: int = MOST_PARTS) -> Router:
+    """Partition the sample in at most ``most`` parts and fit the classifier."""
     n, width = vectors.shape
     levels = 0
-    while 2 << levels <= min(MOST_PARTS, n // PER_PART):
+    while 2 << levels <= min(most, n // PER_PART):
         levels += 1
     parts = 1 << levels
     rng = np.random.default_rng(0)
@@ -130,25 +202,15 @@ def learn_router(vectors: np.ndarray, k: int, recall: float) -> Router:
         rng.standard_normal((width, HIDDEN)) * np.sqrt(2 / width), np.zeros(HIDDEN),
         rng.standard_normal((HIDDEN, parts)) * np.sqrt(1 / HIDDEN), np.zeros(parts),
     ]
-    if parts == 1:
-        return Router(*weights, 1)
-    scale = 1 / np.sqrt((vectors**2).sum(axis=1).mean())
-    weights[0] *= scale * np.sqrt(width)
-    nearest = neighbour_graph(vectors, max(k, NEIGHBOURS))
-    part = balanced_parts(nearest[:, :NEIGHBOURS], levels)
-    around = np.concatenate([part[:, None], part[nearest[:, :NEIGHBOURS]]], axis=1)
-    soft = np.zeros((n, parts))
-    np.add.at(soft, (np.arange(n)[:, None], around), 1 / around.shape[1])
-    _fit(weights, vectors, soft, rng)
-    router = Router(*weights, parts)
-    scores = router.scores(vectors)
-    filed = scores.argmax(axis=1)
-    # Place of the part of each true neighbour in the query's order of parts.
-    order = np.empty((n, parts), np.int64)
-    order[np.arange(n)[:, None], np.argsort(-scores, axis=1, kind="stable")] = np.arange(parts)
-    place = order[np.arange(n)[:, None], filed[nearest[:, :k]]]
-    reached = np.cumsum(np.bincount(place.ravel(), minlength=parts)) / place.size
-    return Router(*weights, min(parts, int(np.searchsorted(reached, recall)) + 1))
+    if parts > 1:
+        weights[0] /= np.sqrt((vectors**2).sum(axis=1).mean() / width)
+        nearest = neighbour_graph(vectors, NEIGHBOURS)
+        part = balanced_parts(nearest, levels)
+        around = np.concatenate([part[:, None], part[nearest]], axis=1)
+        soft = np.zeros((n, parts))
+        np.add.at(soft, (np.arange(n)[:, None], around), 1 / around.shape[1])
+        _fit(weights, vectors, soft, rng)
+    return Router(*weights)
 
 
 def _fit(weights: list[np.ndarray], x: np.ndarray, y: np.ndarray, rng: np.random.Generator) -> None:
@@ -186,6 +248,132 @@ def _best(scores: np.ndarray, query: np.ndarray, vectors: np.ndarray, ids: np.nd
     return ids[near][order], exact[order]
 
 
+def _slices(batches: Iterable[pa.RecordBatch], rows: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for low in range(0, batch.num_rows, rows):
+            yield batch.slice(low, rows)
+
+
+def _array(numbers: Iterable[int]) -> Column:
+    return F.expr(f"array({', '.join(str(int(n)) for n in numbers)})")
+
+
+def _per_part(rows: DataFrame, parts: int) -> np.ndarray:
+    counts = np.zeros(parts, np.int64)
+    for row in rows.groupBy("part").count().collect():  # a row per part
+        counts[row["part"]] = row["count"]
+    return counts
+
+
+def _filed(rows: DataFrame, tree: Tree, width: int, label: str) -> DataFrame:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _slices(batches, SLICE):
+            part = tree.file(_matrix(batch.column("vector"), width))
+            yield batch.append_column("part", pa.array(part, pa.int32()))
+
+    schema = "id long, vector array<double>, part int"
+    return staged(rows.sparkSession, rows.mapInArrow(run, schema), label)
+
+
+def _divided(filed: DataFrame, tree: Tree, sizes: np.ndarray, width: int, fan: int, sample: int) -> Tree:
+    """The tree with a classifier below each part, learned in tasks on a sample of the part."""
+    share = 1 << 20
+    # Twice the sample is drawn, so that the first ones by hash are always there.
+    rates = _array(np.minimum(share, -(-2 * sample * share // np.maximum(sizes, 1))))
+    draw = F.xxhash64(F.lit("part"), "id")
+    drawn = filed.withColumn("draw", draw).filter(
+        F.pmod("draw", F.lit(share)) < F.element_at(rates, F.col("part") + 1)
+    )
+
+    def learn(table: pa.Table) -> pa.Table:
+        table = table.sort_by([("draw", "ascending"), ("id", "ascending")]).slice(0, sample)
+        router = learn_router(_matrix(table.column("vector").combine_chunks(), width), fan)
+        numbers = [router.hidden, router.bias, router.out, router.out_bias]
+        return pa.table({
+            "part": table.column("part").slice(0, 1),
+            "weights": pa.array([np.concatenate([n.ravel() for n in numbers])], pa.list_(pa.float64())),
+        })
+
+    learned: list[Router | None] = [None] * tree.parts
+    for row in drawn.groupBy("part").applyInArrow(
+        learn, "part int, weights array<double>"
+    ).toLocalIterator():  # a row per part of the first level
+        flat = np.array(row["weights"])
+        first, rest = np.split(flat, [width * HIDDEN + HIDDEN])
+        parts = len(rest) // (HIDDEN + 1)
+        learned[row["part"]] = Router(
+            first[:-HIDDEN].reshape(width, HIDDEN), first[-HIDDEN:],
+            rest[:-parts].reshape(HIDDEN, parts), rest[-parts:],
+        )
+    return Tree(tree.root, tuple(learned), fan)
+
+
+def _visits(filed: DataFrame, tree: Tree, ids: np.ndarray, held: np.ndarray, k: int, recall: float) -> int:
+    """Parts to visit for the recall, by comparing the held-out queries with all rows."""
+    width = held.shape[1]
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, where = np.full((len(held), k), -np.inf), np.zeros((len(held), k), np.int64)
+        for batch in _slices(batches, 8 * SLICE):
+            scores = held @ _matrix(batch.column("vector"), width).T
+            scores[ids[:, None] == batch.column("id").to_numpy()] = -np.inf
+            scores = np.concatenate([best, scores], axis=1)
+            part = np.broadcast_to(batch.column("part").to_numpy(), (len(held), batch.num_rows))
+            top = np.argpartition(-scores, k - 1, axis=1)[:, :k]
+            best = np.take_along_axis(scores, top, axis=1)
+            where = np.take_along_axis(np.concatenate([where, part], axis=1), top, axis=1)
+        query, place = np.nonzero(np.isfinite(best))
+        yield pa.RecordBatch.from_arrays([
+            pa.array(query, pa.int32()), pa.array(best[query, place]),
+            pa.array(where[query, place], pa.int32()),
+        ], ["query", "score", "part"])
+
+    found = filed.mapInArrow(compare, "query int, score double, part int")
+    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "part"))
+    # k rows per held-out query.
+    true = found.withColumn("rank", rank).filter(F.col("rank") <= k).select("query", "part").toArrow()
+    order = tree.order(held)
+    place = np.empty_like(order)
+    np.put_along_axis(place, order, np.arange(tree.parts)[None, :], axis=1)
+    needed = place[true.column("query").to_numpy(), true.column("part").to_numpy()]
+    reached = np.cumsum(np.bincount(needed, minlength=tree.parts)) / max(len(needed), 1)
+    return min(tree.parts, int(np.searchsorted(reached, recall)) + 1)
+
+
+def build_index(
+    rows: DataFrame, k: int, sample: int = SAMPLE, recall: float = RECALL, part_rows: int = PART_ROWS
+) -> Index | None:
+    """File ``rows`` (id, vector) under learned parts; None without a valid vector."""
+    spark = rows.sparkSession
+    good = rows.filter(F.col("id").isNotNull() & valid(F.col("vector")))
+    lengths = good.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
+    common = lengths.orderBy(F.desc("rows"), "n").first()
+    if common is None:
+        return None
+    width = common["n"]
+    good = staged(spark, good.filter(F.size("vector") == width).distinct(), "vectors")
+    taken = good.orderBy(F.xxhash64("id"), "id").limit(sample + HELD_OUT).collect()
+    ids, drawn = np.array([row["id"] for row in taken]), np.array([row["vector"] for row in taken])
+    held = min(HELD_OUT, len(drawn) // 8)
+    tree = Tree(learn_router(drawn[held : held + sample]))
+    # The limit per vector is applied before the shuffle, too.
+    alike = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
+    single = good.withColumn("_n", alike).filter(F.col("_n") <= k + 1).drop("_n")
+    filed = _filed(single, tree, width, "filed-vectors")
+    sizes = _per_part(filed, tree.parts)
+    fan = 1
+    while fan < MOST_PARTS and sizes.sum() > part_rows * tree.parts * fan:
+        fan *= 2
+    if fan > 1:
+        tree = _divided(filed, tree, sizes, width, fan, sample)
+        filed = _filed(filed.drop("part"), tree, width, "filed-again")
+        sizes = _per_part(filed, tree.parts)
+    visits = 1
+    if tree.parts > 1:
+        visits = _visits(filed, tree, ids[:held], drawn[:held], k, recall)
+    return Index(good, filed, tree, sizes, visits, width)
+
+
 def nearest(
     rows: DataFrame,
     is_query: Column,
@@ -193,9 +381,10 @@ def nearest(
     id_column: str = "vec_id",
     vector_column: str = "embedding",
     sample: int = SAMPLE,
-    recall: float = SAMPLE_RECALL,
+    recall: float = RECALL,
     block: int = BLOCK,
     query_block: int = QUERY_BLOCK,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """query_id, rank (from 1), id and score of the nearest found of each query row.
 
@@ -206,61 +395,31 @@ def nearest(
         F.col(id_column).cast("long").alias("id"),
         F.col(vector_column).cast("array<double>").alias("vector"),
     )
-    good = named.filter(F.col("id").isNotNull() & valid(F.col("vector")))
-    lengths = good.groupBy(F.size("vector").alias("n")).agg(F.count(F.lit(1)).alias("rows"))
-    common = lengths.orderBy(F.desc("rows"), "n").first()
-    width = common["n"] if common else 0
-    good = staged(spark, good.filter(F.size("vector") == width).distinct(), "vectors")
-    taken = good.orderBy(F.xxhash64("id"), "id").select("vector").limit(sample)
-    drawn = np.array([row[0] for row in taken.collect()], np.float64).reshape(-1, max(width, 1))
-    if not len(drawn):
+    index = build_index(named, k, sample, recall, part_rows)
+    if index is None:
         return spark.createDataFrame([], f"query_id long, rank int, {id_column} long, score double")
-    router = learn_router(drawn, k, recall)
-
-    def file(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            part = router.scores(_matrix(batch.column("vector"), width)).argmax(axis=1)
-            yield batch.append_column("part", pa.array(part, pa.int32()))
-
-    # The limit per vector is applied before the shuffle, too.
-    alike = F.row_number().over(Window.partitionBy("vector").orderBy("id"))
-    single = good.withColumn("_n", alike).filter(F.col("_n") <= k + 1).drop("_n")
-    filed = staged(
-        spark, single.mapInArrow(file, "id long, vector array<double>, part int"), "filed-vectors"
-    )
-    sizes = np.zeros(len(router.out_bias), np.int64)
-    for row in filed.groupBy("part").count().collect():  # a row per part
-        sizes[row["part"]] = row["count"]
+    width, sizes = index.width, index.sizes
+    # Without the tables, which tasks have no use for.
+    routing = replace(index, vectors=None, filed=None)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            scores = router.scores(_matrix(batch.column("vector"), width))
-            order = np.argsort(-scores, axis=1, kind="stable")
-            # Enough parts that the query finds k others whatever the parts hold.
-            enough = (np.cumsum(sizes[order], axis=1) <= k).sum(axis=1) + 1
-            visits = np.minimum(np.maximum(enough, router.visits), len(sizes))
-            row = np.repeat(np.arange(len(order)), visits)
-            step = np.arange(len(row)) - np.repeat(np.cumsum(visits) - visits, visits)
-            routed = batch.take(pa.array(row))
-            yield routed.append_column("part", pa.array(order[row, step], pa.int32()))
-
-    queries = good.filter(is_query).mapInArrow(route, "id long, vector array<double>, part int")
-    queries = staged(spark, queries.filter(F.element_at(F.lit(sizes.tolist()), F.col("part") + 1) > 0),
-                     "routed-queries")
-    blocks = [max(1, -(-int(s) // block)) for s in sizes]
-    asked = np.zeros(len(sizes), np.int64)
-    for row in queries.groupBy("part").count().collect():  # a row per part
-        asked[row["part"]] = row["count"]
-    query_blocks = [max(1, -(-int(s) // query_block)) for s in asked]
-
-    def dealt(df: DataFrame, own: list[int], others: list[int], mine: str, theirs: str) -> DataFrame:
-        count = F.element_at(F.lit(own), F.col("part") + 1)
-        repeat = F.element_at(F.lit(others), F.col("part") + 1)
+        for batch in _slices(batches, SLICE):
+            row, part = routing.routes(_matrix(batch.column("vector"), width), k)
+            yield batch.take(pa.array(row)).append_column("part", pa.array(part, pa.int32()))
+
+    schema = "id long, vector array<double>, part int"
+    queries = staged(spark, index.vectors.filter(is_query).mapInArrow(route, schema), "routed-queries")
+    asked = _per_part(queries, len(sizes))
+    blocks = _array(np.maximum(1, -(-sizes // block)))
+    query_blocks = _array(np.maximum(1, -(-asked // query_block)))
+
+    def dealt(df: DataFrame, own: Column, others: Column, mine: str, theirs: str) -> DataFrame:
+        count, repeat = (F.element_at(numbers, F.col("part") + 1) for numbers in (own, others))
         return df.withColumn(mine, F.pmod(F.xxhash64("id"), count).cast("int")).withColumn(
-            theirs, F.explode(F.sequence(F.lit(0), repeat.cast("int") - 1))
+            theirs, F.explode(F.sequence(F.lit(0), repeat - 1))
         )
 
-    left = dealt(filed, blocks, query_blocks, "block", "asked")
+    left = dealt(index.filed, blocks, query_blocks, "block", "asked")
     right = dealt(queries, query_blocks, blocks, "asked", "block")
 
     def search(one: pa.Table, two: pa.Table) -> pa.Table:

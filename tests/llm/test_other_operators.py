@@ -6,13 +6,14 @@ from collections import Counter
 import duckdb
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import tiktoken
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from strata.llm import sql
-from strata.llm.ann import balanced_parts, nearest, neighbour_graph
+from strata.llm.ann import balanced_parts, build_index, nearest, neighbour_graph
 from strata.llm.bpe import Encoder, decode, encode, load_vocabulary
 from strata.llm.chat import PART, format_conversations, read_loss, read_turns, text_parts
 from strata.llm.cotraining import score_documents
@@ -249,6 +250,37 @@ def test_neighbours_reach_their_recall(spark):
             assert score == pytest.approx(vectors[np.searchsorted(ids, v)] @ vectors[np.searchsorted(ids, q)], abs=1e-12)
 
 
+def _clustered(n: int, centres: int, width: int = 32) -> np.ndarray:
+    rng = np.random.default_rng(centres)
+    vectors = rng.standard_normal((centres, width))[rng.integers(0, centres, n)]
+    vectors = vectors + 0.5 * rng.standard_normal((n, width))
+    return vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
+
+
+# One level of parts over far more vectors than the sample; two levels.
+@pytest.mark.parametrize(("part_rows", "levels"), [(32768, 1), (64, 2)])
+def test_neighbours_outside_of_the_sample(spark, part_rows, levels):
+    vectors, k = _clustered(20_000, 200), 10
+    columns = {"vec_id": pa.array(np.arange(20_000)), "embedding": pa.array(vectors.tolist())}
+    frame = spark.createDataFrame(pa.table(columns)).repartition(4)
+    index = build_index(
+        frame.select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector")),
+        k, sample=2048, part_rows=part_rows,
+    )
+    assert index.sizes.sum() == 20_000 and (index.tree.fan > 1) == (levels == 2)
+    queries = np.arange(0, 20_000, 20)
+    row, part = index.routes(vectors[queries], k)
+    compared = index.sizes[part].sum() / (len(queries) * 20_000)
+    assert compared < 0.25
+    expected = brute_neighbours(np.arange(20_000), vectors, queries, k)
+    found = nearest(frame, F.col("id") % 20 == 0, k, sample=2048, part_rows=part_rows).toPandas()
+    assert (found.groupby("query_id").size() == k).all()
+    got = found.groupby("query_id").vec_id.apply(set).to_dict()
+    recall = sum(len(got[q] & set(expected[q])) for q in expected) / (k * len(expected))
+    print(f"levels {levels}: recall {recall:.3f}, compared {compared:.3f}, parts visited {index.visits}")
+    assert recall >= 0.95
+
+
 def test_neighbours_of_odd_vectors(spark):
     nan, inf = float("nan"), float("inf")
     rows = [(20 * i + j, [1.0, float(j)], "c") for i in range(3) for j in range(4)]
