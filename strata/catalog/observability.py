@@ -155,15 +155,15 @@ def streamed_metrics(spark: SparkSession, sf_dir: str, slide: str | None = None)
 
 def streamed_alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Alerts of the windowed stream after deduplication, read back from the sink."""
-    use_state_store(spark)
     path = scratch_path(spark, "stream")
     metrics = as_alert_metrics(
         request_metrics_stream(
             closed_stream(spark, sf_dir), STREAM_WINDOW, watermark=STREAM_DELAY
         )
     )
-    notified = dedup_alerts_stream(a.metric_alerts(metrics), STREAM_QUIET)
-    sink = alert_sink(notified, f"{path}/alerts", f"{path}/checkpoint")
+    sink = dedup_alerts_stream(
+        a.metric_alerts(metrics), f"{path}/alerts", f"{path}/checkpoint", STREAM_QUIET
+    )
     sink.trigger(availableNow=True).start().awaitTermination()
     stored = spark.read.parquet(f"{path}/alerts")
     return plain(stored.select("ts", "key", "severity", "message"))
@@ -190,13 +190,8 @@ def silent_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
     seeded = requests.union(spark.readStream.schema(seeds.schema).parquet(f"{path}/seeds"))
     alerts = service_down_stream(seeded, "path", a.Limits(silent=2))
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.select("key", "severity", "message").write.mode("overwrite").parquet(
-            f"{path}/alerts/batch={batch_id}"
-        )
-
-    writer = alerts.writeStream.foreachBatch(store).outputMode("update")
-    query = every_tick(writer.option("checkpointLocation", f"{path}/checkpoint"), "1 second").start()
+    writer = alert_sink(alerts, f"{path}/alerts", f"{path}/checkpoint").outputMode("update")
+    query = every_tick(writer, "1 second").start()
     wanted = spark.read.parquet(f"{path}/seeds").count()
     schema = "key string, severity int, message string"
     found = spark.createDataFrame([], schema)

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
+from contextvars import ContextVar
 from typing import TypeVar
 
 from py4j.protocol import Py4JJavaError
@@ -18,6 +20,8 @@ TIME_ZONE_KEY = "spark.sql.session.timeZone"
 CHECKPOINT_KEY = "spark.checkpoint.dir"
 # Records the Python call site of every Column call, which makes building a plan slow.
 COLUMN_ORIGIN_KEY = "spark.python.sql.dataFrameDebugging.enabled"
+# Paths staged by the thread inside ``staging_released``.
+_STAGED: ContextVar[list[str] | None] = ContextVar("staged", default=None)
 
 
 def local_session(
@@ -125,10 +129,25 @@ def child_directories(spark: SparkSession, path: str, pattern: str) -> list[str]
 def staged(spark: SparkSession, df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the scratch folder and read it back, which cuts the lineage."""
     path = scratch_path(spark, label)
+    mine = _STAGED.get()
+    if mine is not None:
+        mine.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def staging_released(spark: SparkSession) -> Iterator[None]:
+    """Delete what this thread stages inside, at the end: for streams, which never end."""
+    token = _STAGED.set([])
+    try:
+        yield
+    finally:
+        for path in _STAGED.get() or []:
+            delete_path(spark, path)
+        _STAGED.reset(token)
+
+
 def in_parallel(*jobs: Callable[[], T]) -> list[T]:
     """Run independent Spark jobs from a few driver threads; the first error is raised."""
     with ThreadPoolExecutor(max_workers=JOB_THREADS) as pool:

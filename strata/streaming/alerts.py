@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -14,17 +16,25 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from strata.operators.alerts import (
     DEDUP_SECONDS,
     Limits,
+    dedup_alerts,
     render_alert,
     service_down_columns,
 )
+from strata.session import (
+    delete_path,
+    path_names,
+    publish_text,
+    read_text,
+    staged,
+    staging_released,
+)
 
 STATE_STORE_KEY = "spark.sql.streaming.stateStore.providerClass"
 STATE_STORE = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
-_EVENT_COLUMNS = (
-    "key string, ts timestamp, alert_type string, severity int, status string, message string, "
-    "context map<string,double>"
-)
+# Below the folder of notified alerts, out of sight of its readers.
+STATE = "_state"
+_BLOCKED = "key string, until long"
 
 
 def use_state_store(spark: SparkSession) -> None:
@@ -37,57 +47,74 @@ def check_state_store(spark: SparkSession) -> None:
         raise ValueError(f"set {STATE_STORE_KEY} to {STATE_STORE} for stateful alerts")
 
 
-class _Dedup(StatefulProcessor):
-    """Keeps the time of the last notified alert of a key."""
-
-    def __init__(self, seconds: int):
-        self._quiet = pd.Timedelta(seconds=seconds)
+def dedup_alerts_stream(
+    alerts: DataFrame, path: str, checkpoint: str, seconds: int = DEDUP_SECONDS, delay: int = 0
+) -> DataStreamWriter:
+    """Streaming twin of ``dedup_alerts`` that stores the notified alerts with their payload.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self._handle = handle
-        self._last = handle.getValueState("last_notified", "ts timestamp")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        alerts = pd.concat(list(rows)).sort_values(["ts", "message"], kind="stable")
-        last = pd.Timestamp(self._last.get()[0]) if self._last.exists() else None
-        chosen = []
-        for position, ts in enumerate(alerts["ts"]):
-            if last is None or ts - last >= self._quiet:
-                chosen.append(position)
-                last = ts
-        if chosen:
-            self._last.update((last.to_pydatetime(),))
-            for timer in self._handle.listTimers():
-                self._handle.deleteTimer(timer)
-            self._handle.registerTimer(int((last + self._quiet).timestamp() * 1000))
-            yield alerts.iloc[chosen]
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        """The quiet period is over: a next alert is notified without this state too."""
-        self._last.clear()
-        return iter(())
-
-    def close(self) -> None:
-        pass
-
-
-def dedup_alerts_stream(alerts: DataFrame, seconds: int = DEDUP_SECONDS) -> DataFrame:
-    """Streaming twin of ``dedup_alerts``; needs a watermark on ``ts``.
-
-    State is one timestamp per key and is dropped once the watermark has passed the end
-    of the quiet period.
+    A micro-batch is deduplicated as a table, so no task holds all alerts of a key. What goes
+    on to the next one is a small table: until when each key is blocked. Alerts that come more
+    than ``delay`` seconds of their own time after a newer one of an earlier micro-batch are
+    dropped, and a key whose quiet period ended before that is forgotten; a next alert of it is
+    notified with or without its row. ``path`` belongs to one checkpoint: a micro-batch that is
+    repeated after a failure starts from the same table and replaces its own directory.
     """
-    check_state_store(alerts.sparkSession)
-    return (
-        alerts.select("key", "ts", "alert_type", "severity", "status", "message", "context")
-        .groupBy("key")
-        .transformWithStateInPandas(
-            statefulProcessor=_Dedup(seconds),
-            outputStructType=_EVENT_COLUMNS,
-            outputMode="Append",
-            timeMode="EventTime",
+
+    def notify(batch: DataFrame, batch_id: int) -> None:
+        notify_batch(batch, batch_id, path, seconds, delay)
+
+    return alerts.writeStream.foreachBatch(notify).option("checkpointLocation", checkpoint)
+
+
+def notify_batch(
+    batch: DataFrame, batch_id: int, path: str, seconds: int = DEDUP_SECONDS, delay: int = 0
+) -> None:
+    """Store the alerts of one micro-batch that are to be notified, and who is blocked then."""
+    spark, quiet = batch.sparkSession, seconds * 1_000_000
+    with staging_released(spark):
+        blocked, newest = blocked_before(spark, path, batch_id)
+        came = staged(spark, batch, "new-alerts")
+        at = F.unix_micros("ts")
+        first = None if newest is None else newest - delay * 1_000_000
+        intime = came if first is None else came.filter(at >= first)
+        # With a key's alerts before "until" away, the next one is a first alert.
+        free = intime.join(blocked, "key", "left").filter(F.col("until").isNull() | (at >= F.col("until")))
+        notified = staged(
+            spark, dedup_alerts(staged(spark, free.drop("until"), "free-alerts"), seconds), "notified"
         )
-    )
+        _store(notified, path, batch_id)
+        times = [t for t in (came.agg(F.max(at)).first()[0], newest) if t is not None]
+        newest = max(times, default=None)
+        after = blocked.unionByName(notified.select("key", (at + quiet).alias("until")))
+        after = after.groupBy("key").agg(F.max("until").alias("until"))
+        if newest is not None:
+            after = after.filter(F.col("until") > newest - delay * 1_000_000)
+        _publish_blocked(spark, path, batch_id, after, newest)
+
+
+def blocked_before(spark: SparkSession, path: str, batch_id: int) -> tuple[DataFrame, int | None]:
+    """Who is blocked until when (microseconds) as a micro-batch starts, and the newest time seen."""
+    earlier = [n for n in path_names(spark, f"{path}/{STATE}/after-*") if int(n[6:]) < batch_id]
+    if not earlier:
+        return spark.createDataFrame([], _BLOCKED), None
+    # Written by an earlier micro-batch only, so whole.
+    told = json.loads(read_text(spark, f"{path}/{STATE}/{earlier[-1]}"))
+    return spark.read.schema(_BLOCKED).parquet(f"{path}/{STATE}/{told['blocked']}"), told["newest"]
+
+
+def _publish_blocked(
+    spark: SparkSession, path: str, batch_id: int, blocked: DataFrame, newest: int | None
+) -> None:
+    """A table of its own, then the small file that names it; older ones than the last go."""
+    folder, name = f"{path}/{STATE}", f"blocked-{batch_id:020d}-{uuid.uuid4().hex}"
+    blocked.write.parquet(f"{folder}/{name}")
+    publish_text(spark, f"{folder}/after-{batch_id:020d}", json.dumps({"blocked": name, "newest": newest}))
+    # A repeat of this micro-batch needs the one before.
+    old = [n for n in path_names(spark, f"{folder}/after-*") if int(n[6:]) < batch_id][:-1]
+    for number in [n[6:] for n in old]:
+        delete_path(spark, f"{folder}/after-{number}")
+        for table in path_names(spark, f"{folder}/blocked-{number}-*"):
+            delete_path(spark, f"{folder}/{table}")
 
 
 class _Silence(StatefulProcessor):
@@ -170,6 +197,10 @@ def alert_sink(alerts: DataFrame, path: str, checkpoint: str) -> DataStreamWrite
     """
 
     def store(batch: DataFrame, batch_id: int) -> None:
-        render_alert(batch).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        _store(batch, path, batch_id)
 
     return alerts.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+
+
+def _store(alerts: DataFrame, path: str, batch_id: int) -> None:
+    render_alert(alerts).write.mode("overwrite").parquet(f"{path}/batch={batch_id}")

@@ -1,14 +1,22 @@
+import random
 import time
-from datetime import datetime, timedelta
+from datetime import datetime, timedelta, timezone
 from pathlib import Path
 
 from pyspark.sql import functions as F
 
 from strata.operators import alerts as a
 from strata.plans.silver import STG_PRODUCCION_SCHEMA
+from strata.session import path_names, scratch_root
 from strata.sources.snapshots import Snapshot, current
 from strata.sources.request_log import REQUEST_LOG_SCHEMA, read_request_log
-from strata.streaming.alerts import alert_sink, dedup_alerts_stream, service_down_stream
+from strata.streaming.alerts import (
+    STATE,
+    blocked_before,
+    dedup_alerts_stream,
+    notify_batch,
+    service_down_stream,
+)
 from strata.streaming.ingest import incremental_ingest, merge_new_loads
 from strata.streaming.requests import (
     LateRows,
@@ -41,8 +49,8 @@ def test_alerts_keep_their_quiet_period_across_runs(spark, root):
         metrics = request_metrics_stream(
             read_request_log(spark, log, streaming=True), "30 seconds", watermark="0 seconds"
         )
-        alerts = dedup_alerts_stream(a.metric_alerts(as_alert_metrics(metrics)), 300)
-        return run(alert_sink(alerts, sink, checkpoint))
+        alerts = a.metric_alerts(as_alert_metrics(metrics))
+        return run(dedup_alerts_stream(alerts, sink, checkpoint, 300))
 
     write_log(spark, log, range(0, 400, 10))
     start()
@@ -57,6 +65,58 @@ def test_alerts_keep_their_quiet_period_across_runs(spark, root):
     assert len(got) == 3 and all("payload" in r for r in got)
 
 
+def alert_rows(spark, rows):
+    """Alerts of (key, second, message)."""
+    return spark.createDataFrame(
+        [(k, T0 + timedelta(seconds=s), "latency", 2, "active", m, {"v": 1.0}) for k, s, m in rows],
+        "key string, ts timestamp, alert_type string, severity int, status string, message string, "
+        "context map<string,double>",
+    )
+
+
+def walked(batches, quiet, delay):
+    """Notified (key, second, message), batch by batch, with every key remembered for ever."""
+    last, newest, found = {}, None, []
+    for batch in batches:
+        first = float("-inf") if newest is None else newest - delay
+        for k, s, m in sorted(batch):
+            if s >= first and (k not in last or s - last[k] >= quiet):
+                last[k] = s
+                found.append((k, s, m))
+        newest = max([s for _, s, _ in batch] + ([] if newest is None else [newest]), default=None)
+    return sorted(found)
+
+
+def test_micro_batches_of_alerts_equal_a_walk(spark, root):
+    """A hot key, keys out of order, late alerts, ties, an empty micro-batch and a repeated one."""
+    draw, quiet, delay = random.Random(3), 50, 20
+    batches = [
+        [
+            (draw.choice(["hot"] * 4 + ["a", "b"]), draw.randint(200 * n - 30, 200 * n + 190), draw.choice("xy"))
+            for _ in range(60)
+        ]
+        for n in range(3)
+    ]
+    batches.insert(1, [])
+    batches.append([("b", 5000, "late"), ("c", 5000, "x")])
+    batches.append([("a", 4985, "in time"), ("hot", 4979, "too late"), ("c", 5040, "blocked"), ("c", 5050, "x")])
+    path = f"{root}/alerts"
+    scratch = f"{scratch_root(spark)}/strata-*"
+    before = path_names(spark, scratch)
+    for number, batch in enumerate(batches):
+        for _ in range(2 if number in (0, 3) else 1):
+            notify_batch(alert_rows(spark, batch), number, path, quiet, delay)
+    assert path_names(spark, scratch) == before
+    got = spark.read.parquet(path).collect()
+    assert sorted((r.key, (r.ts - T0).total_seconds(), r.message) for r in got) == walked(batches, quiet, delay)
+    assert all(r.payload for r in got)
+    # Keys whose quiet period is over are forgotten; the state of the last two batches stays.
+    blocked, newest = blocked_before(spark, path, len(batches))
+    assert {r.key for r in blocked.collect()} == {"a", "b", "c"}
+    assert newest == int(T0.replace(tzinfo=timezone.utc).timestamp() + 5050) * 1_000_000
+    assert len(path_names(spark, f"{path}/{STATE}/after-*")) == 2
+
+
 def test_late_requests_are_dropped_and_counted(spark, root):
     log, out, checkpoint = f"{root}/log", f"{root}/out", f"{root}/checkpoint"
 
