@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.batches import bound_batches, parts
-from strata.llm.suspects import bloom_filter, filter_bits, suspected, total
+from strata.llm.suspects import repeated_filter, suspected, total
 from strata.session import staged
 
 LEAST_POINTS = 10
@@ -68,7 +68,7 @@ def dedup_lines(
     doc, text = f"c{names.index(id_column)}", f"c{names.index(text_column)}"
     columns = rows.columns
     line_count = F.length(text) - F.length(F.replace(F.col(text), F.lit("\n"))) + 1
-    bits = filter_bits(total(rows, F.coalesce(line_count, F.lit(1))))
+    n_keys = total(rows, F.coalesce(line_count, F.lit(1)))
 
     def all_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         for batch in parts(batches, text):
@@ -78,7 +78,7 @@ def dedup_lines(
                     yield _hashes(list(keys))
 
     # Repeated rows of a document would make its keys suspects, which costs time only.
-    twice = bloom_filter(rows.select(text), all_keys, bits)
+    twice = repeated_filter(rows.select(text), all_keys, n_keys)
 
     def suspects(batch: pa.RecordBatch) -> list[list[bytes]]:
         keys = [sorted({k for k in line_keys(t, least) if k}) for t in _texts(batch, text)]

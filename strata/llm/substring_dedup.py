@@ -35,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strata.llm.batches import bound_batches, parts
-from strata.llm.suspects import bloom_filter, filter_bits, suspected, total
+from strata.llm.suspects import repeated_filter, suspected, total
 from strata.llm.words import WordReader, Words, mix, windows
 from strata.session import staged
 
@@ -442,7 +442,7 @@ def dedup_substrings(
     spark = docs.sparkSession
     bound_batches(spark)
     rows = docs.select(F.col(id_column).cast("long").alias("owner"), F.col(text_column).alias("text"))
-    bits = filter_bits(total(rows, F.octet_length("text")) // BYTES_PER_ANCHOR)
+    n_keys = total(rows, F.octet_length("text")) // BYTES_PER_ANCHOR
 
     def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         reader = WordReader()
@@ -452,7 +452,7 @@ def dedup_substrings(
                 if len(at):
                     yield runs[np.unique(at)]
 
-    twice = bloom_filter(rows.select("text"), keys, bits)
+    twice = repeated_filter(rows.select("text"), keys, n_keys)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         suspects = _Suspects(twice.value, window, prefix)

@@ -8,7 +8,10 @@ key that occurs twice is a suspect; a few others are too, so suspects are to be
 
 The number of bits follows the number of keys up to ``MOST_BITS``. Only the second filter
 comes to the driver and is broadcast, so that both are bounded by ``MOST_BITS`` / 8 bytes. With
-more keys than that is good for, more keys are suspects; none is lost.
+more keys than that is good for, single keys hit set positions and are suspects as well. Then
+``repeated_filter`` shuffles the suspects' 8-byte hashes, not what they stand for, counts them,
+and builds the filter again from those that do repeat, so its size serves the number of repeated
+keys. Beyond that number more keys are suspects again; none is lost.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from pyspark.broadcast import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strata.session import staged
+
 # Bits per expected key, positions per key, bits of a segment, and of a filter at most.
 BITS_PER_KEY, POSITIONS = 8, 4
 SEGMENT_BITS = 22
@@ -107,6 +112,27 @@ def bloom_filter(df: DataFrame, keys: Keys, bits: int, times: int = 2) -> Broadc
     return df.sparkSession.sparkContext.broadcast(whole)
 
 
+def repeated_filter(df: DataFrame, keys: Keys, count: int) -> Broadcast:
+    """A filter of all keys that ``keys`` yields twice; ``count``: how many keys it yields."""
+    twice = bloom_filter(df, keys, filter_bits(count))
+    if BITS_PER_KEY * count <= MOST_BITS:
+        return twice
+
+    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for found in keys(batches):
+            held = found[suspected(found, twice.value)].view(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array(held)], ["hash"])
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
+        for batch in batches:
+            yield batch.column("hash").to_numpy().view(np.uint64)
+
+    # Hashes are counted before the shuffle, too.
+    hashes = df.mapInArrow(suspects, "hash long").groupBy("hash").count()
+    again = staged(df.sparkSession, hashes.filter("count > 1").select("hash"), "repeated-hashes")
+    return bloom_filter(again, read, filter_bits(again.count()), times=1)
+
+
 def _bits(segment: int, held: np.ndarray) -> pa.RecordBatch:
     packed = pa.array([np.packbits(held).tobytes()], pa.binary())
     return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), packed], ["segment", "bits"])

@@ -18,6 +18,7 @@ from strata.llm.substring_dedup import (
     tree_marks,
     word_ranks,
 )
+from strata.llm.suspects import bloom_filter, filter_bits, repeated_filter, suspected
 from strata.llm.words import WordReader
 from tests.llm.helpers import SF, documents, jaccard_classes, odd_documents, removed_words, sha
 
@@ -69,6 +70,37 @@ def test_lines_of_odd_documents(spark):
     assert dedup_lines(spark.createDataFrame([], EMPTY)).collect() == []
 
 
+@pytest.fixture
+def small_filters(monkeypatch):
+    """Filters of at most 2^14 bits, good for 2 048 keys."""
+    for name, value in (("SEGMENT_BITS", 10), ("LEAST_BITS", 1 << 10), ("MOST_BITS", 1 << 14)):
+        monkeypatch.setattr(f"strata.llm.suspects.{name}", value)
+
+
+def test_more_keys_than_a_filter_serves(spark, small_filters):
+    keys = np.random.default_rng(0).integers(0, 2**63, 20_500, dtype=np.uint64)
+    rows = np.concatenate([keys, keys[:500]]).view(np.int64)
+    frame = spark.createDataFrame(pa.table({"key": rows})).repartition(5)
+
+    def read(batches):
+        for batch in batches:
+            yield batch.column("key").to_numpy().view(np.uint64)
+
+    crowded = suspected(keys, bloom_filter(frame, read, filter_bits(len(rows))).value)
+    sharp = suspected(keys, repeated_filter(frame, read, len(rows)).value)
+    assert crowded[:500].all() and sharp[:500].all()
+    assert crowded[500:].mean() > 0.5 and sharp[500:].mean() < 0.03
+
+
+def test_small_filters_change_no_result(spark, small_filters):
+    rows = [(i, "\n".join([f"own line {i} {j}" for j in range(90)] + [f"shared line {i % 9}"])) for i in range(40)]
+    docs = documents(spark, rows).repartition(4)
+    got = dedup_lines(docs).collect()
+    assert {r.doc_id: (r.n_lines, r.n_dropped, r.text) for r in got} == plain_lines(rows)
+    got = dedup_substrings(docs, window=5, prefix=3).collect()
+    assert {r.doc_id: (r.n_words, r.n_removed, sha(r.kept)) for r in got} == removed_words(rows, 5)
+
+
 def test_substrings_equal_the_plain_version(spark):
     rows = texts_of(spark)
     got = QUERIES["op7_substring_dedup"](spark, SF).collect()
