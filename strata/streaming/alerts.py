@@ -79,9 +79,8 @@ def notify_batch(
         intime = came if first is None else came.filter(at >= first)
         # With a key's alerts before "until" away, the next one is a first alert.
         free = intime.join(blocked, "key", "left").filter(F.col("until").isNull() | (at >= F.col("until")))
-        notified = staged(
-            spark, dedup_alerts(staged(spark, free.drop("until"), "free-alerts"), seconds), "notified"
-        )
+        free = staged(spark, free.drop("until"), "free-alerts")
+        notified = free if free.isEmpty() else staged(spark, dedup_alerts(free, seconds), "notified")
         _store(notified, path, batch_id)
         times = [t for t in (came.agg(F.max(at)).first()[0], newest) if t is not None]
         newest = max(times, default=None)
