@@ -7,6 +7,14 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from strata.session import path_bytes, sized, staged, tasks_for
+
+PROFILE_SCHEMA = (
+    "table_name string, column_name string, rows bigint, null_count bigint, min_value string, "
+    "max_value string, distinct_count bigint"
+)
 
 
 def sum_total(df: DataFrame, column: str, alias: str) -> DataFrame:
@@ -125,12 +133,17 @@ def united_profile(parts: DataFrame) -> DataFrame:
 def column_profile(df: DataFrame, name: str, exact: bool = False) -> DataFrame:
     """Rows, nulls, smallest, largest and distinct values of every column in one pass.
 
-    Distinct counts are estimates within ``DISTINCT_ERROR`` unless ``exact`` is set; exact
-    counts of several columns multiply the rows that are shuffled.
+    Distinct counts are estimates within ``DISTINCT_ERROR`` unless ``exact`` is set; then the
+    values of all columns are counted, by the task that reads them first, and the profile is
+    staged, as its shuffles are sized by the files of ``df``.
     """
     if not exact:
         estimate = F.hll_sketch_estimate("sketch").alias("distinct_count")
         return profile_parts(df, name).select("*", estimate).drop("sketch")
+    if all(_from_text(field.dataType, "value") is not None for field in df.schema):
+        spark = df.sparkSession
+        with sized(spark, tasks_for(path_bytes(spark, df.inputFiles()))):
+            return staged(spark, _counted_profile(df, name), "profile")
     parts = [F.count(F.lit(1)).alias("rows")]
     for i, column in enumerate(df.columns):
         value = F.col(f"`{column}`")
@@ -155,6 +168,58 @@ def column_profile(df: DataFrame, name: str, exact: bool = False) -> DataFrame:
     return df.agg(*parts).select(F.inline(F.array(*entries)))
 
 
+def _from_text(kind: T.DataType, value: str) -> str | None:
+    """A value of a type from its text, for types whose equal values have equal texts."""
+    if isinstance(kind, T.StringType):
+        return f"`{value}`" if kind == T.StringType() else None
+    if isinstance(kind, T.TimestampType):
+        return f"timestamp_micros(cast(`{value}` as bigint))"
+    if isinstance(kind, (T.IntegralType, T.DecimalType, T.DateType, T.BooleanType)):
+        return f"cast(`{value}` as {kind.simpleString()})"
+    return None
+
+
+def _counted_profile(df: DataFrame, name: str) -> DataFrame:
+    """The exact profile from the number of rows of every value of every column.
+
+    A row becomes one narrow row per column, which are counted before the shuffle; one
+    column's values are not carried beside another's, and no text is held but as a key.
+    """
+    def text(field: T.StructField) -> str:
+        value = f"`{field.name}`"
+        return f"string(unix_micros({value}))" if isinstance(field.dataType, T.TimestampType) else f"string({value})"
+
+    if not df.columns:
+        return df.sparkSession.createDataFrame([], PROFILE_SCHEMA)
+    cells = ", ".join(f"{i}, {text(field)}" for i, field in enumerate(df.schema))
+    values = (
+        df.selectExpr(f"stack({len(df.columns)}, {cells}) as (at, value)")
+        .groupBy("at", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    # One row per column: a value is read in its column's type only.
+    typed = [(i, field, _from_text(field.dataType, "value")) for i, field in enumerate(df.schema)]
+    ends = [
+        f"string({end}(case when at = {i} then {value} end)) as {end}_{i}"
+        for i, _, value in typed for end in ("min", "max")
+    ]
+    counts = [
+        part for i, _, _ in typed for part in (
+            f"coalesce(sum(n) filter (where at = {i}), 0L) as rows_{i}",
+            f"coalesce(sum(n) filter (where at = {i} and value is null), 0L) as null_{i}",
+            f"count(value) filter (where at = {i}) as distinct_{i}",
+        )
+    ]
+    rows = ", ".join(
+        f"'{name}', '{field.name}', rows_{i}, null_{i}, min_{i}, max_{i}, distinct_{i}"
+        for i, field, _ in typed
+    )
+    return values.agg(*[F.expr(part) for part in (*counts, *ends)]).selectExpr(
+        f"stack({len(typed)}, {rows}) as "
+        "(table_name, column_name, rows, null_count, min_value, max_value, distinct_count)"
+    )
+
+
 def union_distinct(left: DataFrame, right: DataFrame, column: str) -> DataFrame:
     """Members of both sides once each; null is a member like any other."""
     return left.select(column).union(right.select(column)).distinct()
