@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter
 
 from strata.plans.silver import PRODUCTION_KEYS, STG_PRODUCCION_SCHEMA, stg_produccion
-from strata.sources.bronze import loads, scan_bronze
+from strata.session import SPLIT_BYTES, sized, tasks_for
+from strata.sources.bronze import load_bytes, load_months, loads, scan_bronze
 from strata.sources.snapshots import POINTERS, Transaction
 from strata.sources.tables import PERIOD, stage_merge, table_name
 
@@ -42,14 +43,20 @@ def merge_new_loads(spark: SparkSession, root: str, name: str) -> list[str]:
     new = {key: load["path"] for key, load in loads(change, name).items() if load["path"] not in done}
     if not new:
         return []
-    fresh = stg_produccion(scan_bronze(spark, root, name, list(new), change))
     info = {INGESTED: sorted(done | set(new.values()))}
-    if table in change.tables:
-        stage_merge(
-            change, fresh, "silver", "stg_produccion", PRODUCTION_KEYS, STG_PRODUCCION_SCHEMA,
-            unique=True, only_newer=True, info=info,
-        )
-    else:
-        change.write(fresh, table, PERIOD, schema=STG_PRODUCCION_SCHEMA, info=info)
+    bronze, tasks = scan_bronze(spark, root, name, list(new), change), tasks_for(
+        load_bytes(change, name, new), SPLIT_BYTES
+    )
+    with sized(spark, tasks):
+        if table in change.tables:
+            stage_merge(
+                change, stg_produccion(bronze), "silver", "stg_produccion", PRODUCTION_KEYS,
+                STG_PRODUCCION_SCHEMA, unique=True, only_newer=True, info=info,
+            )
+        else:
+            fresh = stg_produccion(bronze, months=load_months(change, name, new), tasks=tasks)
+            change.write(
+                fresh, table, PERIOD, schema=STG_PRODUCCION_SCHEMA, info=info, in_place=True
+            )
     change.commit()
     return sorted(new.values())
