@@ -22,7 +22,7 @@ from strata.plans import quality
 from strata.plans.gold import GOLD_SCHEMAS, fct_produccion
 from strata.plans.monthly import Landed, backfill, catch_up, run_period, verify_reload
 from strata.plans.profiles import bronze_profile
-from strata.plans.silver import STG_PRODUCCION_SCHEMA, type_production
+from strata.plans.silver import STG_PRODUCCION_SCHEMA, newest_dealt, type_production
 from strata.session import scratch_path, sized
 from strata.sources.bronze import (
     bronze_path,
@@ -38,6 +38,7 @@ from strata.sources.synthetic import (
     forecast_wells,
     pozos_raw,
     produccion_raw,
+    report_months,
     report_tasks,
     table,
 )
@@ -132,12 +133,10 @@ def upserted_production(spark: SparkSession, d: str) -> DataFrame:
     typed = type_production(produccion_raw(spark, d))
     early = typed.filter("dias_produccion <= 3")
     late = typed.filter("dias_produccion > 3")
-    first, second = (
-        latest_per_key(rows, keys, "_loaded_at", ["_row_hash"]).drop("_row_hash")
-        for rows in (early, late)
-    )
-    with sized(spark, report_tasks(spark, d)):
-        write_layer(first, root, "silver", "merged", "periodo")
+    months, tasks = report_months(spark, d), report_tasks(spark, d)
+    with sized(spark, tasks):
+        first, second = (newest_dealt(rows, months, tasks) for rows in (early, late))
+        write_layer(first, root, "silver", "merged", "periodo", in_place=True)
         merge_upsert(second, root, "silver", "merged", keys, STG_PRODUCCION_SCHEMA)
     return plain(read_layer(spark, root, "silver", "merged", STG_PRODUCCION_SCHEMA))
 

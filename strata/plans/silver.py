@@ -76,19 +76,23 @@ def stg_produccion(
         rows, target, period_col=month_start("anio", "mes"), reprocess=reprocess
     )
     typed = type_production(rows)
-    keys = list(PRODUCTION_KEYS)
     if months:
-        # Half the bytes and the same order as its lower-case hex text.
-        digest = F.when(F.length("_row_hash") == 64, F.unhex("_row_hash"))
-        typed = typed.withColumn(
-            "_row_hash", F.coalesce(digest, F.encode("_row_hash", "UTF-8"))
-        )
-        typed = deal(typed, "periodo", ["id_pozo"], months, tasks)
-        keys = ["periodo", SHARE, "id_pozo"]
-    newest = latest_per_key(typed, keys, "_loaded_at", ["_row_hash"])
+        newest = newest_dealt(typed, months, tasks)
+    else:
+        newest = latest_per_key(typed, PRODUCTION_KEYS, "_loaded_at", ["_row_hash"])
     return non_negative(newest, VOLUMES).select(*PRODUCTION_COLUMNS)
 
 
+def newest_dealt(typed: DataFrame, months: int, tasks: int) -> DataFrame:
+    """The newest row per well and month, dealt by month; see ``deal``."""
+    # Half the bytes and the same order as its lower-case hex text.
+    digest = F.when(F.length("_row_hash") == 64, F.unhex("_row_hash"))
+    short = typed.withColumn("_row_hash", F.coalesce(digest, F.encode("_row_hash", "UTF-8")))
+    dealt = deal(short, "periodo", ["id_pozo"], months, tasks)
+    keys = ["periodo", SHARE, "id_pozo"]
+    return latest_per_key(dealt, keys, "_loaded_at", ["_row_hash"]).drop(SHARE, "_row_hash")
+
+
 def type_production(rows: DataFrame) -> DataFrame:
     null_text = F.lit(None).cast("string")
     return rows.select(

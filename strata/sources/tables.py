@@ -26,11 +26,15 @@ def table_name(layer: str, name: str) -> str:
 
 
 def write_layer(
-    df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None
+    df: DataFrame, root: str, layer: str, name: str, partition_by: str | None = None,
+    in_place: bool = False,
 ) -> None:
-    """Materialise a model as a table of its layer, replacing what was there."""
+    """Materialise a model as a table of its layer, replacing what was there.
+
+    For ``in_place`` see ``Transaction.write``.
+    """
     change = Transaction(df.sparkSession, root)
-    change.write(df, table_name(layer, name), partition_by)
+    change.write(df, table_name(layer, name), partition_by, in_place=in_place)
     change.commit()
 
 
