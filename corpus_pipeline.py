@@ -85,9 +85,13 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, source, n_tokens, ids (packed), and digests of the ids and what they decode to."""
+    """doc_id, source, n_tokens, ids (packed), and digests of the ids and what they decode to.
+
+    The ids are written before they are decoded, so that a task needs one Python worker, not two:
+    executors keep workers, and what these hold, for later tasks.
+    """
     vocabulary = load_vocabulary(public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
-    encoded = encode(docs.select("doc_id", "source", "text"), vocabulary)
+    encoded = staged(spark, encode(docs.select("doc_id", "source", "text"), vocabulary), "encoded")
     return decode(encoded, vocabulary).select(
         "doc_id", "source", "n_tokens", "ids", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),

@@ -376,6 +376,8 @@ def encode(df: DataFrame, vocabulary: Vocabulary, text_column: str = "text") ->
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(c) for c in carried], counts, packed], names=schema.names
             )
+        # The worker lives on; what Arrow has freed would stay with it.
+        pa.default_memory_pool().release_unused()
 
     return df.select(*carried, text_column).mapInArrow(run, schema)
 
@@ -397,5 +399,6 @@ def decode(df: DataFrame, vocabulary: Vocabulary, ids_column: str = "ids") -> Da
                 [*[batch.column(c) for c in schema.names[:-1]], pa.array(texts, pa.binary())],
                 names=schema.names,
             )
+        pa.default_memory_pool().release_unused()
 
     return df.select(*schema.names[:-1]).mapInArrow(run, schema)

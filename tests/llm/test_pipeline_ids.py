@@ -21,3 +21,17 @@ def test_the_last_stage_returns_the_token_ids(spark):
     found = corpus_pipeline.tokens(spark, docs, "").collect()
     assert len(found) == 3
     assert all(len(r.ids) == 4 * r.n_tokens and sha(bytes(r.ids)) == r.ids_sha256 for r in found)
+
+
+def test_a_task_of_the_last_stage_needs_one_python_worker(spark, monkeypatch):
+    plans, written = [], corpus_pipeline.staged
+
+    def noted(session, df, label):
+        plans.append(df)
+        return written(session, df, label)
+
+    monkeypatch.setattr(corpus_pipeline, "staged", noted)
+    docs = spark.createDataFrame([(1, "some words", "web")], "doc_id long, text string, source string")
+    plans.append(corpus_pipeline.tokens(spark, docs, ""))
+    steps = [p._jdf.queryExecution().executedPlan().toString().count("MapInArrow") for p in plans]
+    assert steps == [1, 1]
